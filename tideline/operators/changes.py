@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import MapType
 
 from tideline.operators import ordered
+from tideline.session import ensure_checkpoint_dir
 
 SEQUENCE = "__sequence"
 DELETED = "__deleted"
@@ -106,32 +107,82 @@ def _slice_column(df: DataFrame) -> Column:
     return F.col(SEQUENCE) if kind.typeName() != "struct" else F.col(f"{SEQUENCE}.`{kind.names[0]}`")
 
 
+def _tracked_state(spec: ChangeSpec) -> Column:
+    """What decides whether two neighbouring records belong to one version."""
+    tracked = [F.col(f"`{c}`") for c in spec.track_history or ()]
+    return F.struct(F.col(DELETED).alias("gone"), F.struct(F.lit(0).alias("_"), *tracked).alias("tracked"))
+
+
+def _opens(state: Column, before: Column) -> Column:
+    """A record opens a version unless the one before it is alive with equal tracked columns."""
+    return ~state.getField("gone") & ~(before.isNotNull() & before.eqNullSafe(state))
+
+
+def _edges(sliced: DataFrame, keys: list[str], spec: ChangeSpec) -> DataFrame:
+    """Per slice of a hot key: first sequence of the next slice, last state of the previous one,
+    and whether the first record of the next slice starts or ends a version."""
+    winner_at_start = F.struct(F.col(SEQUENCE), ~F.col(DELETED), F.bitwise_not(TIE))
+    ends = (sliced.where(F.col(ordered.SLICE) > 0).withColumn("__state", _tracked_state(spec))
+            .groupBy(*keys, ordered.SLICE)
+            .agg(F.min(SEQUENCE).alias("__first"),
+                 F.min_by("__state", winner_at_start).alias("__first_state"),
+                 F.max_by("__state", F.struct(*_ORDER)).alias("__last_state")))
+    along = Window.partitionBy(*keys).orderBy(ordered.SLICE)
+    ends = ends.withColumn("__edge_before", F.lag("__last_state").over(along))
+    first = F.col("__first_state")
+    ends = ends.withColumn("__breaks", _opens(first, F.col("__edge_before")) | first.getField("gone"))
+    return ends.select(*keys, ordered.SLICE, "__edge_before",
+                       F.lead("__first").over(along).alias("__edge_end"),
+                       F.lead("__breaks").over(along).alias("__edge_breaks"))
+
+
 def close_versions(records: DataFrame, spec: ChangeSpec) -> DataFrame:
     """All records with ``__START_AT``, ``__END_AT`` and whether they form a visible version.
 
-    Records may repeat a (key, sequence); the last by delete flag and hash wins.
+    Records may repeat a (key, sequence); the last by delete flag and hash wins. All windows
+    share one partitioning and order, so the records are shuffled and sorted once.
     """
-    keys, order = list(spec.keys), list(_ORDER)
-    df, hot = ordered.slice_hot_keys(records, keys, _slice_column(records), spec.min_hot_rows)
-    df = ordered.next_value(df, keys, order, F.col(SEQUENCE), END, hot)
+    keys = list(spec.keys)
+    sliced, hot = ordered.slice_hot_keys(records, keys, _slice_column(records), spec.min_hot_rows)
+    window = Window.partitionBy(*keys, ordered.SLICE).orderBy(*_ORDER)
+    # Equal sequences share a slice, so a copy always sees its successor here.
+    df = sliced.withColumn(END, F.lead(SEQUENCE).over(window))
     df = df.where(F.col(END).isNull() | (F.col(END) != F.col(SEQUENCE)))
+    edge_columns = ["__edge_before", "__edge_end", "__edge_breaks"]
+    if hot:
+        ensure_checkpoint_dir(records.sparkSession)
+        edges = _edges(sliced, keys, spec).checkpoint()
+        df = ordered.join_edges(df, edges, keys, edge_columns)
+        df = df.withColumn(END, F.coalesce(END, "__edge_end"))
     if spec.track_history is None:
         df = df.withColumn(START, F.col(SEQUENCE)).withColumn(VISIBLE, ~F.col(DELETED))
-        return df.drop(ordered.SLICE)
-
-    state = F.struct(F.col(DELETED).alias("gone"),
-                     F.struct(*[F.col(c) for c in spec.track_history]).alias("tracked"))
-    df = ordered.previous_value(df, keys, order, state, "__before", hot)
-    same = F.col("__before.v").isNotNull() & F.col("__before.v").eqNullSafe(state)
-    # A record opens a version unless the one before it is alive with equal tracked columns.
-    df = df.withColumn("__opens", ~F.col(DELETED) & ~same).drop("__before")
-    breaks = F.col("__opens") | F.col(DELETED)
-    df = ordered.next_value(df, keys, order, breaks, "__next_breaks", hot)
+        return df.drop(*edge_columns, ordered.SLICE)
+
+    df = df.withColumn("__state", _tracked_state(spec))
+    df = df.withColumn("__before", F.lag("__state").over(window))
+    if hot:
+        df = df.withColumn("__before", F.coalesce("__before", "__edge_before"))
+    df = df.withColumn("__opens", _opens(F.col("__state"), F.col("__before")))
+    next_breaks = F.lead(F.col("__opens") | F.col(DELETED)).over(window)
+    so_far = window.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     opened_at = F.when(F.col("__opens"), F.col(SEQUENCE))
-    df = ordered.running_max(df, keys, order, opened_at, START, hot)
-    last_of_version = F.coalesce(F.col("__next_breaks"), F.lit(True))
-    df = df.withColumn(VISIBLE, ~F.col(DELETED) & last_of_version)
-    return df.drop("__opens", "__next_breaks", ordered.SLICE)
+    start = F.max(opened_at).over(so_far)
+    if hot:
+        earlier = (Window.partitionBy(*keys).orderBy(ordered.SLICE)
+                   .rowsBetween(Window.unboundedPreceding, -1))
+        opened = (df.where(F.col(ordered.SLICE) > 0).groupBy(*keys, ordered.SLICE)
+                  .agg(F.max(opened_at).alias("__opened"))
+                  .select(*keys, ordered.SLICE, F.max("__opened").over(earlier).alias("__carry")))
+        df = df.withColumn("__in_slice", start).withColumn("__next_breaks", next_breaks)
+        df = ordered.join_edges(df, opened, keys, ["__carry"])
+        df = df.withColumn(START, F.coalesce("__in_slice", "__carry"))
+        last = F.coalesce("__next_breaks", "__edge_breaks", F.lit(True))
+    else:
+        df = df.withColumn(START, start).withColumn("__next_breaks", next_breaks)
+        last = F.coalesce("__next_breaks", F.lit(True))
+    df = df.withColumn(VISIBLE, ~F.col(DELETED) & last)
+    return df.drop(*edge_columns, "__state", "__before", "__opens", "__in_slice", "__next_breaks",
+                   "__carry", ordered.SLICE)
 
 
 def merge_state(state: DataFrame | None, changes: DataFrame, spec: ChangeSpec) -> DataFrame:

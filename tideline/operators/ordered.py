@@ -1,8 +1,9 @@
 """Ordered computations that no single key or value can overload.
 
 A window over a key puts all rows of that key in one task. Here, a key that holds more rows than
-an average shuffle partition is cut into slices along its order, rows are compared inside
-(key, slice), and the rows at slice edges are matched through a table of one row per slice.
+an average shuffle partition is cut into slices along its order (``slice_hot_keys``), rows are
+compared inside (key, slice), and what a slice needs from its neighbours comes from a table of
+one row per slice (``join_edges``).
 There are fewer hot keys than shuffle partitions, and at most two slices per partition on
 average, so that table is bounded by a cluster setting and not by the data.
 
@@ -78,61 +79,19 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Column,
     return sliced, True
 
 
-def _edge_join(df: DataFrame, edges: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
-    """Bring ``value`` of the edge row of each (key, slice) to all its rows."""
+def join_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str],
+               values: Sequence[str]) -> DataFrame:
+    """Add ``values`` of the edge row of each (key, slice) to its rows, NULL where there is none.
+
+    The edge table has one row per slice of a hot key and is broadcast, so ``df`` keeps its
+    partitioning and order for the windows that follow.
+    """
     renamed = edges.select(*[F.col(k).alias(f"__key_{i}") for i, k in enumerate(keys)],
-                           F.col(SLICE).alias("__edge_slice"), value)
+                           F.col(SLICE).alias("__edge_slice"), *values)
     same = F.col(SLICE) == F.col("__edge_slice")
     for i, k in enumerate(keys):
         same = same & F.col(k).eqNullSafe(F.col(f"__key_{i}"))
-    return df.join(F.broadcast(renamed), same, "left").select(*df.columns, value)
-
-
-def next_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-               name: str, hot: bool) -> DataFrame:
-    """Add ``name``: ``value`` of the following row of the same key, NULL after the last one."""
-    window = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    df = df.withColumn("__v", F.struct(value.alias("v")))
-    df = df.withColumn("__n", F.lead("__v").over(window))
-    if hot:
-        firsts = (df.where(F.col(SLICE) > 0).groupBy(*keys, SLICE)
-                  .agg(F.min_by("__v", F.struct(*order)).alias("__f")))
-        along = Window.partitionBy(*keys).orderBy(SLICE)
-        edges = firsts.select(*keys, SLICE, F.lead("__f").over(along).alias("__e"))
-        df = _edge_join(df, edges, keys, "__e").withColumn("__n", F.coalesce("__n", "__e")).drop("__e")
-    return df.withColumn(name, F.col("__n.v")).drop("__v", "__n")
-
-
-def previous_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-                   name: str, hot: bool) -> DataFrame:
-    """Add ``name``: a struct whose field ``v`` is ``value`` of the preceding row of the same
-    key; the struct itself is NULL before the first row."""
-    window = Window.partitionBy(*keys, SLICE).orderBy(*order)
-    df = df.withColumn("__v", F.struct(value.alias("v")))
-    df = df.withColumn(name, F.lag("__v").over(window))
-    if hot:
-        lasts = (df.where(F.col(SLICE) > 0).groupBy(*keys, SLICE)
-                 .agg(F.max_by("__v", F.struct(*order)).alias("__l")))
-        along = Window.partitionBy(*keys).orderBy(SLICE)
-        edges = lasts.select(*keys, SLICE, F.lag("__l").over(along).alias("__e"))
-        df = _edge_join(df, edges, keys, "__e").withColumn(name, F.coalesce(name, "__e")).drop("__e")
-    return df.drop("__v")
-
-
-def running_max(df: DataFrame, keys: Sequence[str], order: Sequence[str], value: Column,
-                name: str, hot: bool) -> DataFrame:
-    """Largest ``value`` among this row and the earlier ones of the same key."""
-    window = (Window.partitionBy(*keys, SLICE).orderBy(*order)
-              .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    df = df.withColumn("__v", value).withColumn(name, F.max("__v").over(window))
-    if hot:
-        tops = (df.where(F.col(SLICE) > 0).groupBy(*keys, SLICE).agg(F.max("__v").alias("__t")))
-        earlier = (Window.partitionBy(*keys).orderBy(SLICE)
-                   .rowsBetween(Window.unboundedPreceding, -1))
-        edges = tops.select(*keys, SLICE, F.max("__t").over(earlier).alias("__e"))
-        df = (_edge_join(df, edges, keys, "__e")
-              .withColumn(name, F.greatest(name, "__e")).drop("__e"))
-    return df.drop("__v")
+    return df.join(F.broadcast(renamed), same, "left").select(*df.columns, *values)
 
 
 def running_totals(df: DataFrame, order: str, values: Sequence[str], descending: bool = False,

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
+from pyspark import inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -13,12 +15,13 @@ from pyspark.ml.feature import (Imputer, ImputerModel, OneHotEncoder, SQLTransfo
                                 StandardScalerModel, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.parsing import merge_levels
 from tideline.operators.ordered import running_totals
+from tideline.session import ensure_checkpoint_dir
 
 # Statuses, features and settings of the two models.
 FINISHED = ("Default", "Charged Off", "Fully Paid")
@@ -77,16 +80,34 @@ def _shared_stages(one_hot: bool) -> list:
     return [*stages, impute, assemble, label]
 
 
-def train_glm(train: DataFrame, parallelism: int = 2, seed: int = SAMPLE_SEED) -> PipelineModel:
-    """Logistic regression on standardized features; the best of the grid by cross-validation."""
+def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEED) -> PipelineModel:
+    """Logistic regression on standardized features; the best of the grid by cross-validation.
+
+    The feature stages are fitted once per fold and shared by all grid entries, and folds run
+    side by side. Folds are cut by a hash of the row, so a retried task sees the same folds.
+    """
     scale = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
+    features = Pipeline(stages=[*_shared_stages(True), scale])
     regression = LogisticRegression(featuresCol="scaled", maxIter=GLM_ITERATIONS,
                                     elasticNetParam=GLM_ELASTIC_NET)
     grid = ParamGridBuilder().addGrid(regression.regParam, list(GLM_REG_PARAMS)).build()
-    search = CrossValidator(estimator=Pipeline(stages=[*_shared_stages(True), scale, regression]),
-                            estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
-                            numFolds=FOLDS, parallelism=parallelism, seed=seed)
-    return search.fit(train).bestModel
+    evaluator = BinaryClassificationEvaluator()
+    fold = F.pmod(F.xxhash64(F.lit(seed), *train.columns), F.lit(FOLDS))
+
+    def fold_metrics(number: int) -> list[float]:
+        kept, held_out = train.where(fold != number), train.where(fold == number)
+        prepared = features.fit(kept)
+        fitted = dict(regression.fitMultiple(prepared.transform(kept), grid))
+        validation = prepared.transform(held_out)
+        return [evaluator.evaluate(fitted[i].transform(validation)) for i in range(len(grid))]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        tasks = [pool.submit(inheritable_thread_target(train.sparkSession)(fold_metrics), n)
+                 for n in range(FOLDS)]
+        metrics = [task.result() for task in tasks]
+    averages = [sum(column) / FOLDS for column in zip(*metrics)]
+    chosen = regression.copy(grid[averages.index(max(averages))])
+    return Pipeline(stages=[*_shared_stages(True), scale, chosen]).fit(train)
 
 
 def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
@@ -97,11 +118,16 @@ def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
 
 
 def best_threshold(model: PipelineModel) -> float:
-    """Threshold with the largest F-measure on the training data, set on the fitted model."""
+    """Threshold with the largest F-measure on the training data.
+
+    The measure counts scores at or above a threshold, the model predicts above it. The fitted
+    model therefore gets the middle between this threshold and the next lower one.
+    """
     regression = model.stages[-1]
     measures = regression.summary.fMeasureByThreshold
     best = measures.agg(F.max_by("threshold", F.struct("F-Measure", "threshold")).alias("t")).first()["t"]
-    regression.setThreshold(best)
+    below = measures.where(F.col("threshold") < best).agg(F.max("threshold").alias("t")).first()["t"]
+    regression.setThreshold((best + (below or 0.0)) / 2)
     return best
 
 
@@ -125,6 +151,12 @@ def _counts(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
             .agg(F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")))
 
 
+def _checkpointed(counts: DataFrame) -> DataFrame:
+    """Distinct scores are read several times; score and count the rows only once."""
+    ensure_checkpoint_dir(counts.sparkSession)
+    return counts.checkpoint()
+
+
 def roc_points(scored: DataFrame, score_col: str = "p1", label_col: str = "label",
                bins: int | None = 100) -> DataFrame:
     """threshold, fpr, tpr of the curve, from the highest threshold down.
@@ -132,20 +164,22 @@ def roc_points(scored: DataFrame, score_col: str = "p1", label_col: str = "label
     With ``bins`` scores in [0, 1] fall into that many equal ranges, and a point counts the rows
     at or above the lower end of a range. Without, every distinct score is a point.
     """
+    sides = ["positives", "negatives"]
     if bins:
         place = F.least(F.floor(F.col(score_col) * bins), F.lit(bins - 1)) / F.lit(float(bins))
         counts = _counts(scored.withColumn("__place", place), "__place", label_col)
         # At most `bins` rows are left, so one partition holds them.
         down = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
-        for name in ("positives", "negatives"):
-            counts = counts.withColumn(f"cum_{name}", F.sum(name).over(down))
+        everything = Window.partitionBy()
+        curve = counts.select("threshold", *[F.sum(s).over(down).alias(f"cum_{s}") for s in sides],
+                              *[F.sum(s).over(everything).alias(f"all_{s}") for s in sides])
     else:
-        counts = running_totals(_counts(scored, score_col, label_col), "threshold",
-                                ["positives", "negatives"], descending=True)
-    totals = (scored.agg(F.count_if(F.col(label_col) > 0.5).alias("all_positives"),
-                         F.count_if(~(F.col(label_col) > 0.5)).alias("all_negatives")).first())
-    return counts.select("threshold", (F.col("cum_negatives") / totals["all_negatives"]).alias("fpr"),
-                         (F.col("cum_positives") / totals["all_positives"]).alias("tpr"))
+        counts = _checkpointed(_counts(scored, score_col, label_col))
+        totals = counts.agg(*[F.sum(s).alias(s) for s in sides]).first()
+        curve = running_totals(counts, "threshold", sides, descending=True)
+        curve = curve.select("*", *[F.lit(totals[s]).alias(f"all_{s}") for s in sides])
+    return curve.select("threshold", (F.col("cum_negatives") / F.col("all_negatives")).alias("fpr"),
+                        (F.col("cum_positives") / F.col("all_positives")).alias("tpr"))
 
 
 def stacked_roc(scored: Mapping[str, DataFrame], bins: int | None = 100) -> DataFrame:
@@ -161,7 +195,7 @@ def stacked_roc(scored: Mapping[str, DataFrame], bins: int | None = 100) -> Data
 def roc_area(scored: DataFrame, score_col: str = "p1", label_col: str = "label") -> DataFrame:
     """Exact area as one row ``auc``: the share of (positive, negative) pairs ranked right, ties
     counting half."""
-    ranked = running_totals(_counts(scored, score_col, label_col), "threshold",
+    ranked = running_totals(_checkpointed(_counts(scored, score_col, label_col)), "threshold",
                             ["positives", "negatives"], descending=True)
     above = F.col("cum_positives") - F.col("positives") / 2
     return (ranked.agg(F.sum(above * F.col("negatives")).alias("pairs"),
