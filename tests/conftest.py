@@ -1,0 +1,34 @@
+import os
+import sys
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+from tideline.session import build_session  # noqa: E402
+
+TESTDATA = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", {
+        "spark.sql.shuffle.partitions": "8",
+        "spark.ui.enabled": "false",
+        "spark.driver.memory": "6g",
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("shared")),
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+    })
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def root(tmp_path):
+    return str(tmp_path)
+
+
+def rows(df, *columns):
+    """Rows as sorted tuples."""
+    chosen = df.select(*columns) if columns else df
+    return sorted((tuple(r) for r in chosen.collect()), key=repr)

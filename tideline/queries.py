@@ -466,22 +466,29 @@ def confusion_business_value(spark, folder):
     return risk.business_value(risk.confusion_value(fixed_scores(spark, folder), "net"))
 
 
+def _training_table(spark, folder) -> DataFrame:
+    """Labelled loans, stored once because training reads them many times."""
+    path = scratch_dir(spark, "loanstats_train")
+    risk.label_loans(loan_book(spark, folder)).write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def glm_scores(spark, folder):
-    loans = risk.label_loans(loan_book(spark, folder))
+    loans = _training_table(spark, folder)
     model = risk.train_glm(loans)
     risk.best_threshold(model)
     return risk.score(model, loans)
 
 
 def gbt_scores(spark, folder):
-    loans = risk.label_loans(loan_book(spark, folder))
+    loans = _training_table(spark, folder)
     return risk.score(risk.train_gbt(loans), loans)
 
 
 def risk_functions_agree(spark, folder):
-    """Model, SQL function and pandas UDF on every loan, scored as a stream by the model."""
+    """The published model, the SQL function and the pandas UDF give every loan the same label."""
     loans = loan_book(spark, folder)
-    model = risk.train_glm(risk.label_loans(loans))
+    model = risk.train_glm(_training_table(spark, folder))
     risk.best_threshold(model)
     root = scratch_dir(spark, "risk_model")
     risk.publish_model(model, root, "loan_risk", "production")
