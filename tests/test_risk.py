@@ -71,7 +71,6 @@ def test_threshold_reaches_the_model(spark, loans, glm):
     labelled = risk.label_loans(loans)
     best = regression.summary.fMeasureByThreshold.agg(F.max("F-Measure")).first()[0]
     counts = risk.score(glm, labelled).agg(
-        F.count_if("prediction = 1 and label = 1").alias("tp") if False else
         F.count_if((F.col("prediction") == 1) & (F.col("label") == 1)).alias("tp"),
         F.count_if(F.col("prediction") == 1).alias("p"), F.count_if(F.col("label") == 1).alias("l")).first()
     assert 2 * counts["tp"] / (counts["p"] + counts["l"]) == pytest.approx(best, abs=0.02)
@@ -123,7 +122,7 @@ def test_stored_tables(spark, loans):
     spark.sql("DROP TABLE IF EXISTS loanstats_train")
     risk.label_loans(loans).write.saveAsTable("loanstats_train")
     spark.sql("DROP TABLE IF EXISTS loan_stats")
-    location = spark.sql("DESCRIBE DETAIL loanstats_train") if False else spark.conf.get("spark.sql.warehouse.dir")
+    location = spark.conf.get("spark.sql.warehouse.dir")
     spark.sql(f"CREATE TABLE loan_stats USING parquet LOCATION '{location}/loanstats_train'")
     assert spark.table("loan_stats").count() == spark.table("loanstats_train").count() > 0
     states = risk.loans_per_state(spark.table("loan_stats"))

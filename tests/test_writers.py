@@ -1,5 +1,6 @@
 import glob
 import random
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -51,7 +52,9 @@ def test_interval_trigger_returns_a_running_query(spark, root):
     stream = spark.readStream.schema("id long").parquet(f"{root}/in")
     query = writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", Dataset("t"), trigger="1 hour")
     try:
-        query.processAllAvailable()
+        deadline = time.time() + 60
+        while query.lastProgress is None and time.time() < deadline:
+            time.sleep(0.2)
         assert writers.read_snapshot(spark, f"{root}/t").count() == 5
     finally:
         query.stop()
