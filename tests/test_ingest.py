@@ -32,7 +32,7 @@ def load(spark, root, stream, name="t"):
 ])
 def test_rescue(spark, line, expected):
     df = spark.createDataFrame([(line,)], "line string")
-    got = df.select(*rescue_json("line", StructType.fromDDL("id int"))).first()
+    got = rescue_json(df, "line", StructType.fromDDL("id int")).first()
     assert tuple(got) == expected
 
 

@@ -121,13 +121,23 @@ def _bin(bins: int) -> str:
     return f"least(floor(p1 * {bins}), {bins - 1}) / CAST({bins} AS DOUBLE)"
 
 
-def _draw(row: str, name: str, seed: int) -> str:
-    s = sy.salt(name, seed)
+def _numbered(seed: int) -> str:
+    """Orders with the two hashes of their key, as ``numbered``."""
     prime = sy.PRIME
-    folded = f"((({row}) + ({row}) // {prime} * 7919 + {s}) % {prime})"
-    mixed = f"(({folded} * 48271 + {s}) % {prime})"
-    squared = f"(({mixed} * {mixed} + {folded}) % {prime})"
-    return f"(({squared} * 69621 + 12345) % {prime})"
+    return f"""
+SELECT *, (mixed * mixed + a) % {prime} AS b FROM (
+  SELECT *, (a * 69621 + f) % {prime} AS mixed FROM (
+    SELECT *, (m * m + f) % {prime} AS a FROM (
+      SELECT *, (f * 48271 + 11) % {prime} AS m FROM (
+        SELECT *, (o_orderkey % {prime} + o_orderkey // {prime} * 7919 + {sy.salt("row", seed)}) % {prime} AS f
+        FROM orders))))
+"""
+
+
+def _draw(name: str, seed: int) -> str:
+    prime = sy.PRIME
+    return (f"((a * {sy.salt(name + '/a', seed)} % {prime} + b * {sy.salt(name + '/b', seed)} % {prime} "
+            f"+ {sy.salt(name, seed)}) % {prime})")
 
 
 def _one_of(values, drawn: str) -> str:
@@ -144,7 +154,7 @@ def _accounts(seed: int = 7) -> str:
     columns = []
     earliest = q.GENERATED_AT - timedelta(days=sy.DATE_BACK_DAYS)
     for name, rule in sy.ACCOUNT_FIELDS:
-        drawn = _draw("o_orderkey", name, seed)
+        drawn = _draw(name, seed)
         if rule == "id":
             value = "CAST(o_orderkey AS VARCHAR)"
         elif rule == "now":
@@ -168,7 +178,7 @@ def _accounts(seed: int = 7) -> str:
         else:
             value = f"{rule[1]} + {drawn} % {rule[2] - rule[1]}"
         columns.append(f'{value} AS "{name}"')
-    return f"SELECT {', '.join(columns)} FROM orders"
+    return f"SELECT {', '.join(columns)} FROM ({_numbered(seed)})"
 
 
 _CHANGE_FORMAT = "%m-%d-%Y %H:%M:%S"
@@ -195,7 +205,7 @@ def _this_month(drawn: str) -> str:
 
 def _customer_changes(seed: int = 7) -> str:
     def d(name):
-        return _draw("o_orderkey", name, seed)
+        return _draw(name, seed)
     first, last = _one_of(sy.FIRST_NAMES, d("firstname")), _one_of(sy.LAST_NAMES, d("lastname"))
     street = _one_of(sy.WORDS, d("street"))
     key = f"({d('key')} % {q.CHANGE_KEYS})"
@@ -206,13 +216,13 @@ SELECT {_key_text(key, seed)} AS id, {first} AS firstname, {last} AS lastname,
        upper(substr({street}, 1, 1)) || substr({street}, 2) || ' Road' AS address,
        {_operation(d('operation'))} AS operation,
        {_this_month(d('operation_date'))} AS operation_date
-FROM orders
+FROM ({_numbered(seed)})
 """
 
 
 def _transaction_changes(seed: int = 7) -> str:
     def d(name):
-        return _draw("o_orderkey", f"t_{name}", seed)
+        return _draw(f"t_{name}", seed)
     return f"""
 SELECT {_key_text('o_orderkey', seed + 1)} AS id,
        {_this_month(d('transaction_date'))} AS transaction_date,
@@ -220,7 +230,7 @@ SELECT {_key_text('o_orderkey', seed + 1)} AS id,
        round({d('item_count')} / CAST({sy.PRIME} AS DOUBLE) * 10) AS item_count,
        {_operation(d('operation'))} AS operation,
        {_this_month(d('operation_date'))} AS operation_date, c_name AS customer_id
-FROM orders JOIN customer ON o_orderkey = c_custkey
+FROM ({_numbered(seed)}) JOIN customer ON o_orderkey = c_custkey
 """
 
 

@@ -12,6 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tideline.functions.parsing import merge_levels
 from tideline.operators import changes as ch
@@ -92,8 +93,7 @@ def rescue_fields(spark, folder):
     """Events as JSON lines, parsed with a schema that lacks a field and mistypes another."""
     lines = table(spark, folder, "events").select(
         F.to_json(F.struct("event_id", "user_id", "event_type", "value")).alias("line"))
-    schema = "event_id BIGINT, user_id BIGINT, value INT"
-    return lines.select(*rescue_json("line", spark.createDataFrame([], schema).schema))
+    return rescue_json(lines, "line", StructType.fromDDL("event_id BIGINT, user_id BIGINT, value INT"))
 
 
 # --- loan tables ------------------------------------------------------------------------------

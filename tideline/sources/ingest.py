@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -15,23 +15,26 @@ RESCUED = "_rescued_data"
 SCHEMA_FILES = 1000
 
 
-def rescue_json(line: Column | str, schema: StructType, rescued: str = RESCUED) -> list[Column]:
-    """Columns of ``schema`` parsed from a JSON line, plus the fields that did not fit.
+def rescue_json(lines: DataFrame, line: str, schema: StructType, rescued: str = RESCUED) -> DataFrame:
+    """Columns of ``schema`` parsed from the JSON text in ``line``, plus the fields that did not fit.
 
     The last column is a JSON object with every field that is not in the schema, or whose value
     does not have the declared type; NULL when all fields fit. A line that is no JSON object at
-    all is kept whole under ``_corrupt_record``.
+    all is kept whole under ``_corrupt_record``. Each line is parsed twice: by schema, and as a
+    map of texts. Both results are columns of their own, so no later expression parses again.
     """
-    line = F.col(line) if isinstance(line, str) else line
-    typed = F.from_json(line, schema)
-    raw = F.from_json(line, "map<string,string>")
-    fitted = F.array_compact(F.array(*[
-        F.when(typed.getField(f.name).isNotNull(), F.lit(f.name)) for f in schema.fields]))
-    left = F.map_filter(raw, lambda k, v: v.isNotNull() & ~F.array_contains(fitted, k))
-    corrupt = F.when(F.trim(line) != "", F.to_json(F.create_map(F.lit("_corrupt_record"), line)))
-    kept = (F.when(raw.isNull(), corrupt)
-            .when(F.size(left) > 0, F.to_json(left)))
-    return [*[typed.getField(f.name).alias(f.name) for f in schema.fields], kept.alias(rescued)]
+    parsed = lines.select(F.col(line).alias("__line"), F.from_json(line, schema).alias("__typed"),
+                          F.from_json(line, "map<string,string>").alias("__raw"))
+    fitted = F.array(*[F.when(F.col("__typed").getField(f.name).isNotNull(), F.lit(f.name))
+                       for f in schema.fields])
+    # Fields that fit and explicit nulls leave the map.
+    unfit = parsed.withColumn("__fitted", F.array_compact(fitted)).withColumn("__left", F.map_filter(
+        "__raw", lambda k, v: v.isNotNull() & ~F.array_contains("__fitted", k)))
+    corrupt = F.when(F.trim("__line") != "", F.to_json(F.create_map(F.lit("_corrupt_record"), "__line")))
+    kept = (F.when(F.col("__raw").isNull(), corrupt)
+            .when(F.size("__left") > 0, F.to_json("__left")))
+    return unfit.select(*[F.col("__typed").getField(f.name).alias(f.name) for f in schema.fields],
+                        kept.alias(rescued))
 
 
 def infer_schema(spark: SparkSession, source: str, file_format: str, infer_types: bool = True,
@@ -85,4 +88,4 @@ def ingest_files(spark: SparkSession, source: str, file_format: str,
     if rescued is None:
         return reader.schema(schema).json(source)
     lines = reader.text(source)
-    return lines.where(F.trim("value") != "").select(*rescue_json("value", schema, rescued))
+    return rescue_json(lines.where(F.trim("value") != ""), "value", schema, rescued)

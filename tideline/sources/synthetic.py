@@ -130,6 +130,8 @@ FIRST_NAMES = ("Ada", "Bela", "Caro", "Dita", "Edon", "Fenn", "Gala", "Hale", "I
 LAST_NAMES = ("Ashby", "Brook", "Colby", "Dalton", "Easton", "Farrow", "Granger", "Holt",
               "Irving", "Jarvis", "Kendal", "Lowell", "Marsh", "Norwood", "Oakes", "Preston")
 
+# Customers a change feed is about, by default.
+KEY_SPACE = 20_000
 # Draws are computed modulo this prime; products of two residues fit a BIGINT.
 PRIME = 2147483647
 
@@ -138,13 +140,25 @@ def salt(name: str, seed: int) -> int:
     return zlib.crc32(f"{seed}/{name}".encode()) % PRIME
 
 
-def draw(row: Column, name: str, seed: int) -> Column:
-    """A pseudo-random BIGINT in [0, PRIME) for a row id and a column name."""
-    s = salt(name, seed)
-    folded = F.pmod(row + F.floor(row / F.lit(PRIME)) * 7919 + s, F.lit(PRIME)).cast("bigint")
-    mixed = (folded * 48271 + s) % PRIME
-    squared = (mixed * mixed + folded) % PRIME
-    return (squared * 69621 + 12345) % PRIME
+def numbered(rows: DataFrame, row: str, seed: int) -> DataFrame:
+    """``__row`` and two hashes of it that all draws of the row are combined from.
+
+    Row ids must not be negative.
+    """
+    number = F.col(row).cast("bigint")
+    folded = (number % PRIME + F.call_function("div", number, F.lit(PRIME)) * 7919
+              + salt("row", seed)) % PRIME
+    first = rows.select(number.alias("__row"), folded.alias("__f"),
+                        ((folded * 48271 + 11) % PRIME).alias("__m"))
+    second = first.select("__row", "__f", ((F.col("__m") * F.col("__m") + F.col("__f")) % PRIME).alias("__a"))
+    mixed = (F.col("__a") * 69621 + F.col("__f")) % PRIME
+    return second.select("__row", "__a", ((mixed * mixed + F.col("__a")) % PRIME).alias("__b"))
+
+
+def draw(name: str, seed: int) -> Column:
+    """A pseudo-random BIGINT in [0, PRIME) for a column name, on ``numbered`` rows."""
+    return (F.col("__a") * salt(f"{name}/a", seed) % PRIME
+            + F.col("__b") * salt(f"{name}/b", seed) % PRIME + salt(name, seed)) % PRIME
 
 
 def _one_of(values: Sequence[str], drawn: Column) -> Column:
@@ -184,12 +198,12 @@ def accounts(rows: DataFrame, row: str, now: datetime, seed: int = 0,
     spark = rows.sparkSession
     countries = countries or iso_countries(spark)
     currencies = currencies or iso_currencies(spark)
-    number, earliest = F.col(row), now - timedelta(days=DATE_BACK_DAYS)
+    earliest = now - timedelta(days=DATE_BACK_DAYS)
 
     def value(name, rule) -> Column:
-        drawn = draw(number, name, seed)
+        drawn = draw(name, seed)
         if rule == "id":
-            return number.cast("string")
+            return F.col("__row").cast("string")
         if rule == "now":
             return F.lit(now.strftime("%Y-%m-%dT%H:%M:%SZ"))
         if rule == "date":
@@ -211,7 +225,8 @@ def accounts(rows: DataFrame, row: str, now: datetime, seed: int = 0,
         _, low, high = rule
         return low + drawn % (high - low)
 
-    return rows.select(*[value(name, rule).alias(name) for name, rule in ACCOUNT_FIELDS])
+    return numbered(rows, row, seed).select(
+        *[value(name, rule).alias(name) for name, rule in ACCOUNT_FIELDS])
 
 
 def write_account_batches(spark: SparkSession, path: str, batches: int, records: int,
@@ -251,18 +266,16 @@ def _key_text(key: Column, seed: int) -> Column:
 
 
 def customer_changes(rows: DataFrame, row: str, now: datetime, seed: int = 0,
-                     key_space: int = 20_000) -> DataFrame:
+                     key_space: int = KEY_SPACE) -> DataFrame:
     """One customer change per row. Ids repeat within ``key_space``, so updates and deletes meet
     earlier records of the same customer."""
-    number = F.col(row)
-
     def drawn(name: str) -> Column:
-        return draw(number, name, seed)
+        return draw(name, seed)
 
     first, last = _one_of(FIRST_NAMES, drawn("firstname")), _one_of(LAST_NAMES, drawn("lastname"))
     street = F.concat_ws(" ", (drawn("street_no") % 999 + 1).cast("string"),
                          F.initcap(_one_of(WORDS, drawn("street"))), F.lit("Road"))
-    return rows.select(
+    return numbered(rows, row, seed).select(
         _key_text(drawn("key") % key_space, seed).alias("id"),
         first.alias("firstname"), last.alias("lastname"),
         F.lower(F.concat(first, F.lit("."), last, F.lit("@"), _one_of(WORDS, drawn("email")),
@@ -278,14 +291,11 @@ def transaction_changes(rows: DataFrame, row: str, now: datetime, customers: Dat
 
     ``customers`` carries its row number as ``customer_row`` and the customer id as ``id``.
     """
-    number = F.col(row)
-
     def drawn(name: str) -> Column:
-        return draw(number, f"t_{name}", seed)
+        return draw(f"t_{name}", seed)
 
-    made = rows.select(
-        number.alias("__row"),
-        _key_text(number, seed + 1).alias("id"),
+    made = numbered(rows, row, seed).select(
+        "__row", _key_text(F.col("__row"), seed + 1).alias("id"),
         _this_month(drawn("transaction_date"), now).alias("transaction_date"),
         F.round(drawn("amount") / F.lit(float(PRIME)) * 1000).alias("amount"),
         F.round(drawn("item_count") / F.lit(float(PRIME)) * 10).alias("item_count"),
@@ -301,7 +311,7 @@ def write_change_feed(spark: SparkSession, path: str, customers: int, transactio
     rows = spark.range(customers)
     people = customer_changes(rows, "id", now, seed)
     people.repartition(files[0]).write.mode("overwrite").json(f"{path}/customers")
-    keyed = rows.select("id").withColumnRenamed("id", "__n")
-    owners = keyed.select("__n", _key_text(draw(F.col("__n"), "key", seed) % 20_000, seed).alias("id"))
-    deals = transaction_changes(spark.range(transactions), "id", now, owners, "__n", seed)
+    owners = numbered(rows, "id", seed).select(
+        F.col("__row").alias("row"), _key_text(draw("key", seed) % KEY_SPACE, seed).alias("id"))
+    deals = transaction_changes(spark.range(transactions), "id", now, owners, "row", seed)
     deals.repartition(files[1]).write.mode("overwrite").json(f"{path}/transactions")
