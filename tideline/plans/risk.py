@@ -59,6 +59,16 @@ def loans_per_state(loans: DataFrame) -> DataFrame:
     return loans.groupBy("addr_state").agg(F.count("annual_inc").alias("ratio"))
 
 
+def store_training_table(labelled: DataFrame, path: str) -> DataFrame:
+    """Write the rows once, spread over all cores, and read them back.
+
+    Training reads its input many times; stored rows spare it the joins behind them.
+    """
+    cores = labelled.sparkSession.sparkContext.defaultParallelism
+    labelled.repartition(cores).write.mode("overwrite").parquet(path)
+    return labelled.sparkSession.read.parquet(path)
+
+
 def _shared_stages(one_hot: bool) -> list:
     """Level cleaning, indexing and imputing; the input columns stay as they are."""
     clean = SQLTransformer(statement=(

@@ -468,9 +468,8 @@ def confusion_business_value(spark, folder):
 
 def _training_table(spark, folder) -> DataFrame:
     """Labelled loans, stored once because training reads them many times."""
-    path = scratch_dir(spark, "loanstats_train")
-    risk.label_loans(loan_book(spark, folder)).write.parquet(path)
-    return spark.read.parquet(path)
+    return risk.store_training_table(risk.label_loans(loan_book(spark, folder)),
+                                     scratch_dir(spark, "loanstats_train"))
 
 
 def glm_scores(spark, folder):
