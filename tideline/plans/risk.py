@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
-from pyspark import inheritable_thread_target
+from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
@@ -90,6 +90,13 @@ def _shared_stages(one_hot: bool) -> list:
     return [*stages, impute, assemble, label]
 
 
+def _without_summary(model: LogisticRegressionModel) -> LogisticRegressionModel:
+    """Drop the training summary. It refers to the session, and a session in which an Observation
+    was used cannot be shipped to executors together with the model."""
+    model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
+    return model
+
+
 def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEED) -> PipelineModel:
     """Logistic regression on standardized features; the best of the grid by cross-validation.
 
@@ -109,7 +116,8 @@ def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEE
         prepared = features.fit(kept)
         fitted = dict(regression.fitMultiple(prepared.transform(kept), grid))
         validation = prepared.transform(held_out)
-        return [evaluator.evaluate(fitted[i].transform(validation)) for i in range(len(grid))]
+        return [evaluator.evaluate(_without_summary(fitted[i]).transform(validation))
+                for i in range(len(grid))]
 
     with ThreadPoolExecutor(parallelism) as pool:
         tasks = [pool.submit(inheritable_thread_target(train.sparkSession)(fold_metrics), n)
@@ -117,7 +125,9 @@ def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEE
         metrics = [task.result() for task in tasks]
     averages = [sum(column) / FOLDS for column in zip(*metrics)]
     chosen = regression.copy(grid[averages.index(max(averages))])
-    return Pipeline(stages=[*_shared_stages(True), scale, chosen]).fit(train)
+    model = Pipeline(stages=[*_shared_stages(True), scale, chosen]).fit(train)
+    _without_summary(model.stages[-1])
+    return model
 
 
 def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
@@ -127,20 +137,6 @@ def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
     return Pipeline(stages=[*_shared_stages(False), trees]).fit(train)
 
 
-def best_threshold(model: PipelineModel) -> float:
-    """Threshold with the largest F-measure on the training data.
-
-    The measure counts scores at or above a threshold, the model predicts above it. The fitted
-    model therefore gets the middle between this threshold and the next lower one.
-    """
-    regression = model.stages[-1]
-    measures = regression.summary.fMeasureByThreshold
-    best = measures.agg(F.max_by("threshold", F.struct("F-Measure", "threshold")).alias("t")).first()["t"]
-    below = measures.where(F.col("threshold") < best).agg(F.max("threshold").alias("t")).first()["t"]
-    regression.setThreshold((best + (below or 0.0)) / 2)
-    return best
-
-
 def score(model: PipelineModel, loans: DataFrame) -> DataFrame:
     """p0, p1, label and prediction of every loan."""
     probability = vector_to_array("probability")
@@ -217,6 +213,22 @@ def area_under_roc(scored: DataFrame, score_col: str = "p1", label_col: str = "l
     return roc_area(scored, score_col, label_col).first()["auc"]
 
 
+def best_threshold(model: PipelineModel, train: DataFrame) -> float:
+    """Threshold with the largest F-measure over the distinct scores of ``train``.
+
+    The measure counts scores at or above a threshold, the model predicts above it. The fitted
+    model therefore gets the middle between this threshold and the next lower one.
+    """
+    counts = _checkpointed(_counts(score(model, train), "p1", "label"))
+    positives = counts.agg(F.sum("positives")).first()[0]
+    ranked = running_totals(counts, "threshold", ["positives", "negatives"], descending=True)
+    measure = 2 * F.col("cum_positives") / (F.col("cum_positives") + F.col("cum_negatives") + positives)
+    best = ranked.agg(F.max_by("threshold", F.struct(measure, "threshold")).alias("t")).first()["t"]
+    below = counts.where(F.col("threshold") < best).agg(F.max("threshold")).first()[0]
+    model.stages[-1].setThreshold((best + (below or 0.0)) / 2)
+    return best
+
+
 def confusion_value(scored: DataFrame, net_col: str) -> DataFrame:
     """Rows and summed net value per prediction and label."""
     return (scored.groupBy("prediction", "label")

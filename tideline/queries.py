@@ -475,7 +475,7 @@ def _training_table(spark, folder) -> DataFrame:
 def glm_scores(spark, folder):
     loans = _training_table(spark, folder)
     model = risk.train_glm(loans)
-    risk.best_threshold(model)
+    risk.best_threshold(model, loans)
     return risk.score(model, loans)
 
 
@@ -486,9 +486,9 @@ def gbt_scores(spark, folder):
 
 def risk_functions_agree(spark, folder):
     """The published model, the SQL function and the pandas UDF give every loan the same label."""
-    loans = loan_book(spark, folder)
-    model = risk.train_glm(_training_table(spark, folder))
-    risk.best_threshold(model)
+    loans, train = loan_book(spark, folder), _training_table(spark, folder)
+    model = risk.train_glm(train)
+    risk.best_threshold(model, train)
     root = scratch_dir(spark, "risk_model")
     risk.publish_model(model, root, "loan_risk", "production")
     model = risk.load_model(root, "loan_risk", "production")
