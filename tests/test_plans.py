@@ -89,7 +89,7 @@ def test_failing_loan_update_is_logged_and_quarantined(spark, loan_inputs):
 
 
 def test_literal_quarantine_mode(spark, loan_inputs):
-    tables = run_loans(spark, loan_inputs, "u1", quarantine_mode="reference")
+    tables = run_loans(spark, loan_inputs, "u1", quarantine_mode="literal")
     held = writers.read_snapshot(spark, tables.path("quarantined_cleaned_new_txs"))
     raw = writers.read_snapshot(spark, tables.path("raw_txs")).where("accounting_treatment_id < 6")
     assert held.count() == quarantine(raw, loan.LOAN_RULES, loan.LITERAL_INVERSE).count()

@@ -136,14 +136,17 @@ def _edges(sliced: DataFrame, keys: list[str], spec: ChangeSpec) -> DataFrame:
                        F.lead("__breaks").over(along).alias("__edge_breaks"))
 
 
-def close_versions(records: DataFrame, spec: ChangeSpec) -> DataFrame:
+def close_versions(records: DataFrame, spec: ChangeSpec,
+                   population: DataFrame | None = None) -> DataFrame:
     """All records with ``__START_AT``, ``__END_AT`` and whether they form a visible version.
 
     Records may repeat a (key, sequence); the last by delete flag and hash wins. All windows
-    share one partitioning and order, so the records are shuffled and sorted once.
+    share one partitioning and order, so the records are shuffled and sorted once. Hot keys are
+    looked for in ``population`` (see ``slice_hot_keys``).
     """
     keys = list(spec.keys)
-    sliced, hot = ordered.slice_hot_keys(records, keys, _slice_column(records), spec.min_hot_rows)
+    sliced, hot = ordered.slice_hot_keys(records, keys, _slice_column(records), spec.min_hot_rows,
+                                         population)
     window = Window.partitionBy(*keys, ordered.SLICE).orderBy(*_ORDER)
     # Equal sequences share a slice, so a copy always sees its successor here.
     df = sliced.withColumn(END, F.lead(SEQUENCE).over(window))
@@ -192,13 +195,18 @@ def merge_state(state: DataFrame | None, changes: DataFrame, spec: ChangeSpec) -
     a window. With few changes Spark broadcasts their keys and the state is not shuffled at all;
     with many, adaptive execution splits a hot key on the state side of the join.
     """
-    reduce_group = latest_changes if spec.scd_type == 1 else close_versions
     if state is None:
-        return reduce_group(changes, spec)
+        return latest_changes(changes, spec) if spec.scd_type == 1 else close_versions(changes, spec)
     touched = changes.select(*spec.keys).distinct()
     untouched = state.join(touched, list(spec.keys), "left_anti")
     history = state.join(touched, list(spec.keys), "left_semi").select(*changes.columns)
-    return untouched.unionByName(reduce_group(history.unionByName(changes), spec))
+    affected = history.unionByName(changes)
+    if spec.scd_type == 1:
+        return untouched.unionByName(latest_changes(affected, spec))
+    # Hot keys show in the stored rows themselves, without the join above.
+    stored = [df.select(*spec.keys, SEQUENCE) for df in (state, changes)]
+    reopened = close_versions(affected, spec, population=stored[0].unionByName(stored[1]))
+    return untouched.unionByName(reopened)
 
 
 def visible(state: DataFrame, spec: ChangeSpec) -> DataFrame:

@@ -29,18 +29,23 @@ _MAX_TRACKED = 1_000_000
 
 
 def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Column,
-                   min_hot_rows: int = MIN_HOT_ROWS) -> tuple[DataFrame, bool]:
+                   min_hot_rows: int = MIN_HOT_ROWS,
+                   population: DataFrame | None = None) -> tuple[DataFrame, bool]:
     """Add ``__slice``: 0 for ordinary keys, 1..n along ``order`` for hot ones.
 
     A slice number never decreases as ``order`` grows, and equal ``order`` values share one, so
     it is safe to compare rows slice by slice. Which keys are found hot affects only the spread
     of work, never a result. ``order`` must have a type that percentile_approx accepts.
+
+    Keys and cut points are taken from ``population``, by default ``df`` itself. Pass rows that
+    contain those of ``df`` and are cheaper to read, such as the tables ``df`` was joined from.
     """
     spark = df.sparkSession
+    population = df if population is None else population
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     key_hash = F.xxhash64(*[F.col(k) for k in keys])
     tracked = min(_MAX_TRACKED, max(1000, 20 * partitions))
-    found = (df.select(key_hash.alias("h"))
+    found = (population.select(key_hash.alias("h"))
              .agg(F.count(F.lit(1)).alias("rows"),
                   F.expr(f"approx_top_k(h, {partitions}, {tracked})").alias("top"))
              .first())
@@ -57,7 +62,7 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Column,
         [(h, max(1, widest // n), math.isqrt(n) + 1) for h, n in wanted.items()],
         "__hot long, __step int, __block int")
     thinned = F.filter("__q", lambda b, i: (i + 1) % F.col("__step") == 0)
-    bounds = (df.select(key_hash.alias("__hot"), order.alias("__o"))
+    bounds = (population.select(key_hash.alias("__hot"), order.alias("__o"))
               .join(F.broadcast(hot.select("__hot")), "__hot", "left_semi")
               .groupBy("__hot").agg(F.percentile_approx("__o", fractions, 10_000).alias("__q"))
               .join(F.broadcast(hot), "__hot")

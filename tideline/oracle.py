@@ -135,9 +135,7 @@ SELECT *, (mixed * mixed + a) % {prime} AS b FROM (
 
 
 def _draw(name: str, seed: int) -> str:
-    prime = sy.PRIME
-    return (f"((a * {sy.salt(name + '/a', seed)} % {prime} + b * {sy.salt(name + '/b', seed)} % {prime} "
-            f"+ {sy.salt(name, seed)}) % {prime})")
+    return f"((a * {sy.salt(name, seed)} + b) % {sy.PRIME})"
 
 
 def _one_of(values, drawn: str) -> str:
@@ -343,6 +341,7 @@ def statements() -> dict[str, str]:
                    CASE WHEN loan_status = 'Fully Paid' THEN 'false' ELSE 'true' END AS bad_loan,
                    verification_status
             FROM loans WHERE loan_status IN ('Default', 'Charged Off', 'Fully Paid')""",
+        "sample_split": "SELECT * FROM orders",
         "count_by_state": _LOANS + """
             SELECT n_name AS addr_state, count(CASE WHEN income_known THEN c_acctbal END) AS ratio
             FROM loans GROUP BY 1""",
@@ -358,6 +357,13 @@ def statements() -> dict[str, str]:
             ranked AS (SELECT *, sum(pos) OVER (ORDER BY p1 DESC) AS cum FROM per_score)
             SELECT sum((CAST(cum AS DOUBLE) - pos / CAST(2 AS DOUBLE)) * neg)
                    / (CAST(sum(pos) AS DOUBLE) * CAST(sum(neg) AS DOUBLE)) AS auc FROM ranked""",
+        "f_measure_by_threshold": f"""WITH {_SCORES},
+            per_score AS (SELECT p1, count(*) FILTER (label > 0.5) AS pos, count(*) AS n
+                          FROM scored GROUP BY 1)
+            SELECT p1 AS threshold,
+                   CAST(2 * sum(pos) OVER w AS DOUBLE)
+                   / CAST(sum(n) OVER w + sum(pos) OVER () AS DOUBLE) AS f_measure
+            FROM per_score WINDOW w AS (ORDER BY p1 DESC)""",
         "confusion_totals": f"""WITH {_SCORES}
             SELECT prediction, label, count(*) AS loans, CAST(sum(net) AS BIGINT) AS sum_net
             FROM scored GROUP BY 1, 2""",

@@ -109,7 +109,7 @@ def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str
         new = writers.read_stream(spark, tables.path(RAW.name))
         return with_lookup(new, lookup, "accounting_treatment_id", "id", "accounting_treatment")
 
-    inverse = LITERAL_INVERSE if quarantine_mode == "reference" else None
+    inverse = LITERAL_INVERSE if quarantine_mode == "literal" else None
     stream(quarantine(joined(), LOAN_RULES, inverse), QUARANTINED)
     stream(joined(), CLEANED)
 

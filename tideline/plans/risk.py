@@ -213,18 +213,25 @@ def area_under_roc(scored: DataFrame, score_col: str = "p1", label_col: str = "l
     return roc_area(scored, score_col, label_col).first()["auc"]
 
 
+def f_measures(scored: DataFrame, score_col: str = "p1", label_col: str = "label") -> DataFrame:
+    """F-measure at every distinct score, counting scores at or above it as positive."""
+    counts = _checkpointed(_counts(scored, score_col, label_col))
+    positives = counts.agg(F.sum("positives")).first()[0]
+    ranked = running_totals(counts, "threshold", ["positives", "negatives"], descending=True)
+    predicted = F.col("cum_positives") + F.col("cum_negatives")
+    return ranked.select("threshold", (2 * F.col("cum_positives") / (predicted + F.lit(positives)))
+                         .alias("f_measure"))
+
+
 def best_threshold(model: PipelineModel, train: DataFrame) -> float:
-    """Threshold with the largest F-measure over the distinct scores of ``train``.
+    """Threshold with the largest F-measure on ``train``, set on the fitted model.
 
     The measure counts scores at or above a threshold, the model predicts above it. The fitted
     model therefore gets the middle between this threshold and the next lower one.
     """
-    counts = _checkpointed(_counts(score(model, train), "p1", "label"))
-    positives = counts.agg(F.sum("positives")).first()[0]
-    ranked = running_totals(counts, "threshold", ["positives", "negatives"], descending=True)
-    measure = 2 * F.col("cum_positives") / (F.col("cum_positives") + F.col("cum_negatives") + positives)
-    best = ranked.agg(F.max_by("threshold", F.struct(measure, "threshold")).alias("t")).first()["t"]
-    below = counts.where(F.col("threshold") < best).agg(F.max("threshold")).first()[0]
+    measures = f_measures(score(model, train))
+    best = measures.agg(F.max_by("threshold", F.struct("f_measure", "threshold")).alias("t")).first()["t"]
+    below = measures.where(F.col("threshold") < best).agg(F.max("threshold")).first()[0]
     model.stages[-1].setThreshold((best + (below or 0.0)) / 2)
     return best
 

@@ -427,6 +427,12 @@ def label_rows(spark, folder):
         "o_orderkey", "loan_status", "bad_loan", "verification_status")
 
 
+def sample_split(spark, folder):
+    """Both parts of the seeded split, put together again."""
+    small, rest = risk.sample_loans(table(spark, folder, "orders"))
+    return small.union(rest)
+
+
 def count_by_state(spark, folder):
     return risk.loans_per_state(loan_book(spark, folder))
 
@@ -454,6 +460,10 @@ def roc_stacked(spark, folder):
     return risk.stacked_roc({"scored": scored, "turned": turned}, bins=10)
 
 
+def f_measure_by_threshold(spark, folder):
+    return risk.f_measures(fixed_scores(spark, folder))
+
+
 def roc_area(spark, folder):
     return risk.roc_area(fixed_scores(spark, folder))
 
@@ -531,6 +541,7 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     orders_with_customer, sales_by_place, sales_table, log_update_events, log_user_actions,
     log_lineage, log_quality_totals, log_quality_runs, log_latest_version,
     log_latest_version_by_number, log_backlog, log_cluster_metrics, log_view_in_sql,
-    log_of_own_run, label_rows, count_by_state, roc_by_bins, roc_exact, roc_stacked, roc_area,
-    confusion_totals, confusion_business_value, glm_scores, gbt_scores, risk_functions_agree,
+    log_of_own_run, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact, roc_stacked,
+    roc_area, f_measure_by_threshold, confusion_totals, confusion_business_value, glm_scores,
+    gbt_scores, risk_functions_agree,
     generated_accounts, generated_customer_changes, generated_transaction_changes)}

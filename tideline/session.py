@@ -16,8 +16,6 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # HotSpot does not compile methods above 8000 bytes; wide projections run faster unfused.
-    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Quality counters are read back from query progress, one entry per micro-batch.
     "spark.sql.streaming.numRecentProgressUpdates": "10000",
 }
