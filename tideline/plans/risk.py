@@ -60,12 +60,11 @@ def loans_per_state(loans: DataFrame) -> DataFrame:
 
 
 def store_training_table(labelled: DataFrame, path: str) -> DataFrame:
-    """Write the rows once, spread over all cores, and read them back.
+    """Write the rows once, in files of similar size, and read them back.
 
     Training reads its input many times; stored rows spare it the joins behind them.
     """
-    cores = labelled.sparkSession.sparkContext.defaultParallelism
-    labelled.repartition(cores).write.mode("overwrite").parquet(path)
+    labelled.hint("rebalance").write.mode("overwrite").parquet(path)
     return labelled.sparkSession.read.parquet(path)
 
 
