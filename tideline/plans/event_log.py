@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tideline.functions.parsing import json_number, json_path, version_key
 from tideline.spec import Dataset
-from tideline.streaming import paths
 from tideline.streaming.writers import FlowProgress
 
 EVENT_SCHEMA = ("id STRING, timestamp TIMESTAMP, event_type STRING, "

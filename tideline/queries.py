@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from tideline.functions.parsing import merge_levels
 from tideline.operators import changes as ch
 from tideline.operators.quality import (apply_expectations, expect, expect_or_drop, expect_or_fail,
                                         expectation_counts, quarantine)
