@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.byte_bpe import op4_byte_bpe
+from tideline.llm.packing import op1_best_fit_packing
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_best_fit_packing": op1_best_fit_packing,
     "op4_byte_bpe": op4_byte_bpe,
 }
 
