@@ -8,9 +8,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.packing import op1_best_fit_packing
+from tideline.llm.simhash import op2_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_simhash": op2_simhash,
     "op4_byte_bpe": op4_byte_bpe,
 }
 
