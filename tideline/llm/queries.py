@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm.byte_bpe import op4_byte_bpe
+from tideline.llm.licenses import op8_licenses
 from tideline.llm.packing import op1_best_fit_packing
 from tideline.llm.simhash import op2_simhash
 
@@ -14,6 +15,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
     "op4_byte_bpe": op4_byte_bpe,
+    "op8_licenses": op8_licenses,
 }
 
 # What SQL cannot express is tested against brute force in tests/llm.
