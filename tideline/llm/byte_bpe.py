@@ -10,6 +10,9 @@ so no frequent word makes a large group.
 (50,256 entries, half a megabyte), a bound that does not depend on the data, so it is shipped to
 every task.
 
+Texts are read twice. The documents must come in the same order and partitions both times, as they
+do from files; otherwise the blocks differ and ``encode`` stops with ``ValueError``.
+
 Null and empty texts give no ids and decode to no bytes. Rows are treated one by one: repeated
 rows and repeated or null ids give as many results. An empty table gives an empty result. Only
 ``id_col`` and ``text_col`` are read.
@@ -25,6 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -32,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from tideline.llm.common import stored, table, vocabulary
+from tideline.llm.common import table, vocabulary
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # A block ends after this many characters, a chunk of positions after that many.
@@ -82,12 +86,13 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
             ) -> Iterator[pa.RecordBatch]:
     """Rows of two kinds: documents with their positions, and the distinct words by bucket.
 
-    Position codes number the words of a block by falling frequency, so that they compress well.
+    A block is named by its place and its texts, so that both kinds only meet if they come from the
+    same rows. Position codes number its words by falling frequency, so that they compress well;
     ``slots`` says where each number's word stands in the block's words, taken bucket by bucket.
     """
     narrow, wide = splitters(pattern)
     partition = TaskContext.get().partitionId()
-    numbers, chunks, chars, made = _Numbers(), [], 0, 0
+    numbers, chunks, chars, made, seen = _Numbers(), [], 0, 0, xxhash.xxh64()
     ids, sizes, codes, waiting = [], [], [], 0
 
     def row(**values) -> pa.RecordBatch:
@@ -101,9 +106,10 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
         ids, sizes, codes, waiting = [], [], [], 0
 
     def flush() -> Iterator[pa.RecordBatch]:
-        nonlocal numbers, chunks, chars, made
+        nonlocal numbers, chunks, chars, made, seen
         close()
-        block = (partition << 24) + made
+        seen.update(f"{partition} {made}")
+        block = seen.intdigest() - (1 << 63)
         words = list(numbers)
         counts = np.zeros(len(words), np.int64)
         for _, _, found in chunks:
@@ -122,11 +128,12 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
         for bucket in np.flatnonzero(np.diff(ends)):
             yield row(block=block, bucket=int(bucket),
                       words=[words[i] for i in by_owner[ends[bucket]:ends[bucket + 1]]])
-        numbers, chunks, chars, made = _Numbers(), [], 0, made + 1
+        numbers, chunks, chars, made, seen = _Numbers(), [], 0, made + 1, xxhash.xxh64()
 
     for batch in batches:
         for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):
             text = value.as_py() or ""
+            seen.update(text)
             found = (wide if _UNUSUAL.search(text) else narrow).findall(text)
             ids.append(key)
             sizes.append(len(found))
@@ -180,6 +187,8 @@ def _flat(column: pa.ChunkedArray, order: list[int]) -> np.ndarray:
 
 def _reassemble(chunks: pa.Table, words: pa.Table, schema: pa.Schema) -> pa.Table:
     """Put the ids of a block's words at their positions."""
+    if not chunks.num_rows or sum(n or 0 for n in chunks.column("distinct").to_pylist()) and not words.num_rows:
+        raise ValueError("the documents came in another order when read again; store them first")
     order = np.argsort(words.column("bucket").to_numpy()).tolist()
     sizes = _flat(words.column("sizes"), order).astype(np.int64)
     values = _flat(words.column("tokens"), order).astype(np.int32)
@@ -215,9 +224,9 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     arrow, arrow_result = to_arrow_schema(schema), to_arrow_schema(result)
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(raw)
-    # Written once: positions and words of a block must come from one reading of its texts.
-    blocks = stored(docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        lambda b: _blocks(b, pattern, buckets, arrow), schema), "bpe-blocks")
+    # Cutting texts twice costs less than keeping positions and words on disk between the two uses.
+    blocks = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
+        lambda b: _blocks(b, pattern, buckets, arrow), schema)
     ids = (blocks.where("bucket IS NOT NULL").select("block", "bucket", "words")
            .repartition(F.col("bucket"))
            .mapInArrow(lambda b: _encode_words(b, shared.value),
