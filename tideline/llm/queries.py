@@ -9,12 +9,14 @@ from pyspark.sql import DataFrame, SparkSession
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.licenses import op8_licenses
 from tideline.llm.packing import op1_best_fit_packing
+from tideline.llm.pii import op3_pii
 from tideline.llm.quality import op5_quality
 from tideline.llm.simhash import op2_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
     "op2_simhash": op2_simhash,
+    "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
     "op8_licenses": op8_licenses,
