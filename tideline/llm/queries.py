@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tideline.llm import topk
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.licenses import op8_licenses
 from tideline.llm.packing import op1_best_fit_packing
@@ -19,8 +20,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_pii": op3_pii,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
+    "op6_top_k": topk.op6_top_k,
     "op8_licenses": op8_licenses,
 }
 
 # What SQL cannot express is tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {"op6_top_k": topk.ORACLE_SQL}
