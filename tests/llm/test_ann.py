@@ -1,0 +1,79 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tideline.llm import ann, vectors
+
+
+def brute(rows, queries, k):
+    usable = [(i, np.array(v, float)) for i, v in rows if i is not None and v
+              and all(x is not None and np.isfinite(x) for x in v) and any(v)]
+    out = set()
+    for i, v in usable:
+        if queries(i):
+            near = sorted((float(np.sqrt(((v - w) ** 2).sum())), j) for j, w in usable if j != i and len(w) == len(v))
+            out |= {(i, tuple(v), r + 1, j, d) for r, (d, j) in enumerate(near[:k])}
+    return sorted((i, r, j, d) for i, _, r, j, d in out)
+
+
+def same(got, expected):
+    got = sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got)
+    assert [g[:3] for g in got] == [e[:3] for e in expected]
+    assert np.allclose([g[3] for g in got], [e[3] for e in expected], rtol=0, atol=1e-12)
+
+
+def test_parts_are_balanced_and_cut_few_edges():
+    rng = np.random.default_rng(0)
+    x = np.concatenate([rng.normal(c, 0.3, (100, 6)) for c in rng.normal(0, 4, (8, 6))])
+    graph = ann.neighbour_graph(x, 5)
+    parts = ann.partition(x, graph, 8)
+    assert np.bincount(parts).tolist() == [100] * 8
+    assert (parts[graph] == parts[:, None]).mean() > 0.8
+
+
+@pytest.mark.parametrize("tile", [16, 500])
+def test_odd_rows_against_brute_force(spark, monkeypatch, tile):
+    monkeypatch.setattr(vectors, "TILE_ROWS", tile)
+    monkeypatch.setattr(vectors, "GROUP_ROWS", 50)
+    rng = np.random.default_rng(4)
+    rows = [(i, [float(x) for x in rng.normal(size=8).round(2)]) for i in range(200)]
+    rows += [(300 + i, rows[0][1]) for i in range(12)] + [(10, [0.5] * 8), (20, [1.0] * 8), (20, [1.0] * 8)]
+    rows += [(400, None), (401, []), (402, [1.0, None]), (403, [float("nan")] * 8), (404, [float("-inf")] * 8),
+             (None, [1.0] * 8), (410, [1.0, 2.0]), (411, [2.0, -1.0]), (420, [1.0] * 3), (430, [0.0] * 8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").withColumn("part", F.lit(1)).repartition(5)
+    # All parts asked: the result is exact.
+    router = ann.train(df, parts=4, target=1.1)
+    assert router.weights[-1].size == 4 and router.dims == 8
+    same(ann.search(df, F.col("vec_id") % 10 == 0, router, k=6).collect(), brute(rows, lambda i: i % 10 == 0, 6))
+
+
+def test_short_parts_are_filled(spark):
+    rows = [(i, [float(i), 1.0]) for i in range(8)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    weights = [np.eye(2), np.zeros(2), np.array([[1.0, -1.0], [0.0, 0.0]]), np.array([-3.5, 3.5])]
+    got = ann.search(df, F.col("vec_id") == 0, ann.Router(weights, 1, 2), k=6).collect()
+    same(got, brute(rows, lambda i: i == 0, 6))
+
+
+def test_empty_and_unusable(spark):
+    for rows in ([], [(1, None), (2, [])]):
+        df = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+        assert ann.train(df) is None
+        assert ann.search(df, F.lit(True), None).collect() == []
+
+
+def test_recall_of_the_query(spark):
+    folder = "/root/testdata/sf0.1"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{folder}/embeddings.parquet").collect()]
+    expected = brute(rows, lambda i: i % 100 == 0, 10)
+    got = ann.op7_ann(spark, folder).collect()
+    assert len(got) == len(expected)
+    true = {(q, j): d for q, _, j, d in expected}
+    hits = [(r.query_id, r.vec_id) for r in got if (r.query_id, r.vec_id) in true]
+    assert len(hits) >= 0.9 * len(expected)
+    for r in got:
+        if (r.query_id, r.vec_id) in true:
+            assert abs(r.score - true[r.query_id, r.vec_id]) < 1e-12
+    for q in {r.query_id for r in got}:
+        mine = sorted((r.rank, r.score, r.vec_id) for r in got if r.query_id == q)
+        assert [m[0] for m in mine] == list(range(1, 11)) and mine == sorted(mine, key=lambda m: (m[1], m[2]))

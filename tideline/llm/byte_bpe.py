@@ -63,7 +63,7 @@ def splitters(pattern: str) -> tuple[re.Pattern, object]:
     return re.compile(narrow), regex.compile(pattern)
 
 
-class _Numbers(dict):
+class Numbers(dict):
     """Numbers words in the order they first appear."""
 
     def __missing__(self, word: str) -> int:
@@ -92,7 +92,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
     """
     narrow, wide = splitters(pattern)
     partition = TaskContext.get().partitionId()
-    numbers, chunks, chars, made, seen = _Numbers(), [], 0, 0, xxhash.xxh64()
+    numbers, chunks, chars, made, seen = Numbers(), [], 0, 0, xxhash.xxh64()
     ids, sizes, codes, waiting = [], [], [], 0
 
     def row(**values) -> pa.RecordBatch:
@@ -128,7 +128,7 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
         for bucket in np.flatnonzero(np.diff(ends)):
             yield row(block=block, bucket=int(bucket),
                       words=[words[i] for i in by_owner[ends[bucket]:ends[bucket + 1]]])
-        numbers, chunks, chars, made, seen = _Numbers(), [], 0, made + 1, xxhash.xxh64()
+        numbers, chunks, chars, made, seen = Numbers(), [], 0, made + 1, xxhash.xxh64()
 
     for batch in batches:
         for key, value in zip(batch.column(0).to_pylist(), batch.column(1)):

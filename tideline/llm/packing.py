@@ -26,6 +26,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -34,14 +35,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
-from tideline.llm.byte_bpe import gather
+from tideline.llm.byte_bpe import Numbers, gather
 from tideline.llm.common import stored, table, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 # Distinct words a Python worker remembers.
-REMEMBERED = 500_000
+REMEMBERED = 1_000_000
 
 # str.split() takes these for white space, the vocabulary's pattern does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -58,7 +59,7 @@ class _Words:
         self.forget()
 
     def forget(self) -> None:
-        self.codes: dict[str, int] = {}
+        self.codes = Numbers()
         self.starts = self.sizes = self.values = np.zeros(0, np.int64)
 
     def encode(self, text_list: list[str]) -> Iterator[np.ndarray]:
@@ -67,19 +68,16 @@ class _Words:
         split = [[w for w in _BLANKS.split(t) if w] if _SEPARATORS.search(t) else t.split()
                  for t in text_list]
         codes, known = self.codes, len(self.codes)
-        for words in split:
-            for word in set(words).difference(codes):
-                codes[word] = len(codes)
+        numbered = [np.fromiter(map(codes.__getitem__, words), np.int64, len(words)) for words in split]
         if len(codes) > known:
-            fresh = list(codes)[known:]
+            fresh = list(islice(reversed(codes), len(codes) - known))[::-1]
             found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
             sizes = np.array([len(ids) for ids in found], np.int64)
             self.sizes = np.concatenate([self.sizes, sizes])
             self.starts = np.cumsum(self.sizes) - self.sizes
             self.values = np.concatenate([self.values, np.array([i for ids in found for i in ids], np.int64)])
-        for words in split:
-            places, _ = gather(self.starts, self.sizes,
-                               np.fromiter(map(codes.__getitem__, words), np.int64, len(words)))
+        for found in numbered:
+            places, _ = gather(self.starts, self.sizes, found)
             yield self.values[places].astype("<u4")
 
 

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from tideline.llm import topk
+from tideline.llm.ann import op7_ann
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.licenses import op8_licenses
 from tideline.llm.packing import op1_best_fit_packing
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_quality": op5_quality,
     "op6_top_k": topk.op6_top_k,
+    "op7_ann": op7_ann,
     "op8_licenses": op8_licenses,
 }
 
