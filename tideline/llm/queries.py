@@ -10,6 +10,7 @@ from tideline.llm import chat, topk
 from tideline.llm.ann import op7_ann
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.licenses import op8_licenses
+from tideline.llm.lines import op9_lines
 from tideline.llm.packing import op1_best_fit_packing
 from tideline.llm.pii import op3_pii
 from tideline.llm.quality import op5_quality
@@ -24,6 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_top_k": topk.op6_top_k,
     "op7_ann": op7_ann,
     "op8_licenses": op8_licenses,
+    "op9_lines": op9_lines,
     "op10_chat": chat.op10_chat,
 }
 
