@@ -1,0 +1,80 @@
+import sys
+from collections import Counter
+from pathlib import Path
+
+import pytest
+
+sys.path.insert(0, str(Path(__file__).parent))
+
+import corpus_pipeline as pipeline  # noqa: E402
+import test_lines  # noqa: E402
+import test_packing  # noqa: E402
+import test_pii  # noqa: E402
+import test_simhash  # noqa: E402
+from tideline.llm import lines, quality  # noqa: E402
+
+
+@pytest.fixture(scope="module")
+def results(spark, folder, tmp_path_factory):
+    docs, out = spark.read.parquet(f"{folder}/documents.parquet"), []
+    for name, stage in pipeline.STAGES:
+        path = str(tmp_path_factory.mktemp("stage") / name)
+        stage(spark, docs, folder).write.parquet(path)
+        docs = spark.read.parquet(path)
+        out.append(docs)
+    return out
+
+
+def test_quality_stage(spark, folder, results):
+    docs, labels = (spark.read.parquet(f"{folder}/{n}.parquet") for n in ("documents", "labels"))
+    assert results[0].columns == docs.columns
+    net = quality.train(docs, labels)
+    rows = docs.collect()
+    kept = {r.doc_id for r, s in zip(rows, net.scores([r.text for r in rows])) if s >= 0.3}
+    assert sorted(results[0].collect()) == sorted(r for r in rows if r.doc_id in kept)
+    good = {r.doc_id for r in labels.collect() if r.quality == 1}
+    assert len(good & kept) >= 0.95 * len(good)
+
+
+def test_line_stage(results):
+    keyed = [((r.doc_id, r.h), r.text) for r in
+             results[0].selectExpr("doc_id", "text", "xxhash64(text) AS h").collect()]
+    expected = {k[0]: t for k, t in test_lines.brute(keyed, lines.MIN_WORDS).items()}
+    assert results[1].columns == results[0].columns
+    assert {r.doc_id: r.text for r in results[1].collect()} == expected
+    assert all(r.n_chars == len(r.text) for r in results[1].collect())
+
+
+def test_near_duplicate_stage(results):
+    prints = [(r.doc_id, test_simhash.brute_print(r.text)) for r in results[1].collect()]
+    kept = {c for _, _, c in test_simhash.brute_components(prints)}
+    assert sorted(results[2].collect()) == sorted(r for r in results[1].collect() if r.doc_id in kept)
+
+
+def test_personal_data_stage(results):
+    before = {r.doc_id: r.text for r in results[2].collect()}
+    after = {r.doc_id: r.text for r in results[3].collect()}
+    assert before.keys() == after.keys()
+    changed = {i for i in before if before[i] != after[i]}
+    assert changed >= {i for i, t in before.items() if test_pii.brute_base(t)}
+    assert not any(test_pii.brute_base(after[i]) for i in changed)
+    assert len(changed) <= 0.2 * len(before)
+
+
+def test_packing_stage(results):
+    rows = results[4].collect()
+    expected = Counter((r.doc_id, *x) for r in results[3].collect() for x in test_packing.brute(r.text))
+    assert Counter((r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in rows) == expected
+    test_packing.check_layout(rows)
+
+
+def test_odd_rows_pass_every_stage(spark, folder, tmp_path):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    odd = spark.createDataFrame([(None, None, None, None, None), (1, "", "en", "s", 0), (1, "", "en", "s", 0),
+                                 (2, "word " * 30_000, None, None, 1)], docs.schema)
+    for n, rows in enumerate((odd, odd.limit(0))):
+        for name, stage in pipeline.STAGES:
+            path = str(tmp_path / f"{name}{n}")
+            stage(spark, rows, folder).write.parquet(path)
+            rows = spark.read.parquet(path)
+        assert (rows.count() == 0) == (n == 1)

@@ -92,6 +92,19 @@ def test_small_tiles_copies_nulls_and_repeated_rows(spark):
     assert sorted(got, key=repr) == sorted(brute_components([(i, brute_print(t)) for i, t, _ in rows]), key=repr)
 
 
+def test_keep_one_of_each_group(spark):
+    same = "one two three four five six"
+    rows = [(5, same, "a"), (3, same, "b"), (3, same, "b"), (None, same, "c"), (7, "", "d"), (8, None, "e"),
+            (None, "x y", "f"), (None, "x y", "f"), (9, "quite another text here", "g"), (3, "and an other one", "h")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, bits string").repartition(3)
+    got = simhash.keep_one(df, radius=0)
+    assert got.columns == df.columns
+    assert sorted((tuple(r) for r in got.collect()), key=repr) == sorted(
+        [(3, same, "b"), (7, "", "d"), (None, "x y", "f"), (9, "quite another text here", "g"),
+         (3, "and an other one", "h")], key=repr)
+    assert simhash.keep_one(df.limit(0)).collect() == []
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -176,20 +176,47 @@ def _tile_edges(prints: DataFrame, radius: int, tile: int) -> DataFrame:
             .mapInArrow(compare, "u long, v long"))
 
 
+def _components(prints: DataFrame, id_col: str, radius: int, tile: int) -> DataFrame:
+    """For every fingerprint (``bits``): ``root``, which names its component, and ``first``, its smallest id."""
+    nodes = prints.groupBy("bits").agg(F.min(id_col).alias("first"))
+    roots = components(_tile_edges(nodes.select("bits"), radius, tile))
+    return (nodes.join(roots.withColumnRenamed("node", "bits"), "bits", "left")
+            .select("bits", "first", F.coalesce("root", "bits").alias("root")))
+
+
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                     radius: int = 4, tile: int = TILE) -> DataFrame:
     """One row per document: id, ``fingerprint`` (16 hex digits), ``component_id``."""
     prints = stored(fingerprints(docs, id_col, text_col, shingle), "simhash")
-    nodes = prints.groupBy("bits").agg(F.min(id_col).alias("first"))
-    roots = components(_tile_edges(nodes.select("bits"), radius, tile))
-    named = (nodes.join(roots.withColumnRenamed("node", "bits"), "bits", "left")
-             .select("bits", "first", F.coalesce("root", "bits").alias("root")))
+    named = _components(prints, id_col, radius, tile)
     lowest = named.groupBy("root").agg(F.min("first").alias("component_id"))
     known = named.join(lowest, "root").select("bits", "component_id")
     return (prints.join(known, "bits")
             .select(id_col, F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id"))
 
 
+def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
+             radius: int = 4, tile: int = TILE) -> DataFrame:
+    """The same columns, and of each component one row: that of the smallest id (null ids last).
+
+    Among rows of one id the smallest hash of the text decides, and one of equal rows stays.
+    """
+    known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
+                        F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
+                                 F.xxhash64(text_col).alias("hash")).alias("__key"))
+    prints = stored(fingerprints(known, "__key", "__text", shingle), "simhash")
+    named = _components(prints, "__key", radius, tile)
+    winners = named.groupBy("root").agg(F.min("first").alias("key"))
+    rows = prints.groupBy(F.col("__key").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
+    winners = stored(winners.join(rows, "key").select("key.id", "key.hash", "rows"), "simhash-kept")
+    kept = (docs.withColumn("__hash", F.xxhash64(text_col))
+            .join(winners.select(F.col("id").alias("__id"), F.col("hash").alias("__other")),
+                  F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__other")), "left_semi"))
+    if not winners.where("rows > 1").isEmpty():
+        kept = kept.dropDuplicates([id_col, "__hash"])
+    return kept.select(*docs.columns)
+
+
 def op2_simhash(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprints of all documents and the components that links of 4 or fewer bits make."""
     return near_duplicates(table(spark, folder, "documents"), shingle=4, radius=4)
