@@ -36,7 +36,7 @@ from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import (ArrayType, BinaryType, IntegerType, LongType, StringType, StructField,
                                StructType)
 
-from tideline.llm.common import table, vocabulary
+from tideline.llm.common import small_batches, table, vocabulary
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
 # A block ends after this many characters, a chunk of positions after that many.
@@ -83,8 +83,8 @@ def _unpacked(blob: bytes, count: int) -> np.ndarray:
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schema: pa.Schema,
-            ) -> Iterator[pa.RecordBatch]:
-    """Rows of two kinds: documents with their positions, and the distinct words by bucket.
+            positions: bool) -> Iterator[pa.RecordBatch]:
+    """Documents with their positions, or the distinct words by bucket, block by block.
 
     A block is named by its place and its texts, so that both kinds only meet if they come from the
     same rows. Position codes number its words by falling frequency, so that they compress well;
@@ -111,23 +111,26 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
         seen.update(f"{partition} {made}")
         block = seen.intdigest() - (1 << 63)
         words = list(numbers)
+        owner = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
+        by_owner = np.argsort(owner, kind="stable")
+        if not positions:
+            ends = np.searchsorted(owner[by_owner], np.arange(buckets + 1))
+            for bucket in np.flatnonzero(np.diff(ends)):
+                yield row(block=block, bucket=int(bucket),
+                          words=[words[i] for i in by_owner[ends[bucket]:ends[bucket + 1]]])
+            numbers, chars, made, seen = Numbers(), 0, made + 1, xxhash.xxh64()
+            return
         counts = np.zeros(len(words), np.int64)
         for _, _, found in chunks:
             counts += np.bincount(found, minlength=len(words))
         by_count = np.argsort(-counts, kind="stable")
         renamed = np.empty(len(words), np.uint32)
         renamed[by_count] = np.arange(len(words), dtype=np.uint32)
-        owner = np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
-        by_owner = np.argsort(owner, kind="stable")
         slots = np.empty(len(words), np.uint32)
         slots[renamed[by_owner]] = np.arange(len(words), dtype=np.uint32)
         yield row(block=block, slots=_packed(slots), distinct=len(words))
         for keys, lengths, found in chunks:
             yield row(block=block, ids=keys, sizes=lengths, codes=_packed(renamed[found]))
-        ends = np.searchsorted(owner[by_owner], np.arange(buckets + 1))
-        for bucket in np.flatnonzero(np.diff(ends)):
-            yield row(block=block, bucket=int(bucket),
-                      words=[words[i] for i in by_owner[ends[bucket]:ends[bucket + 1]]])
         numbers, chunks, chars, made, seen = Numbers(), [], 0, made + 1, xxhash.xxh64()
 
     for batch in batches:
@@ -135,16 +138,20 @@ def _blocks(batches: Iterator[pa.RecordBatch], pattern: str, buckets: int, schem
             text = value.as_py() or ""
             seen.update(text)
             found = (wide if _UNUSUAL.search(text) else narrow).findall(text)
-            ids.append(key)
-            sizes.append(len(found))
-            codes.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
-            waiting += len(text)
             chars += len(text)
-            if waiting >= CHUNK_CHARS:
-                close()
+            if positions:
+                ids.append(key)
+                sizes.append(len(found))
+                codes.append(np.fromiter(map(numbers.__getitem__, found), np.uint32, len(found)))
+                waiting += len(text)
+                if waiting >= CHUNK_CHARS:
+                    close()
+            else:
+                # Words keep the order in which they first appear.
+                numbers.update(dict.fromkeys(found))
             if chars >= BLOCK_CHARS:
                 yield from flush()
-    if ids or chunks:
+    if ids or chunks or numbers:
         yield from flush()
 
 
@@ -225,13 +232,14 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     shared = spark.sparkContext.broadcast(raw)
     # Cutting texts twice costs less than keeping positions and words on disk between the two uses.
-    blocks = docs.select(F.col(id_col), F.col(text_col)).mapInArrow(
-        lambda b: _blocks(b, pattern, buckets, arrow), schema)
-    ids = (blocks.where("bucket IS NOT NULL").select("block", "bucket", "words")
-           .repartition(F.col("bucket"))
+    small_batches(spark)
+    texts = docs.select(F.col(id_col), F.col(text_col))
+    words, placed = (texts.mapInArrow(lambda b, p=p: _blocks(b, pattern, buckets, arrow, p), schema)
+                     for p in (False, True))
+    ids = (words.select("block", "bucket", "words").repartition(F.col("bucket"))
            .mapInArrow(lambda b: _encode_words(b, shared.value),
                        "block long, bucket int, sizes array<int>, tokens array<int>"))
-    positions = blocks.where("bucket IS NULL").select("block", "slots", "distinct", "ids", "sizes", "codes")
+    positions = placed.select("block", "slots", "distinct", "ids", "sizes", "codes")
     return (positions.groupBy("block").cogroup(ids.groupBy("block"))
             .applyInArrow(lambda c, w: _reassemble(c, w, arrow_result), result)
             .withColumnRenamed("__id", id_col))
@@ -244,6 +252,7 @@ def decode(encoded: DataFrame, tokens_col: str = "tokens", bytes_col: str = "dec
     An id outside the vocabulary raises ``KeyError``. A null list decodes to no bytes.
     """
     raw = vocabulary(VOCABULARY) if raw is None else raw
+    small_batches(encoded.sparkSession)
     shared = encoded.sparkSession.sparkContext.broadcast(raw)
     schema = StructType([*encoded.schema.fields, StructField(bytes_col, BinaryType())])
     place = encoded.columns.index(tokens_col)

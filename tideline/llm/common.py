@@ -22,6 +22,14 @@ def vocabulary(name: str) -> bytes:
         return file.read()
 
 
+def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
+    """Hand Python workers at most ``size`` bytes at a time, where the session allows more."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = spark.conf.get(name).removesuffix("b")
+    if not now.isdigit() or int(now) > size:
+        spark.conf.set(name, f"{size}b")
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 
