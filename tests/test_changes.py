@@ -204,3 +204,29 @@ def test_bad_options_are_rejected():
         spec(3)
     with pytest.raises(ValueError):
         spec(1, track_history=("value",))
+
+
+def test_missing_key_stops(spark):
+    spec = ch.ChangeSpec(("k",), "s")
+    feed = spark.createDataFrame([(None, 1)], "k string, s int")
+    with pytest.raises(Exception, match="without a key"):
+        ch.stamp_changes(feed, spec).collect()
+
+
+@pytest.mark.parametrize("kind", ["string", "struct<day: int, n: int>"])
+def test_any_sorted_sequence_gives_the_same_versions_hot_and_cold(spark, kind):
+    items = [("k", f"{i * 7919 % 200:04d}" if kind == "string" else (i % 3, i * 7919 % 200), i) for i in range(200)]
+    feed = spark.createDataFrame(items, f"k string, s {kind}, v int")
+    got = []
+    for limit in (10, 1_000_000):
+        spec = ch.ChangeSpec(("k",), "s", scd_type=2, min_hot_rows=limit)
+        versions = ch.close_versions(ch.distinct_changes(ch.stamp_changes(feed, spec), spec), spec)
+        got.append(rows(ch.visible(versions, spec)))
+    assert got[0] == got[1] and len(got[0]) == 200
+
+
+def test_empty_target_is_readable(spark, root):
+    feed = spark.createDataFrame([], "k string, s int, v int")
+    for kind in (1, 2):
+        target = ChangeTarget(spark, f"{root}/t{kind}", ch.ChangeSpec(("k",), "s", scd_type=kind), feed=feed)
+        assert target.read().collect() == []

@@ -77,3 +77,40 @@ def test_unknown_format_and_missing_files(spark, root):
         ingest_files(spark, root, "xml")
     with pytest.raises(ValueError):
         ingest_files(spark, f"{root}/none", "json")
+
+
+def test_schema_comes_from_all_files_at_any_depth(spark, root):
+    put(f"{root}/in/a.json", '{"id":1}')
+    put(f"{root}/in/x/y/z.json", '{"id":2,"late":5}')
+    stream = ingest_files(spark, f"{root}/in", "json", schema_location=f"{root}/schema", rescued="_rescued_data")
+    assert rows(load(spark, root, stream), "id", "late", "_rescued_data") == [(1, None, None), (2, 5, None)]
+
+
+@pytest.mark.parametrize("line, rescued", [
+    ('{"a":{"x":"bad","y":7},"l":[{"q":"no","z":1}]}', {"a", "l"}),
+    ('{"a":{"x":1},"l":[{"q":2},{"q":null}]}', set()),
+    ('{"a":{"x":1,"new":null},"l":[]}', set()),
+    ('{"a":{"x":1,"new":2},"l":null}', {"a"}),
+    ('{"a":{"x":1},"l":[{"q":2,"z":3}]}', {"l"}),
+    ('{"a":5,"l":{"q":1}}', {"a", "l"}),
+])
+def test_nested_rescue(spark, line, rescued):
+    schema = StructType.fromDDL("a STRUCT<x: INT>, l ARRAY<STRUCT<q: INT>>")
+    got = rescue_json(spark.createDataFrame([(line,)], "line string"), "line", schema).first()
+    kept = json.loads(got["_rescued_data"] or "{}")
+    assert set(kept) == rescued
+    for name in rescued:
+        assert json.loads(kept[name]) == json.loads(line)[name]
+
+
+def test_csv_misfits_are_rescued(spark, root):
+    put(f"{root}/in/a.csv", "id,name", "1,a", "x7,oops", "3,c,more", "4")
+    stream = ingest_files(spark, f"{root}/in", "csv", schema="id INT, name STRING", rescued="_rescued_data")
+    got = {(r.id, r.name): json.loads(r._rescued_data or "{}") for r in load(spark, root, stream).collect()}
+    assert got[(1, "a")] == {} and got[(None, "oops")] == {"id": "x7"}
+    assert got[(3, "c")] == {"_corrupt_record": "3,c,more"} and got[(4, None)] == {"_corrupt_record": "4"}
+
+
+def test_nothing_to_infer_from(spark, root):
+    with pytest.raises(ValueError, match="no file"):
+        ingest_files(spark, f"{root}/none", "json")

@@ -118,7 +118,7 @@ def test_confusion_and_value(spark):
 
 
 def test_sample_split_loses_nothing(spark, loans):
-    small, rest = risk.sample_loans(loans)
+    small, rest = risk.sample_loans(loans, "o_orderkey")
     assert small.count() + rest.count() == loans.count() and small.count() < rest.count() / 10
 
 
@@ -131,3 +131,17 @@ def test_stored_tables(spark, loans):
     assert spark.table("loan_stats").count() == spark.table("loanstats_train").count() > 0
     states = risk.loans_per_state(spark.table("loan_stats"))
     assert states.agg(F.sum("ratio")).first()[0] == spark.table("loan_stats").where("annual_inc IS NOT NULL").count()
+
+
+def test_curve_without_scores_and_with_one_class(spark):
+    some = spark.createDataFrame([(.9, 1.), (.5, 0.), (.4, 1.), (.1, 0.), (None, 1.), (float("nan"), 0.), (.3, None)],
+                                 "p1 double, label double")
+    known = some.where("p1 IS NOT NULL AND NOT isnan(p1) AND label IS NOT NULL")
+    for bins in (10, None):
+        assert rows(risk.roc_points(some, bins=bins)) == rows(risk.roc_points(known, bins=bins))
+        ends = rows(risk.roc_points(some, bins=bins, ends=True), "fpr", "tpr")
+        assert (0.0, 0.0) in ends and (1.0, 1.0) in ends
+    assert risk.area_under_roc(some) == 0.75
+    one = known.where("label = 1")
+    assert {r[0] for r in rows(risk.roc_points(one, bins=None), "fpr")} == {None}
+    assert risk.area_under_roc(one) is None

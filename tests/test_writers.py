@@ -1,4 +1,5 @@
 import glob
+import os
 import random
 import time
 
@@ -113,3 +114,13 @@ def test_streamed_aggregate_equals_batch(spark, root):
     batch = retail.sales_by_city(spark.read.parquet(f"{root}/in"), "LA")
     assert rows(writers.read_snapshot(spark, f"{root}/t")) == rows(batch)
     assert paths.latest_version(spark, f"{root}/t") == 2
+
+
+def test_counters_of_every_batch_of_a_long_stream(spark, root):
+    for i in range(105):
+        os.makedirs(f"{root}/in", exist_ok=True)
+        with open(f"{root}/in/f{i:03d}.json", "w") as out:
+            out.write('{"id": %d}' % i)
+    stream = (spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in"))
+    done = writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", Dataset("counted"))
+    assert len(done) == 105 and sum(p.output_rows for p in done) == 105

@@ -13,11 +13,6 @@ def as_column(value: Column | str) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
 
-def lenient_date(value: Column | str) -> Column:
-    """ISO date or date-time text (or a timestamp) to DATE."""
-    return as_column(value).try_cast("date")
-
-
 def epoch_timestamp(value: Column | str) -> Column:
     """Epoch seconds, as number or text, to TIMESTAMP."""
     return F.timestamp_seconds(as_column(value).try_cast("bigint"))

@@ -67,8 +67,8 @@ def _hashable(df: DataFrame, name: str) -> Column:
 def stamp_changes(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
     """Key and payload columns plus sequence, delete flag and tie-breaking hash.
 
-    A record without a sequence stops the update. Keys must not be NULL; drop or fail such
-    records with a quality rule first.
+    A record without a sequence or without a key stops the update; drop such records with a
+    quality rule first.
     """
     payload = payload_columns(feed.columns, spec)
     deleted = (F.lit(False) if spec.apply_as_deletes is None
@@ -77,8 +77,14 @@ def stamp_changes(feed: DataFrame, spec: ChangeSpec) -> DataFrame:
     stamped = feed.select(*[F.col(f"`{c}`") for c in payload],
                           sequence.alias(SEQUENCE), deleted.alias(DELETED),
                           F.xxhash64(*[_hashable(feed, c) for c in payload]).alias(TIE))
-    missing = F.raise_error(F.lit("change record without a sequence value")).cast("boolean")
-    return stamped.where(F.when(F.col(SEQUENCE).isNull(), missing).otherwise(F.lit(True)))
+    def stop(what: str) -> Column:
+        return F.raise_error(F.lit(f"change record without a {what} value")).cast("boolean")
+
+    no_key = F.lit(False)
+    for key in spec.keys:
+        no_key = no_key | F.col(f"`{key}`").isNull()
+    return stamped.where(F.when(F.col(SEQUENCE).isNull(), stop("sequence"))
+                         .when(no_key, stop("key")).otherwise(F.lit(True)))
 
 
 def _last_first() -> list[Column]:
@@ -101,12 +107,6 @@ def reduce_batch(stamped: DataFrame, spec: ChangeSpec) -> DataFrame:
     return latest_changes(stamped, spec) if spec.scd_type == 1 else distinct_changes(stamped, spec)
 
 
-def _slice_column(df: DataFrame) -> Column:
-    """The sequence, or its first field when it is a struct."""
-    kind = df.schema[SEQUENCE].dataType
-    return F.col(SEQUENCE) if kind.typeName() != "struct" else F.col(f"{SEQUENCE}.`{kind.names[0]}`")
-
-
 def _tracked_state(spec: ChangeSpec) -> Column:
     """What decides whether two neighbouring records belong to one version."""
     tracked = [F.col(f"`{c}`") for c in spec.track_history or ()]
@@ -145,8 +145,7 @@ def close_versions(records: DataFrame, spec: ChangeSpec,
     looked for in ``population`` (see ``slice_hot_keys``).
     """
     keys = list(spec.keys)
-    sliced, hot = ordered.slice_hot_keys(records, keys, _slice_column(records), spec.min_hot_rows,
-                                         population)
+    sliced, hot = ordered.slice_hot_keys(records, keys, F.col(SEQUENCE), spec.min_hot_rows, population)
     window = Window.partitionBy(*keys, ordered.SLICE).orderBy(*_ORDER)
     # Equal sequences share a slice, so a copy always sees its successor here.
     df = sliced.withColumn(END, F.lead(SEQUENCE).over(window))

@@ -24,7 +24,8 @@ from tideline.session import ensure_checkpoint_dir
 SLICE = "__slice"
 # Slicing pays only above this many rows in one key.
 MIN_HOT_ROWS = 1_000_000
-# approx_top_k accepts at most this many tracked items.
+# approx_top_k accepts at most this many tracked items: enough below 50,000 shuffle partitions. A hot
+# key that is not found costs time only.
 _MAX_TRACKED = 1_000_000
 
 
@@ -35,7 +36,8 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Column,
 
     A slice number never decreases as ``order`` grows, and equal ``order`` values share one, so
     it is safe to compare rows slice by slice. Which keys are found hot affects only the spread
-    of work, never a result. ``order`` must have a type that percentile_approx accepts.
+    of work, never a result. ``order`` may have any type that can be sorted: the rows of hot keys
+    are range-partitioned by key and order, and the first order of each partition is a cut point.
 
     Keys and cut points are taken from ``population``, by default ``df`` itself. Pass rows that
     contain those of ``df`` and are cheaper to read, such as the tables ``df`` was joined from.
@@ -50,23 +52,19 @@ def slice_hot_keys(df: DataFrame, keys: Sequence[str], order: Column,
                   F.expr(f"approx_top_k(h, {partitions}, {tracked})").alias("top"))
              .first())
     share = max(min_hot_rows, math.ceil(found["rows"] / partitions))
-    wanted = {item[0]: math.ceil(2 * item[1] / share) for item in found["top"] or []
-              if item[1] > share}
+    wanted = [item[0] for item in found["top"] or [] if item[1] > share]
     if not wanted:
         return df.withColumn(SLICE, F.lit(0)), False
 
-    # Every hot key gets cut points from one list of quantiles, thinned to its own slice count.
-    widest = max(wanted.values())
-    fractions = [i / widest for i in range(1, widest)]
-    hot = spark.createDataFrame(
-        [(h, max(1, widest // n), math.isqrt(n) + 1) for h, n in wanted.items()],
-        "__hot long, __step int, __block int")
-    thinned = F.filter("__q", lambda b, i: (i + 1) % F.col("__step") == 0)
+    # Fewer hot keys than shuffle partitions, so at most three cut points per partition in all.
+    hot = spark.createDataFrame([(h,) for h in wanted], "__hot long")
     bounds = (population.select(key_hash.alias("__hot"), order.alias("__o"))
-              .join(F.broadcast(hot.select("__hot")), "__hot", "left_semi")
-              .groupBy("__hot").agg(F.percentile_approx("__o", fractions, 10_000).alias("__q"))
-              .join(F.broadcast(hot), "__hot")
-              .select("__hot", "__block", F.array_distinct(thinned).alias("__bounds"))
+              .join(F.broadcast(hot), "__hot", "left_semi")
+              .repartitionByRange(2 * partitions, "__hot", "__o")
+              .groupBy("__hot", F.spark_partition_id().alias("__p")).agg(F.min("__o").alias("__o"))
+              .groupBy("__hot").agg(F.array_distinct(F.sort_array(F.collect_list("__o"))).alias("__all"))
+              .select("__hot", F.expr("slice(__all, 2, size(__all))").alias("__bounds"))
+              .withColumn("__block", (F.sqrt(F.size("__bounds")) + 1).cast("int"))
               .withColumn("__coarse",
                           F.filter("__bounds", lambda b, i: (i + 1) % F.col("__block") == 0)))
     # One row per hot key; checkpointed so that every use, and every retry, sees the same cuts.
@@ -100,14 +98,16 @@ def join_edges(df: DataFrame, edges: DataFrame, keys: Sequence[str],
 
 
 def running_totals(df: DataFrame, order: str, values: Sequence[str], descending: bool = False,
-                   slices: int = 1000) -> DataFrame:
+                   slices: int | None = None, slice_rows: int = 1_000_000) -> DataFrame:
     """Add ``cum_<value>`` for each value, over the global order of the distinct ``order`` column.
 
-    Rows fall into at most ``slices`` ranges of similar size; totals run inside each range in
-    parallel, and the totals of the earlier ranges, one row per range, are added.
+    Rows fall into ``slices`` ranges of similar size, by default at least 1000 and as many as keep a range
+    at some ``slice_rows`` rows; totals run inside each range in parallel, and the totals of the earlier
+    ranges, one row per range, are added. ``order`` must not be NULL or NaN.
     """
+    slices = slices or max(1000, math.ceil(df.count() / slice_rows))
     cuts = df.agg(F.percentile_approx(F.col(order).cast("double"),
-                                      [i / slices for i in range(1, slices)], 100_000)
+                                      [i / slices for i in range(1, slices)], max(100_000, 100 * slices))
                   .alias("b")).first()["b"]
     splits = [-math.inf, *sorted(set(cuts or [])), math.inf]
     if len(splits) > 2:

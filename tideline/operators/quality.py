@@ -76,12 +76,13 @@ def apply_expectations(df: DataFrame, rules: Sequence[Rule], observe_as=None) ->
     """Keep the rows the rules allow; abort the job on a row that breaks a fail rule.
 
     ``observe_as`` (an Observation, or a metric name on a stream) collects ``counters`` over the
-    rows before any drop. Without it, drop rules are plain filters that reach the scan.
+    rows before any drop, also where there are no rules. Without it, drop rules are plain filters that
+    reach the scan.
     """
-    if not rules:
-        return df
     if observe_as is not None:
         df = df.observe(observe_as, *counters(rules))
+    if not rules:
+        return df
     drops, fails = _by_action(rules, "drop"), _by_action(rules, "fail")
     if fails:
         verdict = _all_hold(drops)

@@ -2,11 +2,6 @@
 
 from __future__ import annotations
 
-from datetime import timedelta
-
-from tideline import queries as q
-from tideline.sources import synthetic as sy
-
 _SHIPMENTS = ("SELECT l.*, s.s_suppkey AS supplier FROM lineitem l "
               "JOIN supplier s ON l.l_suppkey = s.s_suppkey")
 _SHIPPED = "coalesce(CAST(l_shipdate AS DATE) > DATE '1997-12-31', false)"
@@ -121,117 +116,6 @@ def _bin(bins: int) -> str:
     return f"least(floor(p1 * {bins}), {bins - 1}) / CAST({bins} AS DOUBLE)"
 
 
-def _numbered(seed: int) -> str:
-    """Orders with the two hashes of their key, as ``numbered``."""
-    prime = sy.PRIME
-    return f"""
-SELECT *, (mixed * mixed + a) % {prime} AS b FROM (
-  SELECT *, (a * 69621 + f) % {prime} AS mixed FROM (
-    SELECT *, (m * m + f) % {prime} AS a FROM (
-      SELECT *, (f * 48271 + 11) % {prime} AS m FROM (
-        SELECT *, (o_orderkey % {prime} + o_orderkey // {prime} * 7919 + {sy.salt("row", seed)}) % {prime} AS f
-        FROM orders))))
-"""
-
-
-def _draw(name: str, seed: int) -> str:
-    return f"((a * {sy.salt(name, seed)} + b) % {sy.PRIME})"
-
-
-def _one_of(values, drawn: str) -> str:
-    items = ", ".join(f"'{v}'" for v in values)
-    return f"([{items}])[{drawn} % {len(values)} + 1]"
-
-
-def _after(start, seconds: str, text_format: str) -> str:
-    return (f"strftime(TIMESTAMP '{start:%Y-%m-%d %H:%M:%S}' + to_seconds({seconds}), "
-            f"'{text_format}')")
-
-
-def _accounts(seed: int = 7) -> str:
-    columns = []
-    earliest = q.GENERATED_AT - timedelta(days=sy.DATE_BACK_DAYS)
-    for name, rule in sy.ACCOUNT_FIELDS:
-        drawn = _draw(name, seed)
-        if rule == "id":
-            value = "CAST(o_orderkey AS VARCHAR)"
-        elif rule == "now":
-            value = f"'{q.GENERATED_AT:%Y-%m-%dT%H:%M:%SZ}'"
-        elif rule == "date":
-            value = _after(earliest, f"{drawn} % {sy.DATE_SPAN_DAYS * 86400}", "%Y-%m-%dT%H:%M:%SZ")
-        elif rule == "word":
-            value = _one_of(sy.WORDS, drawn)
-        elif rule == "text":
-            value = f"{_one_of(sy.WORDS, drawn)} || ' ' || {_one_of(sy.WORDS, f'({drawn} // 1000)')}"
-        elif rule == "boolean":
-            value = f"{drawn} % 2 = 1"
-        elif rule == "number":
-            value = f"({drawn} % {sy.NUMBER_STEPS}) / CAST(100 AS DOUBLE)"
-        elif rule == "country":
-            value = _one_of(q.GENERATED_COUNTRIES, drawn)
-        elif rule == "currency":
-            value = _one_of(q.GENERATED_CURRENCIES, drawn)
-        elif rule[0] == "enum":
-            value = _one_of(rule[1], drawn)
-        else:
-            value = f"{rule[1]} + {drawn} % {rule[2] - rule[1]}"
-        columns.append(f'{value} AS "{name}"')
-    return f"SELECT {', '.join(columns)} FROM ({_numbered(seed)})"
-
-
-_CHANGE_FORMAT = "%m-%d-%Y %H:%M:%S"
-
-
-def _key_text(key: str, seed: int) -> str:
-    return (f"regexp_replace(md5('{seed}/' || CAST({key} AS VARCHAR)), "
-            r"'^(.{8})(.{4})(.{4})(.{4})(.{12})$', '\1-\2-\3-\4-\5')")
-
-
-def _operation(drawn: str) -> str:
-    below, branches = 0, []
-    for name, weight in sy.OPERATIONS:
-        below += weight
-        branches.append(f"WHEN {drawn} % 91 < {below} THEN {'NULL' if name is None else repr(name)}")
-    return f"CASE {' '.join(branches)} END"
-
-
-def _this_month(drawn: str) -> str:
-    start = q.GENERATED_AT.replace(day=1, hour=0)
-    span = int((q.GENERATED_AT - start).total_seconds())
-    return _after(start, f"{drawn} % {span}", _CHANGE_FORMAT)
-
-
-def _customer_changes(seed: int = 7) -> str:
-    def d(name):
-        return _draw(name, seed)
-    first, last = _one_of(sy.FIRST_NAMES, d("firstname")), _one_of(sy.LAST_NAMES, d("lastname"))
-    street = _one_of(sy.WORDS, d("street"))
-    key = f"({d('key')} % {q.CHANGE_KEYS})"
-    return f"""
-SELECT {_key_text(key, seed)} AS id, {first} AS firstname, {last} AS lastname,
-       lower({first} || '.' || {last} || '@' || {_one_of(sy.WORDS, d('email'))} || '.example') AS email,
-       CAST({d('street_no')} % 999 + 1 AS VARCHAR) || ' ' ||
-       upper(substr({street}, 1, 1)) || substr({street}, 2) || ' Road' AS address,
-       {_operation(d('operation'))} AS operation,
-       {_this_month(d('operation_date'))} AS operation_date
-FROM ({_numbered(seed)})
-"""
-
-
-def _transaction_changes(seed: int = 7) -> str:
-    def d(name):
-        return _draw(f"t_{name}", seed)
-    return f"""
-SELECT {_key_text('o_orderkey', seed + 1)} AS id,
-       {_this_month(d('transaction_date'))} AS transaction_date,
-       round({d('amount')} / CAST({sy.PRIME} AS DOUBLE) * 1000) AS amount,
-       round({d('item_count')} / CAST({sy.PRIME} AS DOUBLE) * 10) AS item_count,
-       {_operation(d('operation'))} AS operation,
-       {_this_month(d('operation_date'))} AS operation_date, c_name AS customer_id
-FROM ({_numbered(seed)}) JOIN customer ON o_orderkey = c_custkey
-"""
-
-
 def statements() -> dict[str, str]:
     return {
         "ingest_stream_once": "SELECT * FROM events",
@@ -262,6 +146,27 @@ def statements() -> dict[str, str]:
                                  "event_id, user_id, event_type, value"),
         "scd2_hot_keys": _tracked("event_type", "user_id % 7 = 0", "value > 50",
                                   "event_id, user_id, event_type, value, tracked AS large"),
+        "scd2_text_sequence": """
+            SELECT event_type, user_id, event_id, value, moment AS "__START_AT",
+                   lead(moment) OVER (PARTITION BY event_type ORDER BY moment) AS "__END_AT"
+            FROM (SELECT *, strftime(ts, '%Y-%m-%d %H:%M:%S') || '/' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS moment
+                  FROM events)""",
+        "log_rows_of_own_run": f"""
+            WITH kept AS (SELECT count(*) FILTER ({_SHIPPED} AND {_CHARGED}) AS n,
+                                 count(*) FILTER (NOT ({_SHIPPED} AND {_CHARGED} AND {_KNOWN})) AS q
+                          FROM ({_SHIPMENTS}))
+            SELECT 'clean_txs' AS dataset, CAST(n AS BIGINT) AS logged, CAST(n AS BIGINT) AS held FROM kept
+            UNION ALL SELECT 'quarantine_txs', CAST(q AS BIGINT), CAST(q AS BIGINT) FROM kept
+            UNION ALL SELECT 'by_flag', count(DISTINCT l_returnflag), count(DISTINCT l_returnflag) FROM lineitem""",
+        "rescue_csv": """
+            SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 3 THEN o_custkey END AS customer,
+                   CASE WHEN o_orderkey % 10 = 3 THEN 'n/a' END AS misfit,
+                   CASE WHEN o_orderkey % 10 = 7
+                        THEN CAST(o_orderkey AS VARCHAR) || ',' || CAST(o_custkey AS VARCHAR) || ',extra' END AS whole
+            FROM orders""",
+        "rescue_nested": """
+            SELECT event_id, user_id, value, CASE WHEN event_id % 3 = 0 THEN event_type END AS kind,
+                   CAST(NULL AS VARCHAR) AS items FROM events""",
         "orders_with_customer": """
             WITH placed AS (
               SELECT CAST(o_custkey AS VARCHAR) AS customer_id,
@@ -341,12 +246,21 @@ def statements() -> dict[str, str]:
                    CASE WHEN loan_status = 'Fully Paid' THEN 'false' ELSE 'true' END AS bad_loan,
                    verification_status
             FROM loans WHERE loan_status IN ('Default', 'Charged Off', 'Fully Paid')""",
-        "sample_split": "SELECT * FROM orders",
+        "sample_split": """
+            SELECT o_orderkey,
+                   CASE WHEN CAST('0x' || substr(md5('123/' || CAST(o_orderkey AS VARCHAR)), 1, 8) AS BIGINT) % 1000 < 25
+                        THEN 'sample' ELSE 'rest' END AS part
+            FROM orders""",
         "count_by_state": _LOANS + """
             SELECT n_name AS addr_state, count(CASE WHEN income_known THEN c_acctbal END) AS ratio
             FROM loans GROUP BY 1""",
         "roc_by_bins": f"WITH {_SCORES}" + _curve("scored", _bin(100)),
         "roc_exact": f"WITH {_SCORES}" + _curve("scored", "p1"),
+        "roc_null_scores": f"""WITH {_SCORES},
+            holes AS (SELECT p1, label FROM scored WHERE net % 7 <> 0),
+            curve AS ({_curve("holes", "p1")})
+            SELECT * FROM curve UNION ALL SELECT CAST('inf' AS DOUBLE), 0, 0
+            UNION ALL SELECT CAST('-inf' AS DOUBLE), 1, 1""",
         "roc_stacked": f"""WITH {_SCORES},
             turned AS (SELECT 0.999::DOUBLE - p1 AS p1, label FROM scored),
             a AS ({_curve("scored", _bin(10))}), b AS ({_curve("turned", _bin(10))})
@@ -373,7 +287,4 @@ def statements() -> dict[str, str]:
             FROM scored WHERE prediction = 1""",
         "risk_functions_agree": "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS disagreements FROM orders "
                                 "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
-        "generated_accounts": _accounts(),
-        "generated_customer_changes": _customer_changes(),
-        "generated_transaction_changes": _transaction_changes(),
     }

@@ -34,9 +34,10 @@ def cleanse(raw: DataFrame) -> DataFrame:
 
 
 def run(spark: SparkSession, tables: paths.Tables, feed: str, update_id: str,
-        max_files: int | None = None) -> tuple[ChangeTarget, ChangeTarget]:
+        max_files: int | None = None, user_name: str | None = None) -> tuple[ChangeTarget, ChangeTarget]:
     """One update: ingest, cleanse, and bring both customer tables up to date."""
     log = event_log.EventLog(spark, tables.event_log, update_id)
+    log.begin(user_name)
     raw = ingest_files(spark, feed, "json", rescued=RESCUED, max_files=max_files,
                        schema_location=tables.checkpoint("customer_schema"))
     with log.flow(raw, BRONZE, "append") as done:

@@ -52,6 +52,12 @@ class EventLog:
         details = {"runtime_version": {"dbr_version": self.spark.version}}
         self.append([self.event("create_update", details)])
 
+    def begin(self, user_name: str | None = None) -> None:
+        """Log that an update starts, and who started it where that is known."""
+        self.create_update()
+        if user_name is not None:
+            self.user_action("START", user_name)
+
     @contextmanager
     def flow(self, df: DataFrame, dataset: Dataset, flow_type: str):
         """Log the definition of a flow, then its progress or its failure.
@@ -68,7 +74,7 @@ class EventLog:
         try:
             yield progress.extend
         except Exception as error:
-            self.append([self.event("flow_progress", {"status": "FAILED", "error": str(error)[:2000]},
+            self.append([self.event("flow_progress", {"status": "FAILED", "error": str(error)},
                                     dataset.name, "failed")])
             raise
         self.append([self.event("flow_progress", _progress_details(p), p.dataset, str(p.batch_id))

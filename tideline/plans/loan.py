@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from tideline.operators.quality import Rule, expect_or_drop, expect_or_fail, quarantine
 from tideline.plans import event_log
+from tideline.sources.accounts import account_schema
 from tideline.sources.ingest import RESCUED, ingest_files
-from tideline.sources.synthetic import account_schema
 from tideline.spec import Dataset
 from tideline.streaming import paths, writers
 
@@ -37,8 +37,13 @@ CLEANED = Dataset("cleaned_new_txs", "New loan records that pass all rules", rul
 QUARANTINED = Dataset("quarantined_cleaned_new_txs", "New loan records that break a rule",
                       inputs=("raw_txs", "ref_accounting_treatment"),
                       properties={"quality": "silver"})
+# New loans date payments by the second and old ones by month and text, so the directories are a
+# derived year.
 BALANCE = Dataset("loan_balance_by_location", "Loan balances of historical and new loans",
-                  partition_by=("last_payment_date",), cluster_by=("location_code",),
+                  generated={"last_payment_year": "coalesce(year(try_cast(last_payment_date AS DATE)), "
+                                                  "2000 + try_cast(regexp_extract(last_payment_date, "
+                                                  "'^[A-Za-z]+-([0-9]{2})$', 1) AS INT))"},
+                  partition_by=("last_payment_year",), cluster_by=("location_code",),
                   inputs=("historical_txs", "cleaned_new_txs"), properties={"quality": "gold"})
 SCORED = Dataset("risk_prediction", "Historical loans with a risk prediction",
                  inputs=("reference_loan_stats",))
@@ -80,14 +85,15 @@ def balance_by_location(branches: Sequence[DataFrame]) -> DataFrame:
 
 
 def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str,
-        treatments: str, update_id: str, score=None, stats_trigger: str | None = None,
-        quarantine_mode: str = "complement") -> None:
+        treatments: str, update_id: str, score=None, quarantine_mode: str = "complement",
+        user_name: str | None = None) -> None:
     """One update of all loan tables.
 
     ``landing`` holds account JSON lines, ``loan_stats`` is a glob of CSV files, ``treatments`` a
     Parquet lookup. ``score`` maps a DataFrame of loans to one with a ``pred`` column.
     """
     log = event_log.EventLog(spark, tables.event_log, update_id)
+    log.begin(user_name)
 
     def stream(df: DataFrame, dataset: Dataset) -> None:
         with log.flow(df, dataset, "append") as done:
@@ -100,7 +106,8 @@ def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str
 
     stream(ingest_files(spark, landing, "json", schema=account_schema(), rescued=RESCUED), RAW)
     stream(ingest_files(spark, loan_stats, "csv",
-                        schema_location=tables.checkpoint("reference_loan_stats_schema")), LOAN_STATS)
+                        schema_location=tables.checkpoint("reference_loan_stats_schema"), rescued=RESCUED),
+           LOAN_STATS)
     refresh(spark.read.parquet(treatments), TREATMENTS)
 
     lookup = writers.read_snapshot(spark, tables.path(TREATMENTS.name))
@@ -123,8 +130,3 @@ def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str
     if score is not None:
         stream(score(writers.read_stream(spark, tables.path(LOAN_STATS.name))), SCORED)
 
-
-def unmatched_treatment_rule() -> Rule:
-    """Optional warning for rows that the inner lookup join will lose; apply it before the join."""
-    return Rule("Treatment should be known", F.col("accounting_treatment_id").between(0, 5), "warn")
-

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tideline.functions.parsing import epoch_timestamp
 from tideline.operators.quality import expect_or_drop
 from tideline.plans import event_log
-from tideline.sources.ingest import ingest_files
+from tideline.sources.ingest import RESCUED, ingest_files
 from tideline.spec import Dataset
 from tideline.streaming import paths, writers
 
@@ -62,11 +62,12 @@ def sales_by_city(cleaned: DataFrame, city: str | None = None) -> DataFrame:
 
 
 def run(spark: SparkSession, tables: paths.Tables, orders: str, customer_file: str,
-        update_id: str) -> None:
+        update_id: str, user_name: str | None = None) -> None:
     """One update of all retail tables."""
     log = event_log.EventLog(spark, tables.event_log, update_id)
+    log.begin(user_name)
     raw = ingest_files(spark, orders, "json",
-                       schema_location=tables.checkpoint("sales_orders_schema"))
+                       schema_location=tables.checkpoint("sales_orders_schema"), rescued=RESCUED)
     with log.flow(raw, RAW, "append") as done:
         done(writers.write_streaming_table(raw, tables.path(RAW.name),
                                            tables.checkpoint(RAW.name), RAW))

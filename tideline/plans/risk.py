@@ -16,7 +16,7 @@ from pyspark.ml.feature import (Imputer, ImputerModel, OneHotEncoder, SQLTransfo
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import ParamGridBuilder
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.parsing import merge_levels
@@ -37,10 +37,20 @@ SAMPLE_WEIGHTS, SAMPLE_SEED = (0.025, 0.975), 123
 _LEVELS = {c: c for c in CATEGORICALS} | {"verification_status": "verification_level"}
 
 
-def sample_loans(loans: DataFrame) -> tuple[DataFrame, DataFrame]:
+def in_sample(loans: DataFrame, key: str) -> Column:
+    """Whether a row belongs to the small training sample; decided by a hash of its key alone.
+
+    Neither the partitioning nor the other rows matter, and nothing is sorted.
+    """
+    text = F.concat_ws("/", F.lit(str(SAMPLE_SEED)), F.col(key).cast("string"))
+    place = F.conv(F.substring(F.md5(text.cast("binary")), 1, 8), 16, 10).cast("long")
+    return place % 1000 < round(1000 * SAMPLE_WEIGHTS[0] / sum(SAMPLE_WEIGHTS))
+
+
+def sample_loans(loans: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
     """The small training sample and the rest."""
-    small, rest = loans.randomSplit(list(SAMPLE_WEIGHTS), seed=SAMPLE_SEED)
-    return small, rest
+    small = in_sample(loans, key)
+    return loans.where(small), loans.where(~small)
 
 
 def label_loans(loans: DataFrame) -> DataFrame:
@@ -150,9 +160,13 @@ def risk_predictions(model: PipelineModel, loans: DataFrame) -> DataFrame:
 
 
 def _counts(scored: DataFrame, score_col: str, label_col: str) -> DataFrame:
-    """Positives and negatives per distinct score, combined before the shuffle."""
+    """Positives and negatives per distinct score, combined before the shuffle.
+
+    Rows without a score (NULL or NaN) or without a label count nowhere.
+    """
     positive = F.col(label_col) > 0.5
-    return (scored.groupBy(F.col(score_col).alias("threshold"))
+    known = F.col(score_col).isNotNull() & ~F.isnan(F.col(score_col).cast("double")) & positive.isNotNull()
+    return (scored.where(known).groupBy(F.col(score_col).alias("threshold"))
             .agg(F.count_if(positive).alias("positives"), F.count_if(~positive).alias("negatives")))
 
 
@@ -163,15 +177,18 @@ def _checkpointed(counts: DataFrame) -> DataFrame:
 
 
 def roc_points(scored: DataFrame, score_col: str = "p1", label_col: str = "label",
-               bins: int | None = 100) -> DataFrame:
+               bins: int | None = 100, ends: bool = False) -> DataFrame:
     """threshold, fpr, tpr of the curve, from the highest threshold down.
 
     With ``bins`` scores in [0, 1] fall into that many equal ranges, and a point counts the rows
-    at or above the lower end of a range. Without, every distinct score is a point.
+    at or above the lower end of a range. Without, every distinct score is a point. With ``ends`` the
+    curve has its end points (0, 0) and (1, 1) too, with infinite thresholds. Rows without a score or
+    label count nowhere; with one class only, the rate of the other is NULL.
     """
     sides = ["positives", "negatives"]
     if bins:
-        place = F.least(F.floor(F.col(score_col) * bins), F.lit(bins - 1)) / F.lit(float(bins))
+        place = F.when(F.col(score_col).isNotNull() & ~F.isnan(F.col(score_col).cast("double")), F.least(
+            F.floor(F.col(score_col) * bins), F.lit(bins - 1)) / F.lit(float(bins)))
         counts = _counts(scored.withColumn("__place", place), "__place", label_col)
         # At most `bins` rows are left, so one partition holds them.
         down = Window.orderBy(F.col("threshold").desc()).rowsBetween(Window.unboundedPreceding, 0)
@@ -183,8 +200,12 @@ def roc_points(scored: DataFrame, score_col: str = "p1", label_col: str = "label
         totals = counts.agg(*[F.sum(s).alias(s) for s in sides]).first()
         curve = running_totals(counts, "threshold", sides, descending=True)
         curve = curve.select("*", *[F.lit(totals[s]).alias(f"all_{s}") for s in sides])
-    return curve.select("threshold", (F.col("cum_negatives") / F.col("all_negatives")).alias("fpr"),
-                        (F.col("cum_positives") / F.col("all_positives")).alias("tpr"))
+    curve = curve.select("threshold", F.try_divide("cum_negatives", "all_negatives").alias("fpr"),
+                         F.try_divide("cum_positives", "all_positives").alias("tpr"))
+    if not ends:
+        return curve
+    corners = [(math.inf, 0.0, 0.0), (-math.inf, 1.0, 1.0)]
+    return curve.unionByName(scored.sparkSession.createDataFrame(corners, "threshold double, fpr double, tpr double"))
 
 
 def stacked_roc(scored: Mapping[str, DataFrame], bins: int | None = 100) -> DataFrame:
@@ -205,7 +226,7 @@ def roc_area(scored: DataFrame, score_col: str = "p1", label_col: str = "label")
     above = F.col("cum_positives") - F.col("positives") / 2
     return (ranked.agg(F.sum(above * F.col("negatives")).alias("pairs"),
                        F.sum("positives").alias("p"), F.sum("negatives").alias("n"))
-            .select((F.col("pairs") / (F.col("p").cast("double") * F.col("n"))).alias("auc")))
+            .select(F.try_divide("pairs", F.col("p").cast("double") * F.col("n")).alias("auc")))
 
 
 def area_under_roc(scored: DataFrame, score_col: str = "p1", label_col: str = "label") -> float:

@@ -8,7 +8,6 @@ folder and return the table read back.
 from __future__ import annotations
 
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,7 +18,6 @@ from tideline.operators.quality import (apply_expectations, expect, expect_or_dr
                                         expectation_counts, quarantine)
 from tideline.plans import event_log, loan, retail, risk
 from tideline.session import scratch_dir
-from tideline.sources import synthetic
 from tideline.sources.ingest import ingest_files, rescue_json
 from tideline.spec import Dataset
 from tideline.streaming import writers
@@ -27,11 +25,6 @@ from tideline.streaming.change_target import ChangeTarget, apply_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-GENERATED_AT = datetime(2022, 6, 15, 12, 0, 0)
-GENERATED_COUNTRIES = ("DE", "FR", "GB", "US")
-GENERATED_CURRENCIES = ("EUR", "GBP", "USD")
-CHANGE_KEYS = 500
-
 SHIPMENT_RULES = (
     expect_or_drop("shipped after 1997", "CAST(l_shipdate AS DATE) > DATE'1997-12-31'"),
     expect_or_drop("discount and tax are positive", "l_discount > 0 AND l_tax > 0"),
@@ -229,6 +222,18 @@ def scd2_hot_keys(spark, folder):
     return target.read()
 
 
+def scd2_text_sequence(spark, folder):
+    """Five keys hold all records, sequenced by text; each is cut into slices along it."""
+    moment = F.concat_ws("/", F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), F.lpad(F.col("event_id").cast("string"), 12, "0"))
+    feed = (table(spark, folder, "events").withColumn("moment", moment)
+            .select("event_type", "user_id", "event_id", "value", "moment"))
+    spec = ch.ChangeSpec(keys=("event_type",), sequence_by="moment", except_columns=("moment",),
+                         scd_type=2, min_hot_rows=100)
+    target = ChangeTarget(spark, scratch_dir(spark, "scd2_text_sequence"), spec)
+    target.apply(feed, 0)
+    return target.read()
+
+
 # --- retail -----------------------------------------------------------------------------------
 
 
@@ -391,6 +396,55 @@ def log_of_own_run(spark, folder):
     return event_log.quality_totals(event_log.read_event_log(spark, f"{root}/log"), "run_1")
 
 
+def log_rows_of_own_run(spark, folder):
+    """Rows that a run logs for a cleaned table, its quarantine and an aggregate, with the rows they hold."""
+    root = scratch_dir(spark, "log_rows_of_own_run")
+    log = event_log.EventLog(spark, f"{root}/log", "run_1")
+    log.begin("someone")
+    rows = _shipments(table_stream(spark, folder, "lineitem"), spark, folder)
+    held = None
+    for dataset, df in ((Dataset("clean_txs", rules=SHIPMENT_RULES), rows),
+                        (Dataset("quarantine_txs"), quarantine(rows, SHIPMENT_RULES)),
+                        (Dataset("by_flag"), table(spark, folder, "lineitem").groupBy("l_returnflag").count())):
+        path = f"{root}/{dataset.name}"
+        with log.flow(df, dataset, "append") as done:
+            done(writers.write_streaming_table(df, path, f"{path}_checkpoint", dataset) if df.isStreaming
+                 else [writers.write_live_table(df, path, dataset)])
+        count = writers.read_snapshot(spark, path).agg(F.count(F.lit(1)).alias("held"), F.lit(dataset.name).alias("dataset"))
+        held = count if held is None else held.union(count)
+    events = event_log.read_event_log(spark, f"{root}/log")
+    logged = (events.where("event_type = 'flow_progress'").groupBy(F.col("origin.dataset_name").alias("dataset"))
+              .agg(F.sum(F.get_json_object("details", "$.flow_progress.metrics.num_output_rows").cast("long")).alias("logged")))
+    return logged.join(held, "dataset").select("dataset", "logged", "held")
+
+
+def rescue_csv(spark, folder):
+    """Orders as CSV with misfits and, in one file, a value too many; nothing is lost."""
+    root = scratch_dir(spark, "rescue_csv")
+    orders = table(spark, folder, "orders").select(
+        "o_orderkey", F.when(F.col("o_orderkey") % 10 == 3, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("customer"))
+    lines = orders.select(F.concat_ws(",", "o_orderkey", "customer", F.when(F.col("o_orderkey") % 10 == 7, "extra")))
+    spark.createDataFrame([("o_orderkey,customer",)], "value string").coalesce(1).unionByName(
+        lines.toDF("value")).coalesce(1).write.text(f"{root}/landing")
+    stream = ingest_files(spark, f"{root}/landing", "csv", schema="o_orderkey BIGINT, customer BIGINT",
+                          rescued="_rescued_data")
+    return _streamed(spark, stream, Dataset("orders_csv")).select(
+        "o_orderkey", "customer", F.get_json_object("_rescued_data", "$.customer").alias("misfit"),
+        F.get_json_object("_rescued_data", "$._corrupt_record").alias("whole"))
+
+
+def rescue_nested(spark, folder):
+    """Events with a nested field that the schema mistypes or lacks; the whole struct is kept."""
+    lines = table(spark, folder, "events").select(F.to_json(F.struct(
+        "event_id", F.struct("user_id", F.when(F.col("event_id") % 3 == 0, F.col("event_type")).alias("kind"))
+        .alias("who"), F.array(F.struct(F.col("value").alias("v"))).alias("items"))).alias("line"))
+    schema = StructType.fromDDL("event_id BIGINT, who STRUCT<user_id: BIGINT>, items ARRAY<STRUCT<v: DOUBLE>>")
+    found = rescue_json(lines, "line", schema)
+    return found.select("event_id", F.col("who.user_id").alias("user_id"), F.col("items")[0]["v"].alias("value"),
+                        F.get_json_object(F.get_json_object("_rescued_data", "$.who"), "$.kind").alias("kind"),
+                        F.get_json_object("_rescued_data", "$.items").alias("items"))
+
+
 # --- risk model -------------------------------------------------------------------------------
 
 
@@ -427,9 +481,9 @@ def label_rows(spark, folder):
 
 
 def sample_split(spark, folder):
-    """Both parts of the seeded split, put together again."""
-    small, rest = risk.sample_loans(table(spark, folder, "orders"))
-    return small.union(rest)
+    """Every order and the part of the seeded split it falls into."""
+    small, rest = risk.sample_loans(table(spark, folder, "orders").select("o_orderkey"), "o_orderkey")
+    return small.withColumn("part", F.lit("sample")).union(rest.withColumn("part", F.lit("rest")))
 
 
 def count_by_state(spark, folder):
@@ -453,6 +507,13 @@ def roc_exact(spark, folder):
     return risk.roc_points(fixed_scores(spark, folder), bins=None)
 
 
+def roc_null_scores(spark, folder):
+    """The exact curve with its end points, where some rows have no score."""
+    scored = fixed_scores(spark, folder)
+    holes = F.when(F.col("net") % 7 != 0, F.col("p1"))
+    return risk.roc_points(scored.withColumn("p1", holes), bins=None, ends=True)
+
+
 def roc_stacked(spark, folder):
     scored = fixed_scores(spark, folder)
     turned = scored.withColumn("p1", F.lit(0.999) - F.col("p1"))
@@ -511,36 +572,14 @@ def risk_functions_agree(spark, folder):
     return scored.agg(F.count(F.lit(1)).alias("loans"), F.count_if(wrong).alias("disagreements"))
 
 
-# --- generated input --------------------------------------------------------------------------
-
-
-def generated_accounts(spark, folder):
-    """One account per order."""
-    return synthetic.accounts(table(spark, folder, "orders"), "o_orderkey", GENERATED_AT, seed=7,
-                              countries=GENERATED_COUNTRIES, currencies=GENERATED_CURRENCIES)
-
-
-def generated_customer_changes(spark, folder):
-    return synthetic.customer_changes(table(spark, folder, "orders"), "o_orderkey", GENERATED_AT,
-                                      seed=7, key_space=CHANGE_KEYS)
-
-
-def generated_transaction_changes(spark, folder):
-    """One transaction change per order, owned by the customer of the same row number."""
-    customers = table(spark, folder, "customer").select(
-        F.col("c_custkey").alias("row"), F.col("c_name").alias("id"))
-    return synthetic.transaction_changes(table(spark, folder, "orders"), "o_orderkey", GENERATED_AT,
-                                         customers, "row", seed=7)
-
-
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     ingest_stream_once, ingest_json_files, ingest_csv_files, rescue_fields, clean_txs,
     quarantine_txs, expectation_totals, fail_rule_passes, history_view, balance_by_location,
     partitioned_layout, live_table_refresh, scd1_users, scd2_users, scd2_tracked, scd2_hot_keys,
-    orders_with_customer, sales_by_place, sales_table, log_update_events, log_user_actions,
+    scd2_text_sequence, orders_with_customer, sales_by_place, sales_table, log_update_events, log_user_actions,
     log_lineage, log_quality_totals, log_quality_runs, log_latest_version,
     log_latest_version_by_number, log_backlog, log_cluster_metrics, log_view_in_sql,
-    log_of_own_run, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact, roc_stacked,
+    log_of_own_run, log_rows_of_own_run, rescue_csv, rescue_nested, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact,
+    roc_null_scores, roc_stacked,
     roc_area, f_measure_by_threshold, confusion_totals, confusion_business_value, glm_scores,
-    gbt_scores, risk_functions_agree,
-    generated_accounts, generated_customer_changes, generated_transaction_changes)}
+    gbt_scores, risk_functions_agree)}

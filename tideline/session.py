@@ -16,8 +16,7 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
-    # Quality counters are read back from query progress, one entry per micro-batch.
-    "spark.sql.streaming.numRecentProgressUpdates": "10000",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 

@@ -4,49 +4,105 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tideline.streaming import paths
 
 RESCUED = "_rescued_data"
-# Schema inference reads at most this many files; fields they lack end up rescued, not lost.
-SCHEMA_FILES = 1000
+CORRUPT = "_corrupt_record"
+
+
+def _unfit(raw: Column, typed: Column, kind: DataType) -> Column:
+    """Whether the JSON text ``raw`` holds something that its parsed form ``typed`` lost."""
+    if isinstance(kind, StructType):
+        fields = F.from_json(raw, "map<string,string>")
+        names = F.array(*[F.lit(f.name) for f in kind.fields])
+        lost = F.exists(F.map_keys(F.map_filter(fields, lambda k, v: v.isNotNull())),
+                        lambda k: ~F.array_contains(names, k))
+        for f in kind.fields:
+            lost = lost | _unfit(F.try_element_at(fields, F.lit(f.name)), typed.getField(f.name), f.dataType)
+        inner = F.when(fields.isNull(), True).otherwise(lost)
+    elif isinstance(kind, ArrayType):
+        items = F.from_json(raw, "array<string>")
+        pairs = F.zip_with(items, typed, lambda r, t: _unfit(r, t, kind.elementType))
+        inner = F.when(items.isNull() | typed.isNull() | (F.size(items) != F.size(typed)), True).otherwise(
+            F.exists(pairs, lambda x: x))
+    elif isinstance(kind, MapType):
+        entries = F.from_json(raw, "map<string,string>")
+        pairs = F.map_zip_with(entries, typed, lambda k, r, t: _unfit(r, t, kind.valueType))
+        inner = F.when(entries.isNull() | typed.isNull(), True).otherwise(F.exists(F.map_values(pairs), lambda x: x))
+    else:
+        return raw.isNotNull() & typed.isNull()
+    return F.coalesce(F.when(raw.isNull(), False).otherwise(inner), F.lit(False))
 
 
 def rescue_json(lines: DataFrame, line: str, schema: StructType, rescued: str = RESCUED) -> DataFrame:
     """Columns of ``schema`` parsed from the JSON text in ``line``, plus the fields that did not fit.
 
     The last column is a JSON object with every field that is not in the schema, or whose value
-    does not have the declared type; NULL when all fields fit. A line that is no JSON object at
+    does not have the declared type; NULL when all fields fit. A struct, array or map that lost
+    anything inside is kept as a whole there. A line that is no JSON object at
     all is kept whole under ``_corrupt_record``. Each line is parsed twice: by schema, and as a
-    map of texts. Both results are columns of their own, so no later expression parses again.
+    map of texts. Both results are columns of their own, so no later expression parses again;
+    nested fields are parsed once more per level.
     """
     parsed = lines.select(F.col(line).alias("__line"), F.from_json(line, schema).alias("__typed"),
                           F.from_json(line, "map<string,string>").alias("__raw"))
-    fitted = F.array(*[F.when(F.col("__typed").getField(f.name).isNotNull(), F.lit(f.name))
-                       for f in schema.fields])
+
+    def fits(field: StructField) -> Column:
+        typed = F.col("__typed").getField(field.name)
+        if not isinstance(field.dataType, (StructType, ArrayType, MapType)):
+            return typed.isNotNull()
+        return typed.isNotNull() & ~_unfit(F.try_element_at("__raw", F.lit(field.name)), typed, field.dataType)
+
+    fitted = F.array(*[F.when(fits(f), F.lit(f.name)) for f in schema.fields])
     # Fields that fit and explicit nulls leave the map.
     unfit = parsed.withColumn("__fitted", F.array_compact(fitted)).withColumn("__left", F.map_filter(
         "__raw", lambda k, v: v.isNotNull() & ~F.array_contains("__fitted", k)))
-    corrupt = F.when(F.trim("__line") != "", F.to_json(F.create_map(F.lit("_corrupt_record"), "__line")))
+    corrupt = F.when(F.trim("__line") != "", F.to_json(F.create_map(F.lit(CORRUPT), "__line")))
     kept = (F.when(F.col("__raw").isNull(), corrupt)
             .when(F.size("__left") > 0, F.to_json("__left")))
     return unfit.select(*[F.col("__typed").getField(f.name).alias(f.name) for f in schema.fields],
                         kept.alias(rescued))
 
 
+def rescue_csv(texts: DataFrame, schema: StructType, rescued: str = RESCUED) -> DataFrame:
+    """Columns of ``schema`` cast from text columns, plus a JSON object of the values that did not fit.
+
+    A row with more or fewer values than the header is kept whole under ``_corrupt_record``, which
+    ``texts`` holds in a column of that name.
+    """
+    misfits = [F.struct(F.lit(f.name).alias("key"), F.col(f"`{f.name}`").alias("value"))
+               for f in schema.fields if not isinstance(f.dataType, StringType)]
+    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
+    lost = [F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), entry)
+            for f, entry in zip([f for f in schema.fields if not isinstance(f.dataType, StringType)], misfits)]
+    whole = F.when(F.col(CORRUPT).isNotNull(),
+                   F.struct(F.lit(CORRUPT).alias("key"), F.col(CORRUPT).alias("value")))
+    kept = F.map_from_entries(F.array_compact(F.array(*lost, whole)))
+    return texts.select(*[typed[f.name].alias(f.name) for f in schema.fields],
+                        F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))
+
+
 def infer_schema(spark: SparkSession, source: str, file_format: str, infer_types: bool = True,
                  options: dict | None = None) -> StructType:
-    """Schema of the first files found; without type inference every column is a string."""
-    files = paths.matching_files(spark, source, SCHEMA_FILES)
-    if not files:
+    """Schema of all files under a folder or glob, at any depth; without types all columns are text."""
+    reader = spark.read.options(recursiveFileLookup=True, **(options or {}))
+    try:
+        if file_format == "csv":
+            schema = reader.option("header", True).option("inferSchema", infer_types).csv(source).schema
+        else:
+            schema = reader.json(source).schema
+    except AnalysisException as error:
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise ValueError(f"no file to infer a schema from at {source}") from error
+        raise
+    schema = StructType([f for f in schema.fields if f.name != CORRUPT])
+    if not schema.fields:
         raise ValueError(f"no file to infer a schema from at {source}")
-    reader = spark.read.options(**(options or {}))
-    if file_format == "csv":
-        return reader.option("header", True).option("inferSchema", infer_types).csv(files).schema
-    schema = reader.json(files).schema
     if infer_types:
         return schema
     return StructType([StructField(f.name, StringType()) for f in schema.fields])
@@ -68,8 +124,8 @@ def ingest_files(spark: SparkSession, source: str, file_format: str,
                  max_files: int | None = None, options: dict | None = None) -> DataFrame:
     """A stream of the records in the files at ``source`` (a folder or glob).
 
-    The schema is the one given, else the stored one, else inferred. With ``rescued`` (JSON only)
-    lines are parsed by ``rescue_json`` and that column is added; lines are then parsed twice.
+    The schema is the one given, else the stored one, else inferred from all files at any depth. With
+    ``rescued`` a column of that name keeps what does not fit (see ``rescue_json``, ``rescue_csv``).
     """
     if file_format not in ("json", "csv"):
         raise ValueError(f"unsupported format {file_format}")
@@ -80,11 +136,17 @@ def ingest_files(spark: SparkSession, source: str, file_format: str,
     if schema is None:
         schema = infer_schema(spark, source, file_format, infer_types, options)
 
-    reader = spark.readStream.options(**(options or {}))
+    reader = spark.readStream.options(recursiveFileLookup=True, **(options or {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if file_format == "csv":
-        return reader.schema(schema).option("header", True).csv(source)
+        reader = reader.option("header", True)
+        if rescued is None:
+            return reader.schema(schema).csv(source)
+        texts = StructType([*[StructField(f.name, StringType()) for f in schema.fields],
+                            StructField(CORRUPT, StringType())])
+        return rescue_csv(reader.schema(texts).option("columnNameOfCorruptRecord", CORRUPT).csv(source),
+                          schema, rescued)
     if rescued is None:
         return reader.schema(schema).json(source)
     lines = reader.text(source)

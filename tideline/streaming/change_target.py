@@ -16,10 +16,12 @@ from tideline.streaming import paths
 
 
 class ChangeTarget:
+    """``feed`` is only asked for its columns, so that a target is readable before its first change."""
+
     def __init__(self, spark: SparkSession, path: str, spec: ch.ChangeSpec,
-                 compact_every: int | None = 20):
+                 compact_every: int | None = 20, feed: DataFrame | None = None):
         self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.compact_every = compact_every
+        self.compact_every, self.feed_schema = compact_every, feed.schema if feed is not None else None
 
     @property
     def _changes(self) -> str:
@@ -64,7 +66,10 @@ class ChangeTarget:
         """The visible table: current rows (type 1) or all versions (type 2)."""
         state, _ = self._folded()
         if state is None:
-            raise ValueError(f"{self.path}: no change has been applied yet")
+            if self.feed_schema is None:
+                raise ValueError(f"{self.path}: no change has been applied yet")
+            nothing = self.spark.createDataFrame([], self.feed_schema)
+            state = ch.merge_state(None, ch.reduce_batch(ch.stamp_changes(nothing, self.spec), self.spec), self.spec)
         return ch.visible(state, self.spec)
 
     def clean_up(self) -> None:
@@ -95,6 +100,6 @@ def apply_changes(spark: SparkSession, target: str, source: DataFrame, checkpoin
         tracked = [c for c in source.columns if c not in hidden]
     spec = ch.ChangeSpec(tuple(keys), sequence_by, apply_as_deletes, tuple(except_column_list),
                          stored_as_scd_type, tuple(tracked) if tracked is not None else None)
-    result = ChangeTarget(spark, target, spec, compact_every)
+    result = ChangeTarget(spark, target, spec, compact_every, source)
     result.follow(source, checkpoint)
     return result

@@ -29,17 +29,6 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
-def matching_files(spark: SparkSession, pattern: str, at_most: int) -> list[str]:
-    """The first ``at_most`` files under a path or glob, in name order."""
-    fs, p = _file_system(spark, pattern)
-    found = []
-    for status in fs.globStatus(p) or []:
-        inner = fs.listStatus(status.getPath()) if status.isDirectory() else [status]
-        found += [s.getPath().toString() for s in inner
-                  if s.isFile() and not s.getPath().getName().startswith(("_", "."))]
-    return sorted(found)[:at_most]
-
-
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _file_system(spark, path)
     stream = fs.open(p)

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import threading
+import warnings
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQueryListener
 from pyspark.sql.types import MapType, StructType, VariantType
 
 from tideline.operators.quality import DROPPED_ROWS, INPUT_ROWS, apply_expectations
@@ -20,7 +23,7 @@ class FlowProgress:
 
     dataset: str
     batch_id: int
-    output_rows: int | None
+    output_rows: int
     dropped_rows: int = 0
     expectations: list[dict] = field(default_factory=list)
 
@@ -65,18 +68,14 @@ def write_live_table(df: DataFrame, path: str, dataset: Dataset) -> FlowProgress
     A rule that fails the update, or any other error, leaves the previous version in place.
     """
     spark = df.sparkSession
-    observation = Observation(dataset.name) if dataset.rules else None
+    observation = Observation(dataset.name)
     checked = apply_expectations(dataset.shape(df), dataset.rules, observation)
     latest = paths.latest_version(spark, path)
     version = 0 if latest is None else latest + 1
     _keep_schema(checked, path, version)
     writer = lay_out(checked, dataset).write.mode("overwrite")
     writer.partitionBy(*dataset.partition_by).parquet(paths.version_path(path, version))
-    if observation is None:
-        return FlowProgress(dataset.name, version, None)
-    counts = observation.get
-    return FlowProgress(dataset.name, version, counts[INPUT_ROWS] - counts[DROPPED_ROWS],
-                        counts[DROPPED_ROWS], _rule_entries(dataset, counts))
+    return _flow_progress(dataset, version, observation.get)
 
 
 def _triggered(writer, trigger: str | None):
@@ -84,25 +83,47 @@ def _triggered(writer, trigger: str | None):
     return writer.trigger(processingTime=trigger) if trigger else writer.trigger(availableNow=True)
 
 
-def _progress(query, dataset: Dataset) -> list[FlowProgress]:
-    seen = []
-    for entry in query.recentProgress:
-        counts = (entry.get("observedMetrics") or {}).get(dataset.name)
-        if counts is None:
-            if entry["numInputRows"]:
-                rows = None if dataset.rules else entry["numInputRows"]
-                seen.append(FlowProgress(dataset.name, entry["batchId"], rows))
-            continue
-        if hasattr(counts, "asDict"):
-            counts = counts.asDict()
-        seen.append(FlowProgress(dataset.name, entry["batchId"],
-                                 counts[INPUT_ROWS] - counts[DROPPED_ROWS],
-                                 counts[DROPPED_ROWS], _rule_entries(dataset, counts)))
-    kept = int(query._jsq.sparkSession().conf().get("spark.sql.streaming.numRecentProgressUpdates"))
-    if len(query.recentProgress) >= kept:
-        raise RuntimeError(f"{dataset.name}: more micro-batches than progress entries kept; raise "
-                           "spark.sql.streaming.numRecentProgressUpdates")
-    return seen
+class _Counters(StreamingQueryListener):
+    """Observed counters of every micro-batch of one query.
+
+    A listener is told of each batch, while a query itself remembers the last few only.
+    """
+
+    def __init__(self, dataset: Dataset):
+        self.dataset, self.entries, self.ended = dataset, {}, set()
+        self.changed = threading.Condition()
+
+    def onQueryStarted(self, event) -> None:
+        pass
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryProgress(self, event) -> None:
+        counts = event.progress.observedMetrics.get(self.dataset.name)
+        if counts is not None:
+            with self.changed:
+                self.entries.setdefault(str(event.progress.runId), {})[event.progress.batchId] = counts.asDict()
+
+    def onQueryTerminated(self, event) -> None:
+        with self.changed:
+            self.ended.add(str(event.runId))
+            self.changed.notify_all()
+
+    def of(self, run_id: str, timeout: float = 120) -> list[FlowProgress]:
+        """Progress of all batches; events come in order, so the last is there when the end is."""
+        with self.changed:
+            if not self.changed.wait_for(lambda: run_id in self.ended, timeout):
+                warnings.warn(f"{self.dataset.name}: the end of the stream was not reported; "
+                              "counters of its last batches may be missing")
+            found = sorted(self.entries.get(run_id, {}).items())
+        return [_flow_progress(self.dataset, batch, counts) for batch, counts in found
+                if counts[INPUT_ROWS]]
+
+
+def _flow_progress(dataset: Dataset, batch_id: int, counts) -> FlowProgress:
+    return FlowProgress(dataset.name, batch_id, counts[INPUT_ROWS] - counts[DROPPED_ROWS],
+                        counts[DROPPED_ROWS], _rule_entries(dataset, counts))
 
 
 def write_streaming_table(df: DataFrame, path: str, checkpoint: str, dataset: Dataset,
@@ -112,16 +133,21 @@ def write_streaming_table(df: DataFrame, path: str, checkpoint: str, dataset: Da
     The Parquet sink's own log makes a replayed batch harmless. Returns the progress of each
     micro-batch, or the running query when a ``trigger`` interval is given.
     """
-    observe_as = dataset.name if dataset.rules else None
-    checked = apply_expectations(dataset.shape(df), dataset.rules, observe_as)
+    checked = apply_expectations(dataset.shape(df), dataset.rules, dataset.name)
     _keep_schema(checked, path, None)
     writer = (lay_out(checked, dataset).writeStream.format("parquet").outputMode("append")
               .partitionBy(*dataset.partition_by).option("checkpointLocation", checkpoint))
-    query = _triggered(writer, trigger).start(path)
     if trigger:
-        return query
-    query.awaitTermination()
-    return _progress(query, dataset)
+        return _triggered(writer, trigger).start(path)
+    counters = _Counters(dataset)
+    streams = df.sparkSession.streams
+    streams.addListener(counters)
+    try:
+        query = _triggered(writer, trigger).start(path)
+        query.awaitTermination()
+        return counters.of(str(query.runId))
+    finally:
+        streams.removeListener(counters)
 
 
 def write_stream_aggregate(df: DataFrame, path: str, checkpoint: str, dataset: Dataset,
@@ -130,11 +156,15 @@ def write_stream_aggregate(df: DataFrame, path: str, checkpoint: str, dataset: D
 
     A replayed batch rewrites its own version directory, so readers see each result once.
     """
+    done: dict[int, FlowProgress] = {}
+
     def refresh(batch: DataFrame, batch_id: int) -> None:
-        shaped = dataset.shape(batch)
+        observation = Observation(dataset.name)
+        shaped = apply_expectations(dataset.shape(batch), dataset.rules, observation)
         _keep_schema(shaped, path, batch_id)
         (lay_out(shaped, dataset).write.mode("overwrite").partitionBy(*dataset.partition_by)
          .parquet(paths.version_path(path, batch_id)))
+        done[batch_id] = _flow_progress(dataset, batch_id, observation.get)
 
     writer = (df.writeStream.outputMode("complete").foreachBatch(refresh)
               .option("checkpointLocation", checkpoint))
@@ -142,7 +172,7 @@ def write_stream_aggregate(df: DataFrame, path: str, checkpoint: str, dataset: D
     if trigger:
         return query
     query.awaitTermination()
-    return _progress(query, dataset)
+    return [done[batch_id] for batch_id in sorted(done)]
 
 
 def _stored_schema(spark: SparkSession, path: str, version: int | None) -> StructType:
