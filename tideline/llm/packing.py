@@ -36,13 +36,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tideline.llm.byte_bpe import Numbers, gather
-from tideline.llm.common import stored, table, vocabulary
+from tideline.llm.common import small_batches, stored, table, texts, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
-# Distinct words a Python worker remembers.
+# Distinct words a Python worker remembers, and new ones it encodes at a time.
 REMEMBERED = 1_000_000
+FRESH = 4096
+# Texts are encoded together up to this many characters.
+TOGETHER_CHARS = 1 << 20
 
 # str.split() takes these for white space, the vocabulary's pattern does not.
 _SEPARATORS = re.compile("[\x1c-\x1f]")
@@ -71,11 +74,14 @@ class _Words:
         numbered = [np.fromiter(map(codes.__getitem__, words), np.int64, len(words)) for words in split]
         if len(codes) > known:
             fresh = list(islice(reversed(codes), len(codes) - known))[::-1]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False)]
-            sizes = np.array([len(ids) for ids in found], np.int64)
-            self.sizes = np.concatenate([self.sizes, sizes])
+            sizes, values = [self.sizes], [self.values]
+            for first in range(0, len(fresh), FRESH):
+                some = fresh[first:first + FRESH]
+                found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+                sizes.append(np.array([len(ids) for ids in found], np.int64))
+                values.append(np.array([i for ids in found for i in ids], np.int64))
+            self.sizes, self.values = np.concatenate(sizes), np.concatenate(values)
             self.starts = np.cumsum(self.sizes) - self.sizes
-            self.values = np.concatenate([self.values, np.array([i for ids in found for i in ids], np.int64)])
         for found in numbered:
             places, _ = gather(self.starts, self.sizes, found)
             yield self.values[places].astype("<u4")
@@ -91,14 +97,26 @@ def _remembered(name: int, raw: bytes) -> _Words:
     return _workers[name]
 
 
+def _together(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """Runs of texts with the place of their first; a run ends after ``TOGETHER_CHARS`` characters."""
+    first, run, chars = 0, [], 0
+    for text in texts(column):
+        run.append(text)
+        chars += len(text)
+        if chars >= TOGETHER_CHARS:
+            yield first, run
+            first, run, chars = first + len(run), [], 0
+    if run:
+        yield first, run
+
+
 def _pieces(batches: Iterator[pa.RecordBatch], raw: bytes, capacity: int, end_id: int,
             with_tokens: bool) -> Iterator[pa.RecordBatch]:
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
     words = _remembered(zlib.crc32(raw), raw)
     for batch in batches:
         keys = batch.column(0)
-        for first in range(0, batch.num_rows, 256):
-            part = [v.as_py() or "" for v in batch.column(1)[first:first + 256]]
+        for first, part in _together(batch.column(1)):
             rows, piece, start, length, crc, tokens = [], [], [], [], [], []
             for i, ids in enumerate(words.encode(part)):
                 ids = np.append(ids, np.array([end_id], "<u4"))
@@ -123,6 +141,7 @@ def _pieces(batches: Iterator[pa.RecordBatch], raw: bytes, capacity: int, end_id
 def tokenize(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", raw: bytes | None = None,
              capacity: int = CAPACITY, end_id: int = END_ID, with_tokens: bool = False) -> DataFrame:
     """Pieces of every document: id, ``piece``, ``start``, ``length``, ``ids_crc32``, ``tokens`` if asked."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(vocabulary(VOCABULARY) if raw is None else raw)
     schema = StructType([
         StructField("id", docs.schema[id_col].dataType), StructField("piece", IntegerType()),
