@@ -41,8 +41,8 @@ from tideline.llm.common import small_batches, stored, table, texts, vocabulary
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
-# Distinct words a Python worker remembers, and new ones it encodes at a time.
-REMEMBERED = 1_000_000
+# Distinct words a Python worker remembers (see _Words), and new ones it encodes at a time.
+REMEMBERED = 300_000
 FRESH = 4096
 # Texts are encoded together up to this many characters.
 TOGETHER_CHARS = 1 << 20
@@ -53,17 +53,40 @@ _BLANKS = re.compile("[ \t\n\r]+")
 
 
 class _Words:
-    """Ids by word. White space ends a pre-token, so a text's ids are those of its words in turn."""
+    """Ids by word. White space ends a pre-token, so a text's ids are those of its words in turn.
+
+    A worker that remembers too many words forgets the least used ones, so its memory is bounded and frequent words
+    are encoded once. What it remembers affects its speed only.
+    """
 
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_buffer(raw)
-        self.forget()
+        self.codes = Numbers()
+        self.starts = self.sizes = self.uses = np.zeros(0, np.int64)
+        self.values = np.zeros(0, "<u4")
 
     def forget(self) -> None:
-        self.codes = Numbers()
-        self.starts = self.sizes = self.values = np.zeros(0, np.int64)
+        """Keep the most used half, and of equally used words the newest."""
+        newest = np.arange(len(self.codes))[::-1]
+        kept = np.sort(newest[np.argsort(-self.uses[newest], kind="stable")[:REMEMBERED // 2]])
+        words = list(self.codes)
+        self.codes = Numbers(zip((words[i] for i in kept), range(len(kept))))
+        self.values = self.values[gather(self.starts, self.sizes, kept)[0]]
+        self.sizes, self.uses = self.sizes[kept], self.uses[kept] // 2
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def learn(self, fresh: list[str]) -> None:
+        sizes, values = [self.sizes], [self.values]
+        for first in range(0, len(fresh), FRESH):
+            some = fresh[first:first + FRESH]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
+            sizes.append(np.array([len(ids) for ids in found], np.int64))
+            values.append(np.array([i for ids in found for i in ids], "<u4"))
+        self.sizes, self.values = np.concatenate(sizes), np.concatenate(values)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.uses = np.append(self.uses, np.zeros(len(fresh), np.int64))
 
     def encode(self, text_list: list[str]) -> Iterator[np.ndarray]:
         if len(self.codes) > REMEMBERED:
@@ -72,19 +95,12 @@ class _Words:
                  for t in text_list]
         codes, known = self.codes, len(self.codes)
         numbered = [np.fromiter(map(codes.__getitem__, words), np.int64, len(words)) for words in split]
+        del split
         if len(codes) > known:
-            fresh = list(islice(reversed(codes), len(codes) - known))[::-1]
-            sizes, values = [self.sizes], [self.values]
-            for first in range(0, len(fresh), FRESH):
-                some = fresh[first:first + FRESH]
-                found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-                sizes.append(np.array([len(ids) for ids in found], np.int64))
-                values.append(np.array([i for ids in found for i in ids], np.int64))
-            self.sizes, self.values = np.concatenate(sizes), np.concatenate(values)
-            self.starts = np.cumsum(self.sizes) - self.sizes
+            self.learn(list(islice(reversed(codes), len(codes) - known))[::-1])
         for found in numbered:
-            places, _ = gather(self.starts, self.sizes, found)
-            yield self.values[places].astype("<u4")
+            self.uses[found] += 1
+            yield self.values[gather(self.starts, self.sizes, found)[0]]
 
 
 _workers: dict[int, _Words] = {}
