@@ -3,12 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+HERE = os.path.dirname(os.path.abspath(__file__))
+sys.path[:0] = [os.path.dirname(HERE), HERE]
 
 from tideline.session import build_session  # noqa: E402
 
-TESTDATA = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
@@ -26,9 +25,3 @@ def spark(tmp_path_factory):
 @pytest.fixture
 def root(tmp_path):
     return str(tmp_path)
-
-
-def rows(df, *columns):
-    """Rows as sorted tuples."""
-    chosen = df.select(*columns) if columns else df
-    return sorted((tuple(r) for r in chosen.collect()), key=repr)

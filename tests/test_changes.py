@@ -5,7 +5,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.functions.parsing import change_time
 from tideline.operators import changes as ch
 from tideline.streaming.change_target import ChangeTarget, apply_changes

@@ -4,7 +4,7 @@ import os
 import pytest
 from pyspark.sql.types import StructType
 
-from conftest import rows
+from helpers import rows
 from tideline.sources.ingest import ingest_files, rescue_json
 from tideline.spec import Dataset
 from tideline.streaming import writers

@@ -5,7 +5,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.operators import changes as ch
 from tideline.operators.quality import quarantine
 from tideline.plans import customers, event_log, loan, retail

@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import Observation
 
-from conftest import TESTDATA, rows
+from helpers import TESTDATA, rows
 from tideline.operators.quality import (DROPPED_ROWS, INPUT_ROWS, Rule, apply_expectations, expect,
                                         expect_or_drop, expect_or_fail, expectation_counts, quarantine)
 from tideline.plans import loan

@@ -5,7 +5,7 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
-from conftest import TESTDATA, rows
+from helpers import TESTDATA, rows
 from tideline import queries
 from tideline.operators.ordered import running_totals
 from tideline.plans import risk

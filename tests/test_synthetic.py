@@ -2,7 +2,7 @@ from datetime import datetime
 
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 import synthetic
 
 NOW = datetime(2022, 6, 15, 12, 0, 0)

@@ -6,7 +6,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from tideline.operators.quality import expect_or_drop, expect_or_fail
 from tideline.plans import retail
 from tideline.spec import Dataset
