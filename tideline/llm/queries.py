@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tideline.llm import chat, topk
+from tideline.llm import chat, phrases, topk
 from tideline.llm.ann import op7_ann
 from tideline.llm.byte_bpe import op4_byte_bpe
 from tideline.llm.licenses import op8_licenses
@@ -27,7 +27,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_licenses": op8_licenses,
     "op9_lines": op9_lines,
     "op10_chat": chat.op10_chat,
+    "op11_collocations": phrases.op11_collocations,
 }
 
 # What SQL cannot express is tested against brute force in tests/llm.
-ORACLE: dict[str, str] = {"op6_top_k": topk.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL}
+ORACLE: dict[str, str] = {"op6_top_k": topk.ORACLE_SQL, "op10_chat": chat.ORACLE_SQL,
+                          "op11_collocations": phrases.ORACLE_SQL}
