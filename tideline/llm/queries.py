@@ -14,6 +14,7 @@ from tideline.llm.lines import op9_lines
 from tideline.llm.packing import op1_best_fit_packing
 from tideline.llm.pii import op3_pii
 from tideline.llm.quality import op5_quality
+from tideline.llm.rules import op13_quality_rules
 from tideline.llm.simhash import op2_simhash
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -28,6 +29,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lines": op9_lines,
     "op10_chat": chat.op10_chat,
     "op11_collocations": phrases.op11_collocations,
+    "op13_quality_rules": op13_quality_rules,
 }
 
 # What SQL cannot express is tested against brute force in tests/llm.
