@@ -16,6 +16,7 @@ from tideline.llm.pii import op3_pii
 from tideline.llm.quality import op5_quality
 from tideline.llm.rules import op13_quality_rules
 from tideline.llm.simhash import op2_simhash
+from tideline.llm.variants import op12_variants
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_best_fit_packing": op1_best_fit_packing,
@@ -29,6 +30,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_lines": op9_lines,
     "op10_chat": chat.op10_chat,
     "op11_collocations": phrases.op11_collocations,
+    "op12_variants": op12_variants,
     "op13_quality_rules": op13_quality_rules,
 }
 
