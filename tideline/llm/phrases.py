@@ -41,12 +41,13 @@ LEAST = 10
 SHARE = 50
 TOP = 2000
 SCALE = 1_000_000
-# Words of a run, characters of a block of text, and characters of text for each bucket.
-RUN_WORDS = 3_000_000
+# Words of a run, characters of a block of text, characters of text for each bucket, and buckets for each task.
+RUN_WORDS = 1_500_000
 BLOCK = 1 << 22
-BUCKET_CHARS = 8 << 20
+BUCKET_CHARS = 2 << 20
+TASK_BUCKETS = 16
 # Rows of a bucket that are held before they are summed up.
-HELD = 4_000_000
+HELD = 1_000_000
 
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r][ \t.,;:!?\n-\r]*")
 _BREAK = re.compile(rb"[ \t.,;:!?\n-\r]")
@@ -185,7 +186,7 @@ def counted(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
     buckets = 1 + chars // BUCKET_CHARS
     runs = texts.mapInArrow(lambda b: _runs(b, longest, buckets),
                             "bucket int, lang string, bytes long, phrases binary, counts binary")
-    merged = (runs.repartition(buckets, "bucket").sortWithinPartitions("bucket", "lang")
+    merged = (runs.repartition(1 + buckets // TASK_BUCKETS, "bucket").sortWithinPartitions("bucket", "lang")
               .mapInArrow(lambda b: _merged(b, least), "lang string, phrase string, n long"))
     return stored(merged.select("lang", F.when(F.col("phrase") == "", F.array().cast("array<string>"))
                                 .otherwise(F.split("phrase", " ")).alias("words"), "n"), "phrases")
