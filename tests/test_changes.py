@@ -1,4 +1,6 @@
+import glob
 import itertools
+import os
 import random
 from datetime import datetime, timedelta
 
@@ -8,6 +10,7 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tideline.functions.parsing import change_time
 from tideline.operators import changes as ch
+from tideline.streaming.change_target import BUCKET as ch_bucket
 from tideline.streaming.change_target import ChangeTarget, apply_changes
 
 FEED = "id string, operation string, value string, at long"
@@ -192,6 +195,58 @@ def test_only_changed_keys_are_recomputed(spark, root):
     assert rows(made.read()) == [("a", "v1", 1, 2), ("a", "v2", 2, None), ("b", "w", 1, None)]
 
 
+def state_files(root):
+    return {path: os.path.getmtime(path) for path in glob.glob(f"{root}/state/**/*.parquet", recursive=True)}
+
+
+@pytest.mark.parametrize("scd_type", [1, 2])
+def test_a_fold_leaves_untouched_buckets_alone(spark, root, scd_type):
+    feed = [(f"k{i}", "APPEND", "v", 1) for i in range(40)]
+    made = target(spark, root, [feed], spec(scd_type), bucket_rows=5)
+    made.compact()
+    before = state_files(root)
+    held = made._manifest()["held"]
+    assert len(held) == made._manifest()["buckets"] == 8 and sum(n for _, n in held.values()) == 40
+    made.apply(spark.createDataFrame([("k1", "UPDATE", "w", 2)], FEED), 1)
+    read = made.read()
+    expected = rows(read)
+    # The plan reads each bucket's files at most where they are needed: one bucket is folded.
+    made.compact()
+    after = state_files(root)
+    assert all(after[path] == time for path, time in before.items())
+    assert len({path.split(f"{ch_bucket}=")[1].split("/")[0] for path in after.keys() - before.keys()}) == 1
+    assert sum(v == 1 for v, _ in made._manifest()["held"].values()) == 1
+    assert rows(made.read()) == expected and len(expected) == 39 + scd_type
+    made.clean_up()
+    assert rows(made.read()) == expected and len(state_files(root)) < len(after)
+
+
+def test_buckets_follow_the_rows(spark, root):
+    made = target(spark, root, [[(f"k{i}", "APPEND", "v", 1) for i in range(10)]], spec(), bucket_rows=10)
+    made.compact()
+    assert made._manifest()["buckets"] == 1
+    for batch in range(1, 5):
+        feed = [(f"k{batch * 10 + i}", "APPEND", "v", 1) for i in range(10)]
+        made.apply(spark.createDataFrame(feed, FEED), batch)
+        made.compact()
+    assert made._manifest()["buckets"] == 5
+    made.clean_up()
+    assert rows(made.read()) == sorted((f"k{i}", "v") for i in range(50))
+
+
+def test_a_fold_that_broke_off_is_done_again(spark, root):
+    made = target(spark, root, [[APPEND1, ("b", "APPEND", "w", 1)]], spec(2))
+    made.compact()
+    made.apply(spark.createDataFrame([UPDATE2], FEED), 1)
+    expected = rows(made.read())
+    # Files of a fold whose manifest was never written.
+    spark.createDataFrame([("x", 0)], f"id string, {ch_bucket} int").write.partitionBy(ch_bucket).parquet(
+        f"{root}/state/v00000001")
+    assert rows(made.read()) == expected
+    made.compact()
+    assert rows(made.read()) == expected and made._folded_version() == 1
+
+
 def test_batches_are_trimmed_before_the_shuffle(spark):
     stamped = ch.stamp_changes(spark.createDataFrame([APPEND1], FEED), spec())
     for reduced in (ch.latest_changes(stamped, spec()), ch.distinct_changes(stamped, spec())):

@@ -8,6 +8,7 @@ the highest committed one, so a failed or running write is never seen.
 from __future__ import annotations
 
 import re
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -48,6 +49,32 @@ def write_text(spark: SparkSession, path: str, text: str, replace: bool = False)
         stream.close()
 
 
+def write_whole(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file that readers see whole or not at all; an existing one is replaced."""
+    fs, p = _file_system(spark, path)
+    draft = f"{path.rsplit('/', 1)[0]}/_{uuid.uuid4().hex}"
+    write_text(spark, draft, text)
+    if not rename(spark, draft, path):
+        fs.delete(p, False)
+        if not rename(spark, draft, path):
+            raise OSError(f"cannot write {path}")
+
+
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Move a file or folder to a name that is free; tells whether that was done."""
+    fs, p = _file_system(spark, source)
+    goal = spark._jvm.org.apache.hadoop.fs.Path(target)
+    if fs.exists(goal):
+        return False
+    fs.mkdirs(goal.getParent())
+    return fs.rename(p, goal)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _file_system(spark, path)
+    fs.delete(p, True)
+
+
 def version_path(path: str, version: int) -> str:
     return f"{path}/v{version:08d}"
 
@@ -56,24 +83,25 @@ def is_committed(spark: SparkSession, path: str, version: int) -> bool:
     return exists(spark, f"{version_path(path, version)}/_SUCCESS")
 
 
+def versions(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of all version directories, complete or not."""
+    return sorted(int(m.group(1)) for m in map(_VERSION.match, children(spark, path)) if m)
+
+
 def committed_versions(spark: SparkSession, path: str) -> list[int]:
-    numbers = [int(m.group(1)) for m in map(_VERSION.match, children(spark, path)) if m]
-    return [n for n in sorted(numbers) if is_committed(spark, path, n)]
+    return [n for n in versions(spark, path) if is_committed(spark, path, n)]
 
 
 def latest_version(spark: SparkSession, path: str) -> int | None:
     """Highest committed version; checks from the newest down."""
-    numbers = [int(m.group(1)) for m in map(_VERSION.match, children(spark, path)) if m]
-    return next((n for n in sorted(numbers, reverse=True) if is_committed(spark, path, n)), None)
+    return next((n for n in reversed(versions(spark, path)) if is_committed(spark, path, n)), None)
 
 
 def drop_versions_before(spark: SparkSession, path: str, version: int) -> None:
     """Remove directories older than ``version``; call it when no reader uses them."""
-    fs, _ = _file_system(spark, path)
-    for name in children(spark, path):
-        match = _VERSION.match(name)
-        if match and int(match.group(1)) < version:
-            fs.delete(spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{name}"), True)
+    for found in versions(spark, path):
+        if found < version:
+            delete(spark, version_path(path, found))
 
 
 class Tables:
