@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 from helpers import rows
 from tideline.functions.parsing import change_time
 from tideline.operators import changes as ch
-from tideline.streaming.change_target import BUCKET as ch_bucket
 from tideline.streaming.change_target import ChangeTarget, apply_changes
+from tideline.streaming.folded import BUCKET as ch_bucket
 
 FEED = "id string, operation string, value string, at long"
 
@@ -205,8 +205,8 @@ def test_a_fold_leaves_untouched_buckets_alone(spark, root, scd_type):
     made = target(spark, root, [feed], spec(scd_type), bucket_rows=5)
     made.compact()
     before = state_files(root)
-    held = made._manifest()["held"]
-    assert len(held) == made._manifest()["buckets"] == 8 and sum(n for _, n in held.values()) == 40
+    held = made.manifest()["held"]
+    assert len(held) == made.manifest()["buckets"] == 8 and sum(n for _, n in held.values()) == 40
     made.apply(spark.createDataFrame([("k1", "UPDATE", "w", 2)], FEED), 1)
     read = made.read()
     expected = rows(read)
@@ -215,7 +215,7 @@ def test_a_fold_leaves_untouched_buckets_alone(spark, root, scd_type):
     after = state_files(root)
     assert all(after[path] == time for path, time in before.items())
     assert len({path.split(f"{ch_bucket}=")[1].split("/")[0] for path in after.keys() - before.keys()}) == 1
-    assert sum(v == 1 for v, _ in made._manifest()["held"].values()) == 1
+    assert sum(v == 1 for v, _ in made.manifest()["held"].values()) == 1
     assert rows(made.read()) == expected and len(expected) == 39 + scd_type
     made.clean_up()
     assert rows(made.read()) == expected and len(state_files(root)) < len(after)
@@ -224,12 +224,12 @@ def test_a_fold_leaves_untouched_buckets_alone(spark, root, scd_type):
 def test_buckets_follow_the_rows(spark, root):
     made = target(spark, root, [[(f"k{i}", "APPEND", "v", 1) for i in range(10)]], spec(), bucket_rows=10)
     made.compact()
-    assert made._manifest()["buckets"] == 1
+    assert made.manifest()["buckets"] == 1
     for batch in range(1, 5):
         feed = [(f"k{batch * 10 + i}", "APPEND", "v", 1) for i in range(10)]
         made.apply(spark.createDataFrame(feed, FEED), batch)
         made.compact()
-    assert made._manifest()["buckets"] == 5
+    assert made.manifest()["buckets"] == 5
     made.clean_up()
     assert rows(made.read()) == sorted((f"k{i}", "v") for i in range(50))
 
@@ -244,7 +244,7 @@ def test_a_fold_that_broke_off_is_done_again(spark, root):
         f"{root}/state/v00000001")
     assert rows(made.read()) == expected
     made.compact()
-    assert rows(made.read()) == expected and made._folded_version() == 1
+    assert rows(made.read()) == expected and made.folded_version() == 1
 
 
 def test_batches_are_trimmed_before_the_shuffle(spark):

@@ -111,6 +111,40 @@ def test_csv_misfits_are_rescued(spark, root):
     assert got[(3, "c")] == {"_corrupt_record": "3,c,more"} and got[(4, None)] == {"_corrupt_record": "4"}
 
 
+def test_csv_columns_follow_each_file_s_header(spark, root):
+    put(f"{root}/in/a.csv", "id,city", "1,Rome")
+    put(f"{root}/in/b [2]%20*.csv", "city,id", '"Oslo, N",2', "Paris,x")
+    put(f"{root}/in/sub/c.csv", "id,mayor,city,id", "3,Ann,Bonn,9", "4,,Kiel", "5,Eve,Ulm,7,8")
+    put(f"{root}/in/d.csv", "city", "Lima")
+    put(f"{root}/in/e.csv", "id,city")
+    stream = ingest_files(spark, f"{root}/in", "csv", schema="id INT, city STRING", rescued="_rescued_data")
+    got = {(r.id, r.city): json.loads(r._rescued_data or "{}") for r in load(spark, root, stream).collect()}
+    assert got == {
+        (1, "Rome"): {}, (2, "Oslo, N"): {}, (None, "Paris"): {"id": "x"}, (None, "Lima"): {},
+        (3, "Bonn"): {"mayor": "Ann", "id#2": "9"}, (4, "Kiel"): {"_corrupt_record": "4,,Kiel"},
+        (5, "Ulm"): {"_corrupt_record": "5,Eve,Ulm,7,8"}}
+    put(f"{root}/in/f.csv", "city,id", "Late,6")
+    stream = ingest_files(spark, f"{root}/in", "csv", schema="id INT, city STRING", rescued="_rescued_data")
+    assert load(spark, root, stream).where("city = 'Late'").first()["id"] == 6
+
+
+def test_csv_schema_holds_the_columns_of_all_headers(spark, root):
+    put(f"{root}/in/a.csv", "id,amount", "1,2", "2,3")
+    put(f"{root}/in/b.csv", "amount,id,late", "2.5,7,x")
+    put(f"{root}/in/c.csv", "id,amount", "n1,4")
+    stream = ingest_files(spark, f"{root}/in", "csv", schema_location=f"{root}/schema")
+    assert stream.schema.simpleString() == "struct<id:string,amount:double,late:string>"
+    assert rows(load(spark, root, stream)) == sorted(
+        [("1", 2.0, None), ("2", 3.0, None), ("7", 2.5, "x"), ("n1", 4.0, None)], key=repr)
+
+
+def test_csv_separator_and_text_only(spark, root):
+    put(f"{root}/in/a.csv", "id;name", "1;'a;b'")
+    put(f"{root}/in/b.csv", "name;id", "c;2")
+    stream = ingest_files(spark, f"{root}/in", "csv", infer_types=False, options={"sep": ";", "quote": "'"})
+    assert rows(load(spark, root, stream)) == [("1", "a;b"), ("2", "c")]
+
+
 def test_nothing_to_infer_from(spark, root):
     with pytest.raises(ValueError, match="no file"):
         ingest_files(spark, f"{root}/none", "json")

@@ -88,6 +88,35 @@ def test_failing_loan_update_is_logged_and_quarantined(spark, loan_inputs):
     assert "Cost center" in failed.first()["details"]
 
 
+def test_loan_statistics_at_an_interval(spark, loan_inputs):
+    tables = paths.Tables(spark, f"{loan_inputs}/lake")
+    query = loan.follow_stats(spark, tables, f"{loan_inputs}/stats/LoanStats_*", interval="1 second")
+    try:
+        put(f"{loan_inputs}/stats/LoanStats_2.csv", "addr_state,id\nWA,5\n")
+        for _ in range(120):
+            query.processAllAvailable()
+            if writers.read_snapshot(spark, tables.path("reference_loan_stats")).count() == 4:
+                break
+    finally:
+        query.stop()
+    stats = writers.read_snapshot(spark, tables.path("reference_loan_stats"))
+    assert rows(stats, "id", "addr_state", "revol_bal") == [
+        (1, "CA", 100), (2, "CA", 50), (5, "WA", None), (99, "NY", 7)]
+    run_loans(spark, loan_inputs, "u1")
+    log = event_log.read_event_log(spark, tables.event_log)
+    noted = rows(event_log.backlog(log, "u1").where("backlog IS NOT NULL"), "backlog")
+    assert noted and noted[0] == (0.0,)
+
+
+def test_a_question_about_one_update_reads_its_directory(spark, root):
+    for update in ("u1", "u2"):
+        event_log.EventLog(spark, f"{root}/log", update).begin("ann")
+    log = event_log.read_event_log(spark, f"{root}/log")
+    plan = event_log.update_events(log, "u2")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(update_id" in plan and "(update_id" in plan.split("PartitionFilters")[1][:120]
+    assert event_log.update_events(log, "u2").count() == 2
+
+
 def test_literal_quarantine_mode(spark, loan_inputs):
     tables = run_loans(spark, loan_inputs, "u1", quarantine_mode="literal")
     held = writers.read_snapshot(spark, tables.path("quarantined_cleaned_new_txs"))
@@ -111,6 +140,9 @@ def test_customer_tables(spark, root):
     names = ["id", "firstname", "lastname", "email", "address"]
     assert rows(current.read(), *names) == rows(expected, *names)
     assert rows(history.read().where(f"{ch.END} IS NULL"), *names) == rows(current.read(), *names)
+    counted = event_log.read_event_log(spark, tables.event_log).where(
+        "origin.dataset_name = 'scd2_customer' AND event_type = 'flow_progress'")
+    assert counted.agg(F.sum(F.get_json_object("details", "$.flow_progress.metrics.num_output_rows"))).first()[0] > 0
     totals = {r["expectation"]: r for r in event_log.quality_totals(
         event_log.read_event_log(spark, tables.event_log), "u1").collect()}
     assert totals["valid_id"]["failing_records"] == 1

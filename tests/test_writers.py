@@ -10,7 +10,7 @@ from helpers import rows
 from tideline.operators.quality import expect_or_drop, expect_or_fail
 from tideline.plans import retail
 from tideline.spec import Dataset
-from tideline.streaming import paths, writers
+from tideline.streaming import catalog, paths, writers
 
 
 def test_refresh_replaces_and_a_failed_refresh_keeps_the_old_version(spark, root):
@@ -45,6 +45,8 @@ def test_stream_counts_every_batch(spark, root):
     assert sum(p.output_rows for p in progress) == 4
     assert sum(p.dropped_rows for p in progress) == 2
     assert sum(e["failed_records"] for p in progress for e in p.expectations) == 2
+    assert writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", dataset) == progress
+    progress.settle()
     assert writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", dataset) == []
 
 
@@ -116,6 +118,139 @@ def test_streamed_aggregate_equals_batch(spark, root):
     assert paths.latest_version(spark, f"{root}/t") == 2
 
 
+@pytest.mark.parametrize("by", [(), ("p",)])
+def test_a_streaming_table_is_laid_out_batch_by_batch(spark, root, by):
+    for n in range(3):
+        (spark.range(1000).select(F.lit(n).alias("batch"), (F.col("id") % 3).cast("string").alias("p"),
+                                  (F.col("id") * 7919 % 1000).alias("c"))
+         .coalesce(1).write.mode("append").parquet(f"{root}/in"))
+    source = spark.read.parquet(f"{root}/in")
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    dataset = Dataset("t", partition_by=by, cluster_by=("c",), rules=(expect_or_drop("small", "c < 900"),))
+    progress = writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", dataset)
+    # A range sort reads its input twice; rows are counted once.
+    assert [(p.output_rows, p.dropped_rows) for p in progress] == [(900, 100)] * 3
+    back = writers.read_snapshot(spark, f"{root}/t")
+    assert rows(back, "batch", "p", "c") == rows(source.where("c < 900"), "batch", "p", "c")
+    assert back.schema["p"].dataType.typeName() == "string"
+    files = glob.glob(f"{root}/t/**/*.parquet", recursive=True)
+    for file in files:
+        values = [r["c"] for r in spark.read.parquet(file).collect()]
+        assert values == sorted(values)
+    follow = writers.read_stream(spark, f"{root}/t", max_files=2)
+    writers.write_streaming_table(follow, f"{root}/u", f"{root}/uk", Dataset("u"))
+    assert rows(writers.read_snapshot(spark, f"{root}/u"), "batch", "p", "c") == rows(back, "batch", "p", "c")
+
+
+def test_a_clustered_live_table_counts_rows_once(spark, root):
+    df = spark.range(1000).withColumn("c", F.col("id") * 7919 % 1000)
+    dataset = Dataset("t", cluster_by=("c",), rules=(expect_or_drop("small", "c < 900"),))
+    progress = writers.write_live_table(df, root, dataset)
+    assert (progress.output_rows, progress.dropped_rows) == (900, 100)
+
+
+def test_counters_of_a_killed_run_are_found_by_the_next(spark, root, monkeypatch):
+    for n in range(4):
+        spark.createDataFrame([(n,), (n - 2,)], "n int").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    stream = spark.readStream.schema("n int").option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    dataset = Dataset("t", rules=(expect_or_drop("not negative", "n >= 0"),))
+    whole = writers._append_batch
+
+    def killed(when):
+        def append(batch, batch_id, *rest):
+            if when == "before" and batch_id == 2:
+                raise RuntimeError("killed")
+            whole(batch, batch_id, *rest)
+            if when == "after" and batch_id == 2:
+                raise RuntimeError("killed")
+        return append
+
+    for when in ("before", "after"):
+        monkeypatch.setattr(writers, "_append_batch", killed(when))
+        with pytest.raises(Exception):
+            writers.write_streaming_table(stream, f"{root}/{when}", f"{root}/{when}_ck", dataset)
+        monkeypatch.setattr(writers, "_append_batch", whole)
+        progress = writers.write_streaming_table(stream, f"{root}/{when}", f"{root}/{when}_ck", dataset)
+        assert [p.batch_id for p in progress] == [0, 1, 2, 3]
+        assert sum(p.output_rows for p in progress) == 6 and sum(p.dropped_rows for p in progress) == 2
+        assert sum(e["failed_records"] for p in progress for e in p.expectations) == 2
+        assert writers.read_snapshot(spark, f"{root}/{when}").count() == 6
+        progress.settle()
+        assert writers.unsettled(spark, f"{root}/{when}", f"{root}/{when}_ck") == []
+
+
+def test_backlog_is_what_later_batches_hold(spark, root):
+    os.makedirs(f"{root}/in")
+    for i, size in enumerate((10, 20, 30)):
+        with open(f"{root}/in/f {i}.json", "w") as out:
+            out.write('{"id": %d}'.ljust(size + 1) % i)
+        os.utime(f"{root}/in/f {i}.json", (1_700_000_000 + i, 1_700_000_000 + i))
+    sizes = [os.path.getsize(f"{root}/in/f {i}.json") for i in range(3)]
+    stream = spark.readStream.schema("id long").option("maxFilesPerTrigger", 1).json(f"{root}/in")
+    progress = writers.write_streaming_table(stream, f"{root}/t", f"{root}/ck", Dataset("t"))
+    assert [p.input_bytes for p in progress] == sizes
+    assert [p.backlog_bytes for p in progress] == [sizes[1] + sizes[2], sizes[2], 0]
+
+
+@pytest.mark.parametrize("compact_every", [None, 2])
+def test_stream_sums_equal_batch(spark, root, compact_every):
+    rng = random.Random(4)
+    schema = "city string, day int, price decimal(18,2), qty bigint, ratio double"
+    for n in range(5):
+        lines = [(rng.choice(["a", "b", None, f"c{n}"]), rng.randrange(3), rng.randrange(99), rng.choice([1, None]), 0.5)
+                 for _ in range(40)]
+        (spark.createDataFrame(lines, "city string, day int, price int, qty bigint, ratio double")
+         .withColumn("price", F.col("price").cast("decimal(18,2)")).coalesce(1).write.mode("append").parquet(f"{root}/in"))
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    keys, sums = ["city", "day"], ["price", "qty", "ratio"]
+    dataset = Dataset("t", rules=(expect_or_drop("priced", "price > 9"),))
+    for _ in range(2):
+        done = writers.write_stream_sums(stream, keys, sums, f"{root}/t", f"{root}/ck", dataset,
+                                         compact_every=compact_every, bucket_rows=3)
+    assert done == []
+    batch = spark.read.parquet(f"{root}/in").where("price > 9").groupBy(*keys).agg(*[F.sum(s).alias(s) for s in sums])
+    got = writers.read_snapshot(spark, f"{root}/t")
+    assert got.schema.simpleString() == batch.schema.simpleString() and rows(got) == rows(batch)
+
+
+def test_sums_of_nothing(spark, root):
+    os.makedirs(f"{root}/in")
+    stream = spark.readStream.schema("k string, v long").json(f"{root}/in")
+    assert writers.write_stream_sums(stream, ["k"], ["v"], f"{root}/t", f"{root}/ck", Dataset("t")) == []
+    assert rows(writers.read_sums(spark, f"{root}/t")) == []
+
+
+def test_a_batch_of_sums_touches_its_own_buckets(spark, root):
+    store = writers.SumTable(spark, root, ["k"], ["v"], compact_every=None, bucket_rows=5)
+    store.add(spark.range(60).select(F.col("id").alias("k"), F.lit(1).alias("v")), 0)
+    store.compact()
+    before = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/state/**/*.parquet", recursive=True)}
+    store.add(spark.createDataFrame([(7, 10)], "k long, v int"), 1)
+    store.add(spark.createDataFrame([(7, 99)], "k long, v int"), 1)
+    store.compact()
+    after = {f: os.path.getmtime(f) for f in glob.glob(f"{root}/state/**/*.parquet", recursive=True)}
+    assert before.items() <= after.items() and len(after) - len(before) == 1
+    assert {r["k"]: r["v"] for r in store.state().collect()} == {**{k: 1 for k in range(60)}, 7: 11}
+
+
+def test_catalog_names_follow_refreshes(spark, root):
+    for by in ((), ("p",)):
+        dataset, path = Dataset("t", partition_by=by), f"{root}/{len(by)}"
+        for n in (3, 5):
+            df = spark.range(n).select("id", (F.col("id") % 2).cast("string").alias("p"))
+            catalog.refresh(df, path, dataset, "tideline_followed")
+            assert rows(spark.table("tideline_followed").select("id", "p")) == rows(df)
+        catalog.drop(spark, "tideline_followed")
+        assert writers.read_snapshot(spark, path).count() == 5
+    copy = catalog.save_managed(spark.range(4), "tideline_managed", Dataset("m", cluster_by=("id",)))
+    assert copy.count() == 4 == spark.sql("SELECT * FROM tideline_managed").count()
+    catalog.save_managed(spark.range(2), "tideline_managed")
+    assert spark.table("tideline_managed").count() == 2
+    catalog.drop(spark, "tideline_managed")
+    with pytest.raises(ValueError, match="no live table"):
+        catalog.register(spark, "x", f"{root}/none")
+
+
 def test_counters_of_every_batch_of_a_long_stream(spark, root):
     for i in range(105):
         os.makedirs(f"{root}/in", exist_ok=True)

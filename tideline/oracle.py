@@ -122,6 +122,9 @@ def statements() -> dict[str, str]:
         "ingest_json_files": "SELECT *, CAST(NULL AS VARCHAR) AS _rescued_data FROM customer",
         "ingest_csv_files": "SELECT CAST(p_partkey AS INTEGER) AS p_partkey, p_name, p_brand, p_type, "
                             "p_size, p_retailprice FROM part",
+        "csv_mixed_headers": """
+            SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 3 < 2 THEN o_orderpriority END AS o_orderpriority,
+                   CASE WHEN o_orderkey % 3 = 2 THEN 'n' || o_orderstatus END AS note FROM orders""",
         "rescue_fields": """
             SELECT event_id, user_id, CAST(NULL AS INTEGER) AS value,
                    '{"event_type":"' || event_type || '","value":"' || CAST(value AS VARCHAR) || '"}'
@@ -135,6 +138,8 @@ def statements() -> dict[str, str]:
                         "o_orderpriority FROM orders JOIN customer ON o_custkey = c_custkey",
         "balance_by_location": _BALANCE,
         "partitioned_layout": "SELECT * FROM orders",
+        "clustered_stream": "SELECT * FROM orders",
+        "catalog_tables": "SELECT s_suppkey, s_name, s_nationkey FROM supplier",
         "live_table_refresh": "SELECT s_suppkey, n_name, CAST(s_acctbal AS DECIMAL(18,2)) AS balance "
                               "FROM supplier JOIN nation ON s_nationkey = n_nationkey",
         "scd1_users": """
@@ -142,6 +147,7 @@ def statements() -> dict[str, str]:
               SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS r
               FROM events) WHERE r = 1 AND event_type <> 'error'""",
         "scd2_users": _SCD2_USERS,
+        "scd2_in_buckets": _SCD2_USERS,
         "scd2_tracked": _tracked("user_id", "event_type = 'error'", "event_type",
                                  "event_id, user_id, event_type, value"),
         "scd2_hot_keys": _tracked("event_type", "user_id % 7 = 0", "value > 50",
@@ -158,6 +164,9 @@ def statements() -> dict[str, str]:
             SELECT 'clean_txs' AS dataset, CAST(n AS BIGINT) AS logged, CAST(n AS BIGINT) AS held FROM kept
             UNION ALL SELECT 'quarantine_txs', CAST(q AS BIGINT), CAST(q AS BIGINT) FROM kept
             UNION ALL SELECT 'by_flag', count(DISTINCT l_returnflag), count(DISTINCT l_returnflag) FROM lineitem""",
+        "log_backlog_of_own_run": """
+            SELECT CAST(3 AS BIGINT) AS batches, 16 * count(*) AS read_bytes, 16 * count(*) AS first_bytes,
+                   CAST(0 AS BIGINT) AS last_backlog FROM orders""",
         "rescue_csv": """
             SELECT o_orderkey, CASE WHEN o_orderkey % 10 <> 3 THEN o_custkey END AS customer,
                    CASE WHEN o_orderkey % 10 = 3 THEN 'n/a' END AS misfit,

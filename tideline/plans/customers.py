@@ -50,11 +50,12 @@ def run(spark: SparkSession, tables: paths.Tables, feed: str, update_id: str,
     targets = []
     for dataset, scd_type in ((SCD1, 1), (SCD2, 2)):
         source = writers.read_stream(spark, tables.path(CLEAN.name), max_files)
-        with log.flow(source, dataset, "append"):
+        with log.flow(source, dataset, "append") as done:
             targets.append(apply_changes(
                 spark, tables.path(dataset.name), source, tables.checkpoint(dataset.name),
                 keys=["id"], sequence_by=change_time("operation_date"),
                 apply_as_deletes="operation = 'DELETE'",
                 except_column_list=["operation", "operation_date", RESCUED],
-                stored_as_scd_type=scd_type))
+                stored_as_scd_type=scd_type, name=dataset.name))
+            done(targets[-1].progress)
     return targets[0], targets[1]

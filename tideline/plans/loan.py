@@ -29,8 +29,9 @@ LITERAL_INVERSE = ("(next_payment_date <= '2021-12-31') OR (balance <= 0 OR arre
 
 RAW = Dataset("raw_txs", "New loan records from the landing zone",
               properties={"quality": "bronze"})
-LOAN_STATS = Dataset("reference_loan_stats", "Historical loan records",
+LOAN_STATS = Dataset("reference_loan_stats", "Historical loan records", cluster_by=("addr_state",),
                      properties={"quality": "bronze"})
+STATS_INTERVAL = "1 hour"
 TREATMENTS = Dataset("ref_accounting_treatment", "Lookup of accounting treatments")
 CLEANED = Dataset("cleaned_new_txs", "New loan records that pass all rules", rules=LOAN_RULES,
                   inputs=("raw_txs", "ref_accounting_treatment"), properties={"quality": "silver"})
@@ -84,6 +85,21 @@ def balance_by_location(branches: Sequence[DataFrame]) -> DataFrame:
     return combined.distinct()
 
 
+def stats_stream(spark: SparkSession, tables: paths.Tables, loan_stats: str):
+    """New loan statistics, from a glob of CSV files."""
+    return ingest_files(spark, loan_stats, "csv", rescued=RESCUED,
+                        schema_location=tables.checkpoint("reference_loan_stats_schema"))
+
+
+def follow_stats(spark: SparkSession, tables: paths.Tables, loan_stats: str, interval: str = STATS_INTERVAL):
+    """Keep taking in loan statistics at an interval; returns the running query.
+
+    It works on the table and checkpoint of ``run``, so stop it before an update.
+    """
+    return writers.write_streaming_table(stats_stream(spark, tables, loan_stats), tables.path(LOAN_STATS.name),
+                                         tables.checkpoint(LOAN_STATS.name), LOAN_STATS, trigger=interval)
+
+
 def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str,
         treatments: str, update_id: str, score=None, quarantine_mode: str = "complement",
         user_name: str | None = None) -> None:
@@ -105,9 +121,7 @@ def run(spark: SparkSession, tables: paths.Tables, landing: str, loan_stats: str
             done([writers.write_live_table(df, tables.path(dataset.name), dataset)])
 
     stream(ingest_files(spark, landing, "json", schema=account_schema(), rescued=RESCUED), RAW)
-    stream(ingest_files(spark, loan_stats, "csv",
-                        schema_location=tables.checkpoint("reference_loan_stats_schema"), rescued=RESCUED),
-           LOAN_STATS)
+    stream(stats_stream(spark, tables, loan_stats), LOAN_STATS)
     refresh(spark.read.parquet(treatments), TREATMENTS)
 
     lookup = writers.read_snapshot(spark, tables.path(TREATMENTS.name))

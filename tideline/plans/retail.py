@@ -18,6 +18,8 @@ CLEANED_COLUMNS = ("customer_id", "customer_name", "number_of_line_items", "orde
                    "lat", "units_purchased", "loyalty_segment")
 ORDER_RULES = (expect_or_drop("valid order_number", "order_number IS NOT NULL"),)
 LOS_ANGELES, CHICAGO = "Los Angeles", "Chicago"
+SALES_KEYS = ("order_date", "city", "customer_id", "customer_name", "currency")
+SALES_SUMS = ("sales", "quantity")
 SALES_SCHEMA = ("customer_id STRING, customer_name STRING, order_date DATE, currency STRING, "
                 "sales LONG, order_day_of_week INT")
 
@@ -48,17 +50,28 @@ def orders_with_customer(orders: DataFrame, customers: DataFrame,
     return joined.withColumn("order_date", F.col("order_datetime").cast("date"))
 
 
-def sales_by_city(cleaned: DataFrame, city: str | None = None) -> DataFrame:
-    """Sales and quantity per order date, city, customer and currency, over the order lines.
+def sales_lines(cleaned: DataFrame, city: str | None = None) -> DataFrame:
+    """Sales and quantity of every order line, with what they are summed up by.
 
     Lines are exploded after the city filter; an order without lines gives no row.
     """
     rows = cleaned if city is None else cleaned.where(F.col("city") == city)
     lines = rows.select("city", "order_date", "customer_id", "customer_name",
                         F.explode("ordered_products").alias("line"))
-    return (lines.groupBy("order_date", "city", "customer_id", "customer_name",
-                          F.col("line.curr").alias("currency"))
-            .agg(F.sum("line.price").alias("sales"), F.sum("line.qty").alias("quantity")))
+    return lines.select("order_date", "city", "customer_id", "customer_name", F.col("line.curr").alias("currency"),
+                        F.col("line.price").alias("sales"), F.col("line.qty").alias("quantity"))
+
+
+def sales_by_city(cleaned: DataFrame, city: str | None = None) -> DataFrame:
+    """Sales and quantity per order date, city, customer and currency, over the order lines."""
+    return (sales_lines(cleaned, city).groupBy(*SALES_KEYS)
+            .agg(*[F.sum(s).alias(s) for s in SALES_SUMS]))
+
+
+def keep_sales(cleaned: DataFrame, city: str | None, path: str, checkpoint: str, dataset: Dataset, **more):
+    """The same sums from a stream, kept as a table to which every batch adds its own groups."""
+    return writers.write_stream_sums(sales_lines(cleaned, city), SALES_KEYS, SALES_SUMS, path, checkpoint,
+                                     dataset, **more)
 
 
 def run(spark: SparkSession, tables: paths.Tables, orders: str, customer_file: str,
@@ -77,10 +90,9 @@ def run(spark: SparkSession, tables: paths.Tables, orders: str, customer_file: s
         done(writers.write_streaming_table(cleaned, tables.path(CLEANED.name),
                                            tables.checkpoint(CLEANED.name), CLEANED))
     for dataset, city in ((IN_LA, LOS_ANGELES), (IN_CHICAGO, CHICAGO)):
-        totals = sales_by_city(writers.read_stream(spark, tables.path(CLEANED.name)), city)
-        with log.flow(totals, dataset, "complete") as done:
-            done(writers.write_stream_aggregate(totals, tables.path(dataset.name),
-                                                tables.checkpoint(dataset.name), dataset))
+        orders_of = writers.read_stream(spark, tables.path(CLEANED.name))
+        with log.flow(sales_by_city(orders_of, city), dataset, "update") as done:
+            done(keep_sales(orders_of, city, tables.path(dataset.name), tables.checkpoint(dataset.name), dataset))
     in_chicago = writers.read_snapshot(spark, tables.path(IN_CHICAGO.name))
     with log.flow(in_chicago, SALES, "complete") as done:
         done([writers.write_live_table(in_chicago, tables.path(SALES.name), SALES)])

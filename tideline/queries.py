@@ -20,7 +20,7 @@ from tideline.plans import event_log, loan, retail, risk
 from tideline.session import scratch_dir
 from tideline.sources.ingest import ingest_files, rescue_json
 from tideline.spec import Dataset
-from tideline.streaming import writers
+from tideline.streaming import catalog, writers
 from tideline.streaming.change_target import ChangeTarget, apply_changes
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -81,6 +81,25 @@ def ingest_csv_files(spark, folder):
     return _streamed(spark, stream, Dataset("part_csv"))
 
 
+def _csv_lines(df: DataFrame, header: str, path: str) -> None:
+    """Write lines of text as CSV files that all begin with the same header, whatever the lines hold."""
+    df.toDF(header).write.mode("append").option("header", True).option("sep", "\x01").option("quote", "\x02").csv(path)
+
+
+def csv_mixed_headers(spark, folder):
+    """Orders in CSV files with three headers: reordered, lacking a column, with a column of their own."""
+    root = scratch_dir(spark, "csv_mixed_headers")
+    orders = table(spark, folder, "orders").repartition(6)
+    for part, header in enumerate((("o_orderkey", "o_custkey", "o_orderpriority"),
+                                   ("o_orderpriority", "o_custkey", "o_orderkey"), ("o_custkey", "note", "o_orderkey"))):
+        some = orders.where(F.col("o_orderkey") % 3 == part).withColumn("note", F.concat(F.lit("n"), "o_orderstatus"))
+        some.select(*header).write.mode("append").option("header", True).csv(f"{root}/landing")
+    stream = ingest_files(spark, f"{root}/landing", "csv", max_files=5, rescued="_rescued_data",
+                          schema="o_orderkey BIGINT, o_custkey BIGINT, o_orderpriority STRING")
+    return _streamed(spark, stream, Dataset("orders_csv")).select(
+        "o_orderkey", "o_custkey", "o_orderpriority", F.get_json_object("_rescued_data", "$.note").alias("note"))
+
+
 def rescue_fields(spark, folder):
     """Events as JSON lines, parsed with a schema that lacks a field and mistypes another."""
     lines = table(spark, folder, "events").select(
@@ -154,6 +173,28 @@ def partitioned_layout(spark, folder):
     return writers.read_snapshot(spark, root)
 
 
+def clustered_stream(spark, folder):
+    """A streaming table in directories by priority, each batch range-sorted by date and customer."""
+    dataset = Dataset("orders_stream", partition_by=("o_orderpriority",),
+                      cluster_by=("o_orderdate", "o_custkey"))
+    return _streamed(spark, table_stream(spark, folder, "orders"), dataset)
+
+
+def catalog_tables(spark, folder):
+    """An external table after two refreshes and a managed copy of it, both read by name."""
+    root = scratch_dir(spark, "catalog_tables")
+    database = "tideline_" + root.rsplit("-", 1)[1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{root}/database'")
+    suppliers = table(spark, folder, "supplier").select("s_suppkey", "s_name", "s_nationkey")
+    dataset = Dataset("suppliers", partition_by=("s_nationkey",))
+    catalog.refresh(suppliers.where("s_suppkey % 2 = 0"), f"{root}/live", dataset, f"{database}.suppliers")
+    catalog.refresh(suppliers, f"{root}/live", dataset, f"{database}.suppliers")
+    catalog.drop(spark, f"{database}.copied")
+    catalog.save_managed(spark.table(f"{database}.suppliers"), f"{database}.copied", Dataset("copied", cluster_by=("s_name",)))
+    return spark.sql(f"SELECT s_suppkey, s_name, c.s_nationkey FROM {database}.suppliers "
+                     f"JOIN {database}.copied AS c USING (s_suppkey, s_name)")
+
+
 def live_table_refresh(spark, folder):
     """A live table refreshed twice holds its definition once."""
     dataset = Dataset("supplier_nation", schema="s_suppkey BIGINT, n_name STRING, balance DECIMAL(18,2)",
@@ -205,6 +246,18 @@ def scd2_users(spark, folder):
         except_columns=("props", "ts"), scd_type=2))
 
 
+def scd2_in_buckets(spark, folder):
+    """The same versions from small buckets: nine batches, a fold after every second one."""
+    events = _change_feed(table(spark, folder, "events"))
+    spec = ch.ChangeSpec(keys=("user_id",), sequence_by="ts", apply_as_deletes="event_type = 'error'",
+                         except_columns=("props", "ts"), scd_type=2)
+    target = ChangeTarget(spark, scratch_dir(spark, "scd2_in_buckets"), spec, compact_every=2, bucket_rows=5000)
+    for batch_id in range(9):
+        target.apply(events.where(F.col("event_id") % 9 == (batch_id * 5) % 9), batch_id)
+    target.clean_up()
+    return target.read()
+
+
 def scd2_tracked(spark, folder):
     return _out_of_order(spark, folder, "scd2_tracked", ch.ChangeSpec(
         keys=("user_id",), sequence_by="ts", apply_as_deletes="event_type = 'error'",
@@ -276,13 +329,14 @@ def _packed_orders(rows: DataFrame, spark, folder) -> DataFrame:
 
 
 def sales_by_place(spark, folder):
-    """Streaming aggregate in complete mode over exploded order lines, for every city."""
+    """Sums over exploded order lines of every city, from a stream of several micro-batches."""
     dataset = Dataset("sales_by_place")
     root = scratch_dir(spark, dataset.name)
-    orders = _packed_orders(table_stream(spark, folder, "lineitem"), spark, folder)
+    _packed_orders(table(spark, folder, "lineitem"), spark, folder).repartition(8).write.parquet(f"{root}/orders")
+    schema = spark.read.parquet(f"{root}/orders").schema
+    orders = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/orders")
     for _ in range(2):
-        writers.write_stream_aggregate(retail.sales_by_city(orders), f"{root}/table",
-                                       f"{root}/checkpoint", dataset)
+        retail.keep_sales(orders, None, f"{root}/table", f"{root}/checkpoint", dataset, compact_every=3)
     return writers.read_snapshot(spark, f"{root}/table")
 
 
@@ -418,14 +472,34 @@ def log_rows_of_own_run(spark, folder):
     return logged.join(held, "dataset").select("dataset", "logged", "held")
 
 
+def log_backlog_of_own_run(spark, folder):
+    """Bytes that a run over six files logs: all it read, what was open after its first batch, and after its last.
+
+    Every order is a line of 16 bytes, so the sizes are known.
+    """
+    root = scratch_dir(spark, "log_backlog_of_own_run")
+    line = F.lpad(F.col("o_orderkey").cast("string"), 15, " ")
+    table(spark, folder, "orders").select(line).repartition(6).write.text(f"{root}/landing")
+    stream = spark.readStream.option("maxFilesPerTrigger", 2).text(f"{root}/landing")
+    log = event_log.EventLog(spark, f"{root}/log", "run_1")
+    dataset = Dataset("lines")
+    with log.flow(stream, dataset, "append") as done:
+        done(writers.write_streaming_table(stream, f"{root}/table", f"{root}/checkpoint", dataset))
+    events = event_log.read_event_log(spark, f"{root}/log").where("event_type = 'flow_progress'")
+    bytes_read = F.get_json_object("details", "$.flow_progress.metrics.input_bytes").cast("long")
+    open_bytes = F.get_json_object("details", "$.flow_progress.metrics.backlog_bytes").cast("long")
+    noted = events.select(bytes_read.alias("input"), open_bytes.alias("backlog"))
+    return noted.agg(F.count(F.lit(1)).alias("batches"), F.sum("input").alias("read_bytes"),
+                     F.max(F.col("input") + F.col("backlog")).alias("first_bytes"), F.min("backlog").alias("last_backlog"))
+
+
 def rescue_csv(spark, folder):
-    """Orders as CSV with misfits and, in one file, a value too many; nothing is lost."""
+    """Orders as CSV files with misfits and values too many; nothing is lost."""
     root = scratch_dir(spark, "rescue_csv")
     orders = table(spark, folder, "orders").select(
         "o_orderkey", F.when(F.col("o_orderkey") % 10 == 3, "n/a").otherwise(F.col("o_custkey").cast("string")).alias("customer"))
     lines = orders.select(F.concat_ws(",", "o_orderkey", "customer", F.when(F.col("o_orderkey") % 10 == 7, "extra")))
-    spark.createDataFrame([("o_orderkey,customer",)], "value string").coalesce(1).unionByName(
-        lines.toDF("value")).coalesce(1).write.text(f"{root}/landing")
+    _csv_lines(lines.repartition(4), "o_orderkey,customer", f"{root}/landing")
     stream = ingest_files(spark, f"{root}/landing", "csv", schema="o_orderkey BIGINT, customer BIGINT",
                           rescued="_rescued_data")
     return _streamed(spark, stream, Dataset("orders_csv")).select(
@@ -573,13 +647,14 @@ def risk_functions_agree(spark, folder):
 
 
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
-    ingest_stream_once, ingest_json_files, ingest_csv_files, rescue_fields, clean_txs,
+    ingest_stream_once, ingest_json_files, ingest_csv_files, csv_mixed_headers, rescue_fields, clean_txs,
     quarantine_txs, expectation_totals, fail_rule_passes, history_view, balance_by_location,
-    partitioned_layout, live_table_refresh, scd1_users, scd2_users, scd2_tracked, scd2_hot_keys,
+    partitioned_layout, clustered_stream, catalog_tables, live_table_refresh, scd1_users, scd2_users,
+    scd2_in_buckets, scd2_tracked, scd2_hot_keys,
     scd2_text_sequence, orders_with_customer, sales_by_place, sales_table, log_update_events, log_user_actions,
     log_lineage, log_quality_totals, log_quality_runs, log_latest_version,
     log_latest_version_by_number, log_backlog, log_cluster_metrics, log_view_in_sql,
-    log_of_own_run, log_rows_of_own_run, rescue_csv, rescue_nested, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact,
+    log_of_own_run, log_rows_of_own_run, log_backlog_of_own_run, rescue_csv, rescue_nested, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact,
     roc_null_scores, roc_stacked,
     roc_area, f_measure_by_threshold, confusion_totals, confusion_business_value, glm_scores,
     gbt_scores, risk_functions_agree)}

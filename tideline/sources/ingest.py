@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import csv
 import json
+import re
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,6 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, MapType, StringType, StructField, StructType
 
 from tideline.streaming import paths
+from tideline.streaming.writers import Prepared
 
 RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
@@ -69,33 +73,124 @@ def rescue_json(lines: DataFrame, line: str, schema: StructType, rescued: str =
                         kept.alias(rescued))
 
 
-def rescue_csv(texts: DataFrame, schema: StructType, rescued: str = RESCUED) -> DataFrame:
-    """Columns of ``schema`` cast from text columns, plus a JSON object of the values that did not fit.
+def _split_header(line: str, options: dict) -> list[str]:
+    return next(csv.reader([line], delimiter=options.get("sep", options.get("delimiter", ",")),
+                           quotechar=options.get("quote", '"') or None))
 
-    A row with more or fewer values than the header is kept whole under ``_corrupt_record``, which
-    ``texts`` holds in a column of that name.
+
+def _literal_path(path: str) -> str:
+    """A file's URI as a path that is taken literally, without wildcards."""
+    return re.sub(r"([\\*?{}\[\]])", r"\\\1", unquote(path))
+
+
+def _by_header(lines: DataFrame, options: dict) -> dict[str, list[str]]:
+    """Header line to the files that begin with it, for rows of text with their file and block start.
+
+    Only a file's first block is looked at, in tasks; files without a line have no header.
+    """
+    first = (lines.where("__start = 0").withColumn("__at", F.monotonically_increasing_id())
+             .groupBy("__file").agg(F.min_by("value", "__at").alias("header")))
+    found: dict[str, list[str]] = {}
+    for r in first.collect():
+        found.setdefault(r["header"], []).append(r["__file"])
+    return found
+
+
+def _with_files(reader, source: str) -> DataFrame:
+    return reader.text(source).select("value", F.col("_metadata.file_path").alias("__file"),
+                                      F.col("_metadata.file_block_start").alias("__start"))
+
+
+def _texts(spark: SparkSession, header: list[str], files: list[str], options: dict) -> DataFrame:
+    """The rows of files that share a header; columns ``__0``, ``__1``, ... as text."""
+    schema = StructType([*[StructField(f"__{i}", StringType()) for i in range(len(header))],
+                         StructField(CORRUPT, StringType())])
+    return (spark.read.options(**options).option("header", True).option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(schema).csv([_literal_path(f) for f in files]))
+
+
+def _named(texts: DataFrame, header: list[str], schema: StructType, rescued: str | None) -> DataFrame:
+    """Columns of ``schema`` by name from the text columns of one header (see ``csv_by_name``)."""
+    places: dict[str, int] = {}
+    unknown: list[tuple[str, int]] = []
+    wanted = set(schema.names)
+    for i, name in enumerate(header):
+        if name in wanted and name not in places:
+            places[name] = i
+        else:
+            again = header[:i].count(name)
+            unknown.append((f"{name}#{again + 1}" if again else name, i))
+    typed, lost = {}, []
+    for f in schema.fields:
+        text = F.col(f"__{places[f.name]}") if f.name in places else F.lit(None).cast("string")
+        typed[f.name] = text if isinstance(f.dataType, StringType) else F.trim(text).try_cast(f.dataType)
+        entry = F.struct(F.lit(f.name).alias("key"), text.alias("value"))
+        lost.append(F.when(text.isNotNull() & typed[f.name].isNull(), entry))
+    lost += [F.when(F.col(f"__{i}").isNotNull(), F.struct(F.lit(name).alias("key"), F.col(f"__{i}").alias("value")))
+             for name, i in unknown]
+    columns = [typed[f.name].alias(f.name) for f in schema.fields]
+    if rescued is None:
+        return texts.select(*columns)
+    whole = F.when(F.col(CORRUPT).isNotNull(), F.array(F.struct(F.lit(CORRUPT).alias("key"), F.col(CORRUPT).alias("value"))))
+    kept = F.map_from_entries(F.coalesce(whole, F.array_compact(F.array(*lost))))
+    return texts.select(*columns, F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))
+
+
+def csv_by_name(lines: DataFrame, schema: StructType, rescued: str | None, options: dict) -> DataFrame:
+    """The records of CSV files, their columns found by the names in each file's own header.
+
+    A first pass finds the header lines of the files; files with the same one are read together. A column that a file lacks is
+    NULL. With ``rescued``, a JSON object keeps what does not fit: values under names that the schema lacks, values
+    of the wrong type, and rows with more or fewer values than the header, whole, under ``_corrupt_record``. A name that a
+    header repeats counts once; the others are kept as ``name#2``, ``name#3``.
     """
-    misfits = [F.struct(F.lit(f.name).alias("key"), F.col(f"`{f.name}`").alias("value"))
-               for f in schema.fields if not isinstance(f.dataType, StringType)]
-    typed = {f.name: F.col(f"`{f.name}`").try_cast(f.dataType) for f in schema.fields}
-    lost = [F.when(F.col(f"`{f.name}`").isNotNull() & typed[f.name].isNull(), entry)
-            for f, entry in zip([f for f in schema.fields if not isinstance(f.dataType, StringType)], misfits)]
-    whole = F.when(F.col(CORRUPT).isNotNull(),
-                   F.struct(F.lit(CORRUPT).alias("key"), F.col(CORRUPT).alias("value")))
-    kept = F.map_from_entries(F.array_compact(F.array(*lost, whole)))
-    return texts.select(*[typed[f.name].alias(f.name) for f in schema.fields],
-                        F.when(F.size(kept) > 0, F.to_json(kept)).alias(rescued))
+    spark, found = lines.sparkSession, None
+    for header, files in sorted(_by_header(lines, options).items()):
+        names = _split_header(header, options)
+        part = _named(_texts(spark, names, files, options), names, schema, rescued)
+        found = part if found is None else found.unionByName(part)
+    return found if found is not None else spark.createDataFrame([], _with_rescued(schema, rescued))
+
+
+def _with_rescued(schema: StructType, rescued: str | None) -> StructType:
+    return schema if rescued is None else StructType([*schema.fields, StructField(rescued, StringType())])
+
+
+_NUMBERS = ("int", "bigint", "double")
+
+
+def _common(one: DataType, other: DataType) -> DataType:
+    """A type for values of both: the wider number, else text."""
+    if one == other:
+        return one
+    names = one.simpleString(), other.simpleString()
+    if all(n in _NUMBERS for n in names):
+        return max(one, other, key=lambda t: _NUMBERS.index(t.simpleString()))
+    return StringType()
+
+
+def _infer_csv(spark: SparkSession, source: str, infer_types: bool, options: dict) -> StructType:
+    """Columns of all headers by name, in order of their first header; types are inferred per header."""
+    found: dict[str, DataType] = {}
+    by_header = _by_header(_with_files(spark.read.options(recursiveFileLookup=True), source), options)
+    for header, files in sorted(by_header.items(), key=lambda item: min(item[1])):
+        names = _split_header(header, options)
+        kinds = (spark.read.options(**options).option("header", True).option("inferSchema", infer_types)
+                 .csv([_literal_path(f) for f in files]).schema.fields)
+        for name, f in zip(names, kinds):
+            kind = f.dataType if infer_types else StringType()
+            found[name] = _common(found[name], kind) if name in found else kind
+    return StructType([StructField(n, t) for n, t in found.items()])
 
 
 def infer_schema(spark: SparkSession, source: str, file_format: str, infer_types: bool = True,
                  options: dict | None = None) -> StructType:
     """Schema of all files under a folder or glob, at any depth; without types all columns are text."""
-    reader = spark.read.options(recursiveFileLookup=True, **(options or {}))
     try:
         if file_format == "csv":
-            schema = reader.option("header", True).option("inferSchema", infer_types).csv(source).schema
+            schema = _infer_csv(spark, source, infer_types, options or {})
         else:
-            schema = reader.json(source).schema
+            schema = spark.read.options(recursiveFileLookup=True, **(options or {})).json(source).schema
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             raise ValueError(f"no file to infer a schema from at {source}") from error
@@ -121,11 +216,12 @@ def stored_schema(spark: SparkSession, schema_location: str, source: str, file_f
 def ingest_files(spark: SparkSession, source: str, file_format: str,
                  schema: StructType | str | None = None, schema_location: str | None = None,
                  infer_types: bool = True, rescued: str | None = None,
-                 max_files: int | None = None, options: dict | None = None) -> DataFrame:
-    """A stream of the records in the files at ``source`` (a folder or glob).
+                 max_files: int | None = None, options: dict | None = None) -> DataFrame | Prepared:
+    """A stream of the records in the files at ``source`` (a folder or glob), for ``write_streaming_table``.
 
     The schema is the one given, else the stored one, else inferred from all files at any depth. With
-    ``rescued`` a column of that name keeps what does not fit (see ``rescue_json``, ``rescue_csv``).
+    ``rescued`` a column of that name keeps what does not fit (see ``rescue_json``, ``csv_by_name``). CSV files
+    are read batch by batch, as their headers name the columns.
     """
     if file_format not in ("json", "csv"):
         raise ValueError(f"unsupported format {file_format}")
@@ -136,18 +232,18 @@ def ingest_files(spark: SparkSession, source: str, file_format: str,
     if schema is None:
         schema = infer_schema(spark, source, file_format, infer_types, options)
 
-    reader = spark.readStream.options(recursiveFileLookup=True, **(options or {}))
+    reader = spark.readStream.option("recursiveFileLookup", True)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
     if file_format == "csv":
-        reader = reader.option("header", True)
-        if rescued is None:
-            return reader.schema(schema).csv(source)
-        texts = StructType([*[StructField(f.name, StringType()) for f in schema.fields],
-                            StructField(CORRUPT, StringType())])
-        return rescue_csv(reader.schema(texts).option("columnNameOfCorruptRecord", CORRUPT).csv(source),
-                          schema, rescued)
+        settings = dict(options or {})
+        return Prepared(_with_files(reader, source),
+                        lambda lines: csv_by_name(lines, schema, rescued, settings), _with_rescued(schema, rescued))
+    reader = reader.options(**(options or {}))
     if rescued is None:
         return reader.schema(schema).json(source)
-    lines = reader.text(source)
-    return rescue_json(lines.where(F.trim("value") != ""), "value", schema, rescued)
+    # Parsed batch by batch: what Spark derives about a stream's rows before it hands them over grows fast with the
+    # number of parsed fields.
+    return Prepared(reader.text(source),
+                    lambda lines: rescue_json(lines.where(F.trim("value") != ""), "value", schema, rescued),
+                    _with_rescued(schema, rescued))

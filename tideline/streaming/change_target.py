@@ -1,145 +1,41 @@
 """A slowly changing dimension kept up to date from a stream of change records.
 
-Under the target's folder, ``changes/v<batch id>`` holds the reduced records of one micro-batch.
-``state`` holds what has been folded: rows lie in buckets by a hash of their key, and
-``state/v<batch id>/__bucket=<n>`` is a bucket as the fold of that batch wrote it. The fold's
-manifest, a small file that appears at once when the fold is complete, names for every bucket the
-version that holds it. A fold reads and writes the buckets that its records touch; the files of
-all other buckets stay as they are. Reading folds the few batches that came after the newest
-manifest, again in touched buckets only.
-
-The number of buckets follows the rows: a fold that finds buckets with over four times
-``bucket_rows`` rows on average deals all rows anew, which happens once for each time the state
-grows fourfold. Every directory is written once under the id of its batch, so a replayed batch is
-recognised and skipped. A target belongs to one checkpoint.
+A batch costs what its own records cost; folds rewrite only the buckets of the keys that changed
+(see ``folded``).
 """
 
 from __future__ import annotations
 
-import json
-import math
-import re
-
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql import DataFrame, SparkSession
 
 from tideline.operators import changes as ch
-from tideline.streaming import paths
+from tideline.streaming.folded import BUCKET_ROWS, FoldedTable
+from tideline.streaming.writers import FlowProgress
 
-BUCKET = "__bucket"
-BUCKET_ROWS = 1_000_000
-_MANIFEST = re.compile(r"^v(\d{8,})\.json$")
 
+class ChangeTarget(FoldedTable):
+    """``feed`` is only asked for its columns, so that a target is readable before its first change.
 
-class ChangeTarget:
-    """``feed`` is only asked for its columns, so that a target is readable before its first change."""
+    ``name`` is that of the dataset in ``progress``, which lists what this object has applied.
+    """
 
     def __init__(self, spark: SparkSession, path: str, spec: ch.ChangeSpec,
                  compact_every: int | None = 20, feed: DataFrame | None = None,
-                 bucket_rows: int = BUCKET_ROWS):
-        self.spark, self.path, self.spec = spark, path.rstrip("/"), spec
-        self.compact_every, self.feed_schema = compact_every, feed.schema if feed is not None else None
-        self.bucket_rows = bucket_rows
-
-    @property
-    def _changes(self) -> str:
-        return f"{self.path}/changes"
-
-    @property
-    def _state(self) -> str:
-        return f"{self.path}/state"
-
-    @property
-    def _manifests(self) -> str:
-        return f"{self.path}/manifests"
-
-    def _bucket(self, buckets: int) -> Column:
-        return F.pmod(F.xxhash64(*[F.col(f"`{k}`") for k in self.spec.keys]), F.lit(buckets)).cast("int")
+                 bucket_rows: int = BUCKET_ROWS, name: str = ""):
+        super().__init__(spark, path, spec.keys, lambda state, new: ch.merge_state(state, new, spec),
+                         compact_every, bucket_rows)
+        self.spec, self.feed_schema = spec, feed.schema if feed is not None else None
+        self.name, self.progress = name, []
 
     def apply(self, batch: DataFrame, batch_id: int) -> None:
         """Record one micro-batch; applying the same batch id again changes nothing."""
-        folded = self._folded_version()
-        if folded is not None and batch_id <= folded:
-            return
-        if not paths.is_committed(self.spark, self._changes, batch_id):
-            reduced = ch.reduce_batch(ch.stamp_changes(batch, self.spec), self.spec)
-            reduced.write.mode("overwrite").parquet(paths.version_path(self._changes, batch_id))
-        if self.compact_every and len(self._pending(folded)) >= self.compact_every:
-            self.compact()
-
-    def _folded_version(self) -> int | None:
-        found = [int(m.group(1)) for m in map(_MANIFEST.match, paths.children(self.spark, self._manifests)) if m]
-        return max(found, default=None)
-
-    def _manifest(self) -> dict:
-        """``version``, ``buckets``, ``schema`` and ``held``: for each bucket its version and rows."""
-        folded = self._folded_version()
-        if folded is None:
-            return {"version": None, "buckets": 0, "schema": None, "held": {}}
-        found = json.loads(paths.read_text(self.spark, f"{self._manifests}/v{folded:08d}.json"))
-        return {**found, "held": {int(b): tuple(v) for b, v in found["held"].items()}}
-
-    def _pending(self, folded: int | None) -> list[int]:
-        batches = paths.committed_versions(self.spark, self._changes)
-        return [b for b in batches if folded is None or b > folded]
-
-    def _recorded(self, batches: list[int]) -> DataFrame:
-        return self.spark.read.parquet(*[paths.version_path(self._changes, b) for b in batches])
-
-    def _touched(self, changes: DataFrame, buckets: int) -> set[int]:
-        """Buckets that changes fall into; at most as many as there are."""
-        return {r[0] for r in changes.select(self._bucket(buckets)).distinct().collect()}
-
-    def _stored(self, manifest: dict, wanted: set[int] | None = None) -> DataFrame | None:
-        """Rows of some buckets, or of all."""
-        if manifest["version"] is None:
-            return None
-        schema = StructType.fromJson(manifest["schema"])
-        folders = [f"{paths.version_path(self._state, v)}/{BUCKET}={b}"
-                   for b, (v, _) in sorted(manifest["held"].items()) if wanted is None or b in wanted]
-        if not folders:
-            return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*folders)
-
-    def compact(self) -> None:
-        """Fold the pending batches into the buckets they touch."""
-        manifest = self._manifest()
-        pending = self._pending(manifest["version"])
-        if not pending:
-            return
-        changes, version, buckets = self._recorded(pending), max(pending), manifest["buckets"]
-        rows = sum(n for _, n in manifest["held"].values()) + changes.count()
-        held = {}
-        if buckets and rows <= 4 * buckets * self.bucket_rows:
-            touched = self._touched(changes, buckets)
-            held = {b: entry for b, entry in manifest["held"].items() if b not in touched}
-            state = self._stored(manifest, touched)
-        else:
-            buckets = max(1, math.ceil(rows / self.bucket_rows))
-            state = self._stored(manifest)
-        merged = ch.merge_state(state, changes, self.spec)
-        folder = paths.version_path(self._state, version)
-        (merged.withColumn(BUCKET, self._bucket(buckets)).hint("rebalance", BUCKET)
-         .write.mode("overwrite").partitionBy(BUCKET).parquet(folder))
-        # Directory names and file footers tell the counts.
-        counts = self.spark.read.parquet(folder).groupBy(BUCKET).count().collect()
-        held.update({r[BUCKET]: (version, r["count"]) for r in counts})
-        paths.write_whole(self.spark, f"{self._manifests}/v{version:08d}.json", json.dumps({
-            "version": version, "buckets": buckets, "schema": merged.schema.jsonValue(), "held": held}))
+        count = self.record(batch_id, lambda: ch.reduce_batch(ch.stamp_changes(batch, self.spec), self.spec))
+        if count is not None:
+            self.progress.append(FlowProgress(self.name, batch_id, count))
 
     def read(self) -> DataFrame:
         """The visible table: current rows (type 1) or all versions (type 2)."""
-        manifest = self._manifest()
-        pending = self._pending(manifest["version"])
-        if not pending:
-            state = self._stored(manifest)
-        else:
-            changes = self._recorded(pending)
-            touched = self._touched(changes, manifest["buckets"]) if manifest["buckets"] else set()
-            state = ch.merge_state(self._stored(manifest, touched), changes, self.spec)
-            if manifest["held"].keys() - touched:
-                state = state.unionByName(self._stored(manifest, manifest["held"].keys() - touched))
+        state = self.state()
         if state is None:
             if self.feed_schema is None:
                 raise ValueError(f"{self.path}: no change has been applied yet")
@@ -147,29 +43,6 @@ class ChangeTarget:
             state = ch.merge_state(None, ch.reduce_batch(ch.stamp_changes(nothing, self.spec), self.spec), self.spec)
         return ch.visible(state, self.spec)
 
-    def clean_up(self) -> None:
-        """Remove what the newest manifest does not name; call it when no reader uses older ones."""
-        manifest = self._manifest()
-        if manifest["version"] is None:
-            return
-        used = {(v, b) for b, (v, _) in manifest["held"].items()}
-        for version in paths.versions(self.spark, self._state):
-            folder = paths.version_path(self._state, version)
-            if version > manifest["version"]:
-                continue
-            names = paths.children(self.spark, folder)
-            kept = [n for n in names if n.startswith(f"{BUCKET}=") and (version, int(n.split("=")[1])) in used]
-            for name in names if kept else []:
-                if name.startswith(f"{BUCKET}=") and name not in kept:
-                    paths.delete(self.spark, f"{folder}/{name}")
-            if not kept:
-                paths.delete(self.spark, folder)
-        for name in paths.children(self.spark, self._manifests):
-            match = _MANIFEST.match(name)
-            if match and int(match.group(1)) < manifest["version"]:
-                paths.delete(self.spark, f"{self._manifests}/{name}")
-        paths.drop_versions_before(self.spark, self._changes, manifest["version"] + 1)
-
     def follow(self, feed: DataFrame, checkpoint: str, trigger: str | None = None):
         """Apply a streaming change feed; returns the query when a trigger interval is given."""
         writer = feed.writeStream.foreachBatch(self.apply).option("checkpointLocation", checkpoint)
@@ -184,7 +57,7 @@ def apply_changes(spark: SparkSession, target: str, source: DataFrame, checkpoin
                   keys, sequence_by, apply_as_deletes=None, except_column_list=(),
                   stored_as_scd_type: int = 1, track_history_column_list=None,
                   track_history_except_column_list=None, compact_every: int | None = 20,
-                  bucket_rows: int = BUCKET_ROWS) -> ChangeTarget:
+                  bucket_rows: int = BUCKET_ROWS, name: str = "") -> ChangeTarget:
     """Bring ``target`` up to date with a streaming ``source`` of change records."""
     tracked = track_history_column_list
     if track_history_except_column_list is not None:
@@ -192,6 +65,6 @@ def apply_changes(spark: SparkSession, target: str, source: DataFrame, checkpoin
         tracked = [c for c in source.columns if c not in hidden]
     spec = ch.ChangeSpec(tuple(keys), sequence_by, apply_as_deletes, tuple(except_column_list),
                          stored_as_scd_type, tuple(tracked) if tracked is not None else None)
-    result = ChangeTarget(spark, target, spec, compact_every, source, bucket_rows)
+    result = ChangeTarget(spark, target, spec, compact_every, source, bucket_rows, name)
     result.follow(source, checkpoint)
     return result

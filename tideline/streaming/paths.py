@@ -30,6 +30,13 @@ def children(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in fs.listStatus(p)) if fs.exists(p) else []
 
 
+def size(spark: SparkSession, path: str) -> int:
+    """Bytes of a file given as a path or URI; 0 if it is gone."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(path) if "%" in path else path)
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    return fs.getFileStatus(p).getLen() if fs.exists(p) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _file_system(spark, path)
     stream = fs.open(p)
