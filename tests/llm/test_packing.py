@@ -9,6 +9,7 @@ import pytest
 from tokenizers import Tokenizer
 
 from tideline.llm import packing
+from tideline.llm.common import vocabulary
 
 TEXTS = ["", None, "it's We'LL ok", "a\x1cb c\x85d\xa0e", "İstanbul ΣΑΣ é é", "<|endoftext|> x<|startoftext|>",
          "日本 語", "w " * 5000, "x" * 9000, " ", "a", "a"]
@@ -95,3 +96,17 @@ def test_query(spark, folder):
     assert got == Counter((i, *x) for i, t in texts.items() for x in brute(t))
     total = sum(r.length for r in rows)
     assert check_layout(rows) <= math.ceil(total / 4096) + 1
+
+
+def test_plain_words_are_encoded_as_the_tokenizer_does():
+    raw = vocabulary(packing.VOCABULARY)
+    words = packing._Words(raw)
+    assert words.plain.able
+    shown = [chr(c) for c in range(0x21, 0x250)]
+    tried = [a + b for a in shown for b in shown[::9]] + [
+        "don't", "I'll", "İstanbul", "x\u0301y", "\u65e5\u672c", "\u212b", "a1b22c", "e-mail@x.org", "...", "THE***", "\ufb01n", "Ǆ"]
+    sizes, values = words.encode_words(tried)
+    expected = [e.ids for e in words.tokenizer.encode_batch_fast(tried, add_special_tokens=False)]
+    assert sizes.tolist() == [len(ids) for ids in expected]
+    assert values.tolist() == [i for ids in expected for i in ids]
+    assert words.encode_words([])[0].tolist() == []

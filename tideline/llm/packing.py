@@ -21,6 +21,7 @@ A length that is null, below 1 or above the capacity stops ``pack``.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import zlib
@@ -52,6 +53,57 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")
 
 
+# Letters that normalization leaves alone and that have one letter in lower case; ASCII signs but the apostrophe.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž", r"!-&(-/:-@\[-`{-~"
+_PLAIN = re.compile(f"[{_LETTERS}0-9{_SIGNS}]+")
+# The vocabulary's pre-tokens of such words.
+_PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
+
+
+def _byte_letters() -> dict[int, int]:
+    """The letter that stands for each byte but the blank: its own where that can be printed, else the next one from 256 on."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    hidden = [b for b in range(256) if b not in shown]
+    return {b: 256 + i for i, b in enumerate(hidden) if b != 32}
+
+
+class _Plain:
+    """Encodes many plain words at once, by the vocabulary's merges alone.
+
+    A pre-token has one last token, which tells where it ends.
+    """
+
+    def __init__(self, raw: bytes):
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        made = json.loads(raw)
+        suffix = made["model"].get("end_of_word_suffix")
+        kinds = [step["type"] for step in (made.get("normalizer") or {}).get("normalizers", [])]
+        cuts = (made.get("pre_tokenizer") or {}).get("pretokenizers", [])
+        self.able = bool(suffix and made["model"]["type"] == "BPE" and kinds == ["NFC", "Replace", "Lowercase"]
+                         and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
+                         and cuts[0]["pattern"].get("Regex", "").endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
+                         and not cuts[1]["add_prefix_space"])
+        if self.able:
+            self.tokenizer = Tokenizer.from_buffer(raw)
+            self.tokenizer.normalizer = None
+            self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
+            vocabulary = made["model"]["vocab"]
+            self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+            self.last[[i for token, i in vocabulary.items() if token.endswith(suffix)]] = True
+            self.letters = _byte_letters()
+
+    def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
+        """Sizes and ids of the words; None if that cannot be told."""
+        pieces = [_PIECES.findall(w) for w in words]
+        joined = " ".join([piece for found in pieces for piece in found])
+        joined = joined.lower().encode().decode("latin-1").translate(self.letters)
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        counts = np.cumsum([len(found) for found in pieces])
+        return (np.diff(ends[counts - 1], prepend=0), ids) if len(ends) == counts[-1] else None
+
+
 class _Words:
     """Ids by word. White space ends a pre-token, so a text's ids are those of its words in turn.
 
@@ -62,7 +114,7 @@ class _Words:
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer = Tokenizer.from_buffer(raw)
+        self.tokenizer, self.plain = Tokenizer.from_buffer(raw), _Plain(raw)
         self.codes = Numbers()
         self.starts = self.sizes = self.uses = np.zeros(0, np.int64)
         self.values = np.zeros(0, "<u4")
@@ -77,13 +129,33 @@ class _Words:
         self.sizes, self.uses = self.sizes[kept], self.uses[kept] // 2
         self.starts = np.cumsum(self.sizes) - self.sizes
 
+    def encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Sizes and ids of some words."""
+        easy = [i for i, w in enumerate(words) if _PLAIN.fullmatch(w)] if self.plain.able else []
+        done = self.plain.encode([words[i] for i in easy]) if easy else None
+        chosen = np.zeros(len(words), bool)
+        if done is not None:
+            chosen[easy] = True
+        hard = [w for w, is_easy in zip(words, chosen) if not is_easy]
+        found = [e.ids for e in self.tokenizer.encode_batch_fast(hard, add_special_tokens=False)] if hard else []
+        sizes = np.zeros(len(words), np.int64)
+        sizes[~chosen] = [len(ids) for ids in found]
+        values = np.array([i for ids in found for i in ids], "<u4")
+        if done is None:
+            return sizes, values
+        sizes[chosen] = done[0]
+        # Both parts one after the other, then in the words' order.
+        place = np.empty(len(words), np.int64)
+        place[~chosen], place[chosen] = np.arange(len(hard)), len(hard) + np.arange(len(easy))
+        parted = np.concatenate([sizes[~chosen], done[0]])
+        return sizes, np.concatenate([values, done[1]])[gather(np.cumsum(parted) - parted, parted, place)[0]]
+
     def learn(self, fresh: list[str]) -> None:
         sizes, values = [self.sizes], [self.values]
         for first in range(0, len(fresh), FRESH):
-            some = fresh[first:first + FRESH]
-            found = [e.ids for e in self.tokenizer.encode_batch_fast(some, add_special_tokens=False)]
-            sizes.append(np.array([len(ids) for ids in found], np.int64))
-            values.append(np.array([i for ids in found for i in ids], "<u4"))
+            found = self.encode_words(fresh[first:first + FRESH])
+            sizes.append(found[0])
+            values.append(found[1])
         self.sizes, self.values = np.concatenate(sizes), np.concatenate(values)
         self.starts = np.cumsum(self.sizes) - self.sizes
         self.uses = np.append(self.uses, np.zeros(len(fresh), np.int64))
