@@ -53,8 +53,9 @@ _SEPARATORS = re.compile("[\x1c-\x1f]")
 _BLANKS = re.compile("[ \t\n\r]+")
 
 
-# Letters that normalization leaves alone and that have one letter in lower case; ASCII signs but the apostrophe.
-_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž", r"!-&(-/:-@\[-`{-~"
+# Letters that normalization leaves alone and that have one letter in lower case; ASCII signs but the apostrophe and
+# the one that special tokens begin with.
+_LETTERS, _SIGNS = "A-Za-zÀ-ÖØ-öø-įı-ňŊ-ž", r"!-&(-/:;=-@\[-`{-~"
 _PLAIN = re.compile(f"[{_LETTERS}0-9{_SIGNS}]+")
 # The vocabulary's pre-tokens of such words.
 _PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
@@ -84,6 +85,7 @@ class _Plain:
                          and [c["type"] for c in cuts] == ["Split", "ByteLevel"]
                          and cuts[0]["pattern"].get("Regex", "").endswith("|[\\p{L}]+|[\\p{N}]|[^\\s\\p{L}\\p{N}]+")
                          and not cuts[1]["add_prefix_space"])
+        self.able &= not any(_PLAIN.fullmatch(t["content"]) for t in made.get("added_tokens", []))
         if self.able:
             self.tokenizer = Tokenizer.from_buffer(raw)
             self.tokenizer.normalizer = None
