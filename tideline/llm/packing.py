@@ -27,7 +27,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
@@ -37,14 +37,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tideline.llm.byte_bpe import Numbers, gather
-from tideline.llm.common import small_batches, stored, table, texts, vocabulary
+from tideline.llm.common import refuse, small_batches, stored, table, texts, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
 END_ID = 1
 # Distinct words a Python worker remembers (see _Words), and new ones it encodes at a time.
-REMEMBERED = 300_000
-FRESH = 4096
+REMEMBERED = 450_000
+FRESH = 16_384
 # Texts are encoded together up to this many characters.
 TOGETHER_CHARS = 1 << 20
 
@@ -97,13 +97,29 @@ class _Plain:
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of the words; None if that cannot be told."""
-        pieces = [_PIECES.findall(w) for w in words]
-        joined = " ".join([piece for found in pieces for piece in found])
-        joined = joined.lower().encode().decode("latin-1").translate(self.letters)
-        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-        ends = np.flatnonzero(self.last[ids]) + 1
-        counts = np.cumsum([len(found) for found in pieces])
-        return (np.diff(ends[counts - 1], prepend=0), ids) if len(ends) == counts[-1] else None
+        pieces = list(map(_PIECES.findall, words))
+        flat = list(chain.from_iterable(pieces))
+        # The same piece stands in many words; pieces beyond ASCII have other letters for their bytes.
+        numbers = Numbers()
+        number = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
+        simple = np.fromiter(map(str.isascii, numbers), bool, len(numbers))
+        parts, place = [], np.empty(len(numbers), np.int64)
+        for some in (True, False):
+            chosen = [p for p, is_simple in zip(numbers, simple) if is_simple == some]
+            joined = " ".join(chosen).lower()
+            if not some:
+                joined = joined.encode().decode("latin-1").translate(self.letters)
+            place[simple == some] = np.arange(len(chosen)) + sum(len(e) for e, _ in parts)
+            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            ends = np.flatnonzero(self.last[ids]) + 1
+            if len(ends) != len(chosen):
+                return None
+            parts.append((np.diff(ends, prepend=0), ids))
+        sizes, ids = (np.concatenate(x) for x in zip(*parts))
+        number = place[number]
+        counts = np.cumsum([0, *map(len, pieces)])
+        lengths = np.add.reduceat(sizes[number], counts[:-1])
+        return lengths, ids[gather(np.cumsum(sizes) - sizes, sizes, number)[0]]
 
 
 class _Words:
@@ -336,7 +352,8 @@ def _number(batches: Iterator[pa.RecordBatch], place: int, capacity: int) -> Ite
 
 
 def pack(pieces: DataFrame, length_col: str = "length", capacity: int = CAPACITY) -> DataFrame:
-    """Add ``sequence_id`` and ``offset`` to every piece."""
+    """Add ``sequence_id`` and ``offset`` to every piece; a table that has such a column is refused."""
+    refuse(["sequence_id", "offset", "__part", "__nth"], pieces.columns)
     schema = StructType([*pieces.schema.fields, StructField("__part", LongType()), StructField("__nth", LongType())])
     place = pieces.columns.index(length_col)
     numbered = stored(pieces.mapInArrow(lambda b: _number(b, place, capacity), schema), "pieces")
