@@ -72,6 +72,14 @@ def test_long_copies_and_a_hot_line(spark):
     compare(spark, texts, 4, 4)
 
 
+def test_clashing_columns(spark):
+    text = "\n".join(f"line {i} of words" for i in range(30))
+    df = spark.createDataFrame([(1, text, "x", 1, 2), (2, text, "y", 3, 4)],
+                               "doc_id long, text string, __hash string, __doc int, __runs int")
+    got = {r.doc_id: r for r in lines.deduplicate(df).collect()}
+    assert got[1].text == text and got[2].text == "" and got[2]["__hash"] == "y" and got[2]["__runs"] == 4
+
+
 def test_nothing_repeats_and_empty(spark):
     compare(spark, [(1, "a\nb"), (2, "c")], 1, 1)
     assert lines.deduplicate(spark.createDataFrame([], "doc_id long, text string")).collect() == []

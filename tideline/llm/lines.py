@@ -18,7 +18,7 @@ order of their id, then of a hash of their text.
 5. Runs are gathered by document, which reads its words and loses the lines.
 
 No step holds all copies of a line or of a run: frequent ids are counted before they are shuffled, sorts cut through them, and joins on them are
-split by adaptive execution. Each step's table is written to the shared folder.
+split by adaptive execution, as both sides are stored tables. Each step's table is written to the shared folder.
 
 Null texts stay null. Rows equal in id and text are one document: they all keep or lose the same lines. Null ids come first. A text that loses
 all lines becomes empty. All columns and rows are kept; an empty table gives an empty one.
@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import stored, table
+from tideline.llm.common import free, stored, table
 
 MIN_WORDS = 50
 # A document is known by its id and its text's hash; a place by its line as well.
@@ -71,7 +71,7 @@ def repeated_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     # A second hash over the line and its length makes an id of 128 bits.
     lines = stored(lines.select(*PLACE, F.xxhash64("content").alias("a"),
                                 F.xxhash64(F.lit(7), F.length("content"), "content").alias("b")), "lines")
-    again = lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b")
+    again = stored(lines.groupBy("a", "b").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("a", "b"), "repeated")
     found = lines.join(again, ["a", "b"]).dropDuplicates(PLACE)
     # A document's lines, at most one row of the input.
     inside = Window.partitionBy(*DOC).orderBy("line")
@@ -98,12 +98,14 @@ def suffix_ranks(lines: DataFrame) -> DataFrame:
                     .select(*PLACE, "left", "rank", F.array("rank").alias("ranks")), "ranks-0")
     done, step = [], 1
     while True:
-        known = active.select(*PLACE, "rank")
+        known = active.withColumn("open", F.lit(True))
         for part in done:
-            known = known.unionByName(part.select(*PLACE, "rank"))
-        # Only suffixes that go on have a rank further down; the others are over, and smaller.
-        ahead = (_same_place(active, _renamed(known, rank="next"), F.col("line") + step, "left")
-                 .withColumn("next", F.coalesce("next", F.lit(-1))))
+            known = known.unionByName(part.select(*PLACE, "left", "rank", F.lit(None).cast("array<bigint>").alias("ranks"),
+                                                  F.lit(False).alias("open")))
+        # A document's lines are looked up among themselves, at most one row of the input. Only suffixes that go on have a
+        # rank further down; the others are over, and smaller.
+        further = F.max("rank").over(Window.partitionBy(*DOC).orderBy("line").rangeBetween(step, step))
+        ahead = known.withColumn("next", F.coalesce(further, F.lit(-1))).where("open").drop("open")
         ahead = stored(ahead, f"pairs-{step}")
         pairs = _sliced(ahead.groupBy("rank", "next").agg(F.count(F.lit(1)).alias("n")), ["rank", "next"], f"names-{step}")
         named = _counted(pairs, ["rank"], "n", "smaller").select("rank", "next", "n", "smaller")
@@ -295,9 +297,11 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # At most one item per line of the document.
     runs = (repeated_runs(array).groupBy(*DOC).agg(F.collect_list(F.struct("line", "run")).alias("__runs"))
             .select(F.col("doc").alias("__doc"), F.col("copy").alias("__copy"), "__runs"))
-    joined = (docs.withColumn("__hash", F.xxhash64(text_col))
-              .join(runs, F.col(id_col).eqNullSafe(F.col("__doc")) & (F.col("__hash") == F.col("__copy")), "left")
-              .select(*docs.columns, "__runs"))
+    own, doc, copy, found_runs = (free(n, docs.columns) for n in ("__hash", "__doc", "__copy", "__runs"))
+    runs = runs.select(F.col("__doc").alias(doc), F.col("__copy").alias(copy), F.col("__runs").alias(found_runs))
+    joined = (docs.withColumn(own, F.xxhash64(text_col))
+              .join(runs, F.col(id_col).eqNullSafe(F.col(doc)) & (F.col(own) == F.col(copy)), "left")
+              .select(*docs.columns, found_runs))
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
