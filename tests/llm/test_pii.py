@@ -92,8 +92,10 @@ def test_a_span_across_windows_and_odd_rows(spark, tagger):
     mail = "ab " * 168 + "some.name@mail5.example.com " + "and more " * 9000
     rows = [(1, mail, "x"), (None, None, "x"), (2, "", "x"), (3, "no", "x"), (3, "no", "x"),
             (4, "call +1 (168) 555-5254 or 4.3.2.1", "x")]
-    df = spark.createDataFrame(rows, "doc_id long, text string, spans string").drop("spans")
-    got = {r.doc_id: r.spans for r in pii.find(df, tagger).collect()}
+    df = spark.createDataFrame(rows, "doc_id long, text string, spans string")
+    with pytest.raises(ValueError, match="already has a column spans"):
+        pii.find(df, tagger)
+    got = {r.doc_id: r.found for r in pii.find(df, tagger, spans_col="found").collect()}
     assert [(s.kind, s.start, s.end, s.base) for s in got[1]] == [("email", 504, 531, True)]
     assert got[None] == got[2] == got[3] == []
     clean = {r.doc_id: r.text for r in pii.redact(df, tagger).collect()}
@@ -101,6 +103,31 @@ def test_a_span_across_windows_and_odd_rows(spark, tagger):
     assert [(k, a) for k, a, _ in tagger.added([mail], [[]])[0]] == [("email", 504)]
 
 
+def test_spans_do_not_depend_on_other_texts(spark, tagger, folder):
+    texts = [r.text for r in spark.read.parquet(f"{folder}/documents.parquet").where("text RLIKE '[0-9@]'").collect()][:60]
+    base = [pii.base_spans(t) for t in texts]
+    for t in texts[:20]:
+        codes = pii.classes(t)[:pii.WINDOW]
+        padded = np.zeros((1, len(codes) + 90), np.uint8)
+        padded[0, :len(codes)] = codes
+        alone, wide = tagger.tag_scores(codes[None]), tagger.tag_scores(padded)
+        assert np.allclose(alone[:, :, 0], wide[:len(codes), :, 0], atol=1e-5)
+    together = tagger.added(texts, base)
+    assert together == [tagger.added([t], [b])[0] for t, b in zip(texts, base)]
+
+
+def test_a_path_that_pays_only_as_a_whole_is_searched():
+    rng = np.random.default_rng(0)
+    for _ in range(200):
+        tagger = pii.Tagger.initial(rng)
+        tagger.weights["transitions"] = rng.normal(0, 1.5, (pii.TAGS, pii.TAGS)).astype(np.float32)
+        tagger.weights["bias"][0] = rng.uniform(0, 4)
+        windows = rng.integers(1, pii.CLASSES, (8, 12)).astype(np.uint8)
+        best = pii._best(tagger.tag_scores(windows).transpose(0, 2, 1), tagger.weights["transitions"])
+        # Paths that stay on "none" throughout are not searched; all others are.
+        assert (tagger.paths(windows) == best).all()
+
+
 def test_nothing_to_learn_from_and_empty(spark):
     assert pii.train(spark.createDataFrame([("abc",), (None,)], "text string")) is None
     empty = spark.createDataFrame([], "doc_id long, text string")

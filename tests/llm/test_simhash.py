@@ -5,6 +5,10 @@ import numpy as np
 import pytest
 import xxhash
 
+from pyspark.sql import functions as F
+
+from tideline.llm import common
+from tideline.llm import components as graph
 from tideline.llm import simhash
 from tideline.llm.components import components
 
@@ -105,6 +109,31 @@ def test_keep_one_of_each_group(spark):
     assert simhash.keep_one(df.limit(0)).collect() == []
 
 
+def test_clashing_columns_and_equal_rows(spark):
+    rows = [(5, "one two three four five", "b", 1), (5, "one two three four five", "a", 2), (9, "one two three four five", "c", 3)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, __hash string, __id int")
+    kept = [simhash.keep_one(df.repartition(n)) for n in (1, 3)]
+    assert kept[0].columns == df.columns
+    assert kept[0].collect() == kept[1].collect() and kept[0].first()["doc_id"] == 5 and len(kept[0].collect()) == 1
+
+
+def test_a_hub_can_be_split(spark):
+    hub = spark.range(1, 20000).select(F.lit(0).cast("long").alias("u"), F.col("id").alias("v"))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        low = common.checkpointed(graph._lowest(hub))
+        joined = common.checkpointed(hub).join(low, "u")
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
 def test_empty(spark):
     assert simhash.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

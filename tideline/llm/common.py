@@ -42,6 +42,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def free(name: str, columns: list[str]) -> str:
+    """``name``, or a longer one that no column has."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def refuse(names: list[str], columns: list[str]) -> None:
+    """Stop if a table already has a column of a name that is to be added."""
+    clash = [n for n in names if n.lower() in {c.lower() for c in columns}]
+    if clash:
+        raise ValueError(f"the table already has a column {', '.join(clash)}; rename it first")
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint()

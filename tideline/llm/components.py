@@ -19,17 +19,17 @@ def components(edges: DataFrame) -> DataFrame:
     Alternates two steps until nothing changes: every node hands the smallest of its neighbours to
     the larger ones, then to the smaller ones. Both keep the graph's components and flatten them to
     stars in a number of rounds that grows with the logarithm of their diameter. Nodes compare
-    themselves by minimum and join, so a node with very many neighbours is never one group; such a
-    join is split by adaptive execution.
+    themselves by minimum and join. The minima are written before the join, so that both of its sides come
+    straight from a shuffle: adaptive execution can then split a node with very many neighbours.
     """
     edges = checkpointed(edges.where("u <> v").select("u", "v").distinct())
     seen = None
     while True:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        large = (both.join(_lowest(both), "u").where("v > u AND v <> m")
+        large = (both.join(checkpointed(_lowest(both)), "u").where("v > u AND v <> m")
                  .select(F.col("v").alias("u"), F.col("m").alias("v")).distinct())
         # Edges now point from a node to a smaller one.
-        low = _lowest(large)
+        low = checkpointed(_lowest(large))
         small = (large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(low.select("u", F.col("m").alias("v"))).where("u <> v").distinct())
         edges = checkpointed(small)

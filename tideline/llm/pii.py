@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from tideline.llm.common import table
+from tideline.llm.common import free, refuse, table
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 512
@@ -38,6 +38,8 @@ TAGS = 1 + len(KINDS)
 FIT_ROWS = 2000
 FIT_WINDOWS = 3000
 FIT_LENGTH = 128
+EXCERPT = 4000
+FIT_SPANS = 20
 STEPS = 220
 Span = tuple[str, int, int]
 
@@ -140,6 +142,8 @@ class Tagger:
         gates, cell, fresh = (np.empty((k * HIDDEN, n), np.float32) for k in (4, 1, 1))
         sigmoid, candidate = gates[:3 * HIDDEN], gates[3 * HIDDEN:]
         tagged = np.empty((TAGS, n), np.float32)
+        there = (by_place > 0).astype(np.float32)
+        padded = (by_place == 0).any(axis=1)
         for side in ("forward", "backward"):
             both = np.ascontiguousarray(
                 np.vstack([self.weights[f"{side}_in"], self.weights[f"{side}_state"]]).T)
@@ -155,6 +159,10 @@ class Tagger:
                 cell += fresh
                 np.clip(cell, -1, 1, out=cell)
                 np.multiply(gates[2 * HIDDEN:3 * HIDDEN], cell, out=hidden)
+                # Padding leaves no trace, so a text's scores do not depend on the texts beside it.
+                if padded[t]:
+                    cell *= there[t]
+                    hidden *= there[t]
                 out[t] += np.matmul(tags, hidden, out=tagged)
         return out
 
@@ -162,11 +170,18 @@ class Tagger:
         """Best tags (windows, length); padding gets tag 0."""
         scores = self.tag_scores(windows)
         move = self.weights["transitions"]
-        # At a character, no path can gain more on "none" throughout than this; where no character offers
-        # a gain, "none" throughout is best and no path is searched.
-        gain = scores[:, 1:].max(axis=1) - scores[:, 0] + (move.max() - move[0, 0])
+        # A run of m tags gains on "none" throughout at most its characters' gains, m - 1 times the best move inside a
+        # run, and the best moves into and out of it. Where no run gains anything, no path is searched.
+        inside = move[1:, 1:].max() - move[0, 0]
+        edges = max(0, move[0, 1:].max() - move[0, 0]) + max(0, move[1:, 0].max() - move[0, 0])
+        gain = scores[:, 1:].max(axis=1) - scores[:, 0] + inside
+        gain[windows.T == 0] = -np.inf
+        run = most = np.full(len(windows), -np.inf, np.float32)
+        for row in gain:
+            run = np.maximum(run, 0) + row
+            most = np.maximum(most, run)
         out = np.zeros(windows.shape, np.uint8)
-        able = np.flatnonzero(((gain > 0) & (windows.T > 0)).any(axis=0))
+        able = np.flatnonzero(most - inside + edges > 0)
         if len(able):
             out[able] = _best(scores[:, :, able].transpose(0, 2, 1), move)
         out[windows == 0] = 0
@@ -356,7 +371,7 @@ def labelled_windows(texts: list[str], most: int, seed: int = 5) -> tuple[np.nda
         marked = np.zeros(len(codes), np.uint8)
         for kind, a, b in spans:
             marked[a:b] = 1 + KINDS.index(kind)
-        places = [a - int(rng.integers(0, FIT_LENGTH - 20)) for _, a, _ in spans[:20]]
+        places = [a - int(rng.integers(0, FIT_LENGTH - 20)) for _, a, _ in spans[:FIT_SPANS]]
         places += [int(rng.integers(0, max(1, len(codes) - FIT_LENGTH))) for _ in range(2)]
         # Digits and marks that are no span teach most.
         loose = np.flatnonzero((codes >= 4) & (codes != 5) & (marked == 0))
@@ -376,20 +391,31 @@ def train(docs: DataFrame, text_col: str = "text", rows: int = FIT_ROWS, windows
           steps: int = STEPS) -> Tagger | None:
     """Fit to the spans of at most ``rows`` documents; None where they hold none.
 
-    The documents are those with an e-mail's sign or a long number, in the order of a hash of their text;
-    of a longer one, the stretch of 4,000 characters around its first such place is used.
+    The documents are those with an e-mail's sign or a long number, in the order of a hash of their text. Of a longer one only
+    a stretch of ``EXCERPT`` characters around its first such place is used, and of its spans the first ``FIT_SPANS``.
+    Tasks give up little more than is wanted: first only hashes in a share of the range count, then four times as many
+    until there are enough.
     """
     hint = r"[0-9A-Za-z]@[0-9A-Za-z]|\+[0-9]|[0-9][ .-]?[0-9][ .-]?[0-9][ .-]?[0-9][ .-]?[0-9]"
     text = F.col(text_col)
     at = F.greatest(F.lit(1), F.regexp_instr(text, F.lit(hint)) - 300)
-    found = (docs.where(text.rlike(hint)).select(F.xxhash64(text).alias("h"), F.substr(text, at, F.lit(4000)).alias("t"))
-             .orderBy("h", "t").limit(rows).collect())
-    seen, tags = labelled_windows([r.t for r in found], windows)
+    hashed = docs.select(F.xxhash64(text).alias("h"), text.alias("t"), at.alias("a"))
+    share = min(1.0, 16 * rows / max(1, docs.count()))
+    while True:
+        near = hashed if share >= 1 else hashed.where(F.col("h") < int(-(1 << 63) + share * (1 << 64)))
+        found = (near.where(F.col("t").rlike(hint)).select("h", F.substr("t", "a", F.lit(EXCERPT)).alias("t"))
+                 .groupBy("h", "t").agg(F.count(F.lit(1)).alias("n")).orderBy("h", "t").limit(rows).collect())
+        found = [r.t for r in found for _ in range(min(r.n, rows))][:rows]
+        if share >= 1 or len(found) >= rows:
+            break
+        share *= 4
+    seen, tags = labelled_windows(found, windows)
     return fit(seen, tags, steps) if tags.any() else None
 
 
 def find(docs: DataFrame, tagger: Tagger | None, text_col: str = "text", spans_col: str = "spans") -> DataFrame:
     """Add ``spans_col`` to every row: (kind, start, end, base), by kind and start, end exclusive, in code points."""
+    refuse([spans_col], docs.columns)
     place = docs.columns.index(text_col)
     item = StructType([StructField("kind", StringType()), StructField("start", IntegerType()),
                        StructField("end", IntegerType()), StructField("base", BooleanType())])
@@ -418,7 +444,7 @@ def redact(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Da
 
     Of spans that overlap, the one that starts first (then the longer one) is replaced.
     """
-    spans = "__spans"
+    spans = free("__spans", docs.columns)
     place = docs.columns.index(text_col)
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

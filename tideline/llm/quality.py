@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tideline.llm.common import table
+from tideline.llm.common import refuse, table
 
 CHUNK = 1024
 WIDTH = 8
@@ -241,7 +241,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """Add ``score_col``, the probability of label 1, to every row."""
+    """Add ``score_col``, the probability of label 1, to every row; a table that has such a column is refused."""
+    refuse([score_col], docs.columns)
     place = docs.columns.index(text_col)
     schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
 

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tideline.llm.common import stored, table
+from tideline.llm.common import free, stored, table
 from tideline.llm.components import components
 
 SEED = 42
@@ -199,8 +199,10 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
              radius: int = 4, tile: int = TILE) -> DataFrame:
     """The same columns, and of each component one row: that of the smallest id (null ids last).
 
-    Among rows of one id the smallest hash of the text decides, and one of equal rows stays.
+    Among rows of one id the smallest hash of the text decides, and of rows that are equal in both the one with the
+    smallest hash over all its columns (maps as JSON text).
     """
+    own = free("__hash", docs.columns)
     known = docs.select(F.col(id_col).alias("__id"), F.col(text_col).alias("__text"),
                         F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"),
                                  F.xxhash64(text_col).alias("hash")).alias("__key"))
@@ -209,11 +211,15 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     winners = named.groupBy("root").agg(F.min("first").alias("key"))
     rows = prints.groupBy(F.col("__key").alias("key")).agg(F.count(F.lit(1)).alias("rows"))
     winners = stored(winners.join(rows, "key").select("key.id", "key.hash", "rows"), "simhash-kept")
-    kept = (docs.withColumn("__hash", F.xxhash64(text_col))
-            .join(winners.select(F.col("id").alias("__id"), F.col("hash").alias("__other")),
-                  F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__hash") == F.col("__other")), "left_semi"))
+    theirs = winners.select(F.col("id").alias(free("__id", docs.columns)), F.col("hash").alias(free("__other", docs.columns)))
+    kept = docs.withColumn(own, F.xxhash64(text_col)).join(
+        theirs, F.col(id_col).eqNullSafe(F.col(theirs.columns[0])) & (F.col(own) == F.col(theirs.columns[1])), "left_semi")
     if not winners.where("rows > 1").isEmpty():
-        kept = kept.dropDuplicates([id_col, "__hash"])
+        row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+        whole = F.xxhash64(*[F.to_json(F.struct(f"`{f.name}`")) if "map<" in f.dataType.simpleString() else F.col(f"`{f.name}`")
+                             for f in docs.schema.fields])
+        return (kept.groupBy(F.col(id_col).alias("__key"), own).agg(F.min_by(row, whole).alias("__row"))
+                .select("__row.*"))
     return kept.select(*docs.columns)
 
 
