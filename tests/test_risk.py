@@ -17,15 +17,20 @@ def loans(spark):
 
 
 @pytest.fixture(scope="module")
-def glm(spark, loans):
+def glm(spark, loans, tmp_path_factory):
     # A session that has used an Observation must not keep the model from scoring.
     loans.observe(Observation("before training"), F.count(F.lit(1)).alias("n")).count()
-    labelled = risk.label_loans(loans)
+    labelled = risk.store_training_table(risk.label_loans(loans), str(tmp_path_factory.mktemp("train") / "rows"))
     model = risk.train_glm(labelled)
     risk.best_threshold(model, labelled)
     return model
 
 
+@pytest.fixture(scope="module")
+def gbt(loans, tmp_path_factory):
+    return risk.train_gbt(risk.store_training_table(risk.label_loans(loans), str(tmp_path_factory.mktemp("train") / "rows")))
+
+
 def scored(spark, pairs):
     return spark.createDataFrame(pairs, "p1 double, label double")
 
@@ -61,9 +66,9 @@ def test_labels(spark):
     assert rows(labelled) == [("Default", "Verified", "true"), ("Fully Paid", "Verified", "false")]
 
 
-def test_models_beat_chance(spark, loans, glm):
+def test_models_beat_chance(spark, loans, glm, gbt):
     labelled = risk.label_loans(loans)
-    for model in (glm, risk.train_gbt(labelled)):
+    for model in (glm, gbt):
         result = risk.score(model, labelled)
         assert result.columns == ["p0", "p1", "label", "prediction"]
         assert risk.area_under_roc(result) > 0.7
@@ -98,6 +103,17 @@ def test_unseen_levels_missing_numbers_and_functions(spark, loans, glm, root):
     assert "Python" not in plan
 
 
+def test_trees_as_a_function(spark, loans, gbt):
+    odd = loans.limit(50).withColumn("purpose", F.lit("it's new")).withColumn("annual_inc", F.lit(None).cast("double"))
+    empty = loans.limit(20).withColumn("term", F.lit(None).cast("string")).withColumn("loan_amnt", F.lit(float("nan")))
+    data = loans.unionByName(odd).unionByName(empty)
+    features = f"struct({', '.join([*risk.CATEGORICALS, *risk.NUMERICS])})"
+    spark.udf.register("loan_trees", risk.loan_risk_udf(spark, gbt))
+    checked = risk.risk_predictions(gbt, data).selectExpr("pred", f"loan_trees({features}) AS by_udf")
+    assert checked.where("pred <> by_udf").count() == 0
+    assert {r[0] for r in checked.select("pred").distinct().collect()} == {"0.0", "1.0"}
+
+
 def test_streamed_predictions_keep_the_input_columns(spark, loans, glm, root):
     loans.write.parquet(f"{root}/in")
     stream = risk.risk_predictions(glm, spark.readStream.schema(loans.schema).parquet(f"{root}/in"))

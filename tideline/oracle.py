@@ -93,6 +93,12 @@ WITH loans AS (
   FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey)
 """
 
+_CHECKED_LOANS = _LOANS + """
+SELECT o_orderkey, CASE WHEN loan_status = 'Fully Paid' THEN 'false' ELSE 'true' END AS bad_loan,
+       true AS sums_to_one, true AS follows_threshold
+FROM loans WHERE loan_status IN ('Default', 'Charged Off', 'Fully Paid')
+"""
+
 _SCORES = """
 scored AS (
   SELECT (n_chars % 1000) / CAST(1000 AS DOUBLE) AS p1, CAST(quality AS DOUBLE) AS label,
@@ -294,6 +300,12 @@ def statements() -> dict[str, str]:
             SELECT -(coalesce(CAST(sum(net) FILTER (label = 1) AS BIGINT), 0)
                      - coalesce(CAST(sum(net) FILTER (label = 0) AS BIGINT), 0)) AS value
             FROM scored WHERE prediction = 1""",
+        "glm_rows": _CHECKED_LOANS,
+        "gbt_rows": _CHECKED_LOANS,
+        "scored_stream": "SELECT o_orderkey, true AS same FROM orders JOIN customer ON o_custkey = c_custkey "
+                         "JOIN nation ON c_nationkey = n_nationkey",
+        "tree_function_rows": "SELECT o_orderkey, true AS same FROM orders JOIN customer ON o_custkey = c_custkey "
+                              "JOIN nation ON c_nationkey = n_nationkey",
         "risk_functions_agree": "SELECT count(*) AS loans, CAST(0 AS BIGINT) AS disagreements FROM orders "
                                 "JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey",
     }

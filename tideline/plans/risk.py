@@ -4,24 +4,24 @@ from __future__ import annotations
 
 import math
 from collections.abc import Mapping
-from concurrent.futures import ThreadPoolExecutor
 
+import numpy as np
 import pandas as pd
-from pyspark import SparkContext, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, LogisticRegressionModel
+from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
+                                       LogisticRegressionModel)
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import (Imputer, ImputerModel, OneHotEncoder, SQLTransformer, StandardScaler,
                                 StandardScalerModel, StringIndexer, StringIndexerModel,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tideline.functions.parsing import merge_levels
 from tideline.operators.ordered import running_totals
-from tideline.session import ensure_checkpoint_dir
+from tideline.session import ensure_checkpoint_dir, scratch_dir
 
 # Statuses, features and settings of the two models.
 FINISHED = ("Default", "Charged Off", "Fully Paid")
@@ -70,12 +70,12 @@ def loans_per_state(loans: DataFrame) -> DataFrame:
 
 
 def store_training_table(labelled: DataFrame, path: str) -> DataFrame:
-    """Write the rows once, in files of similar size, and read them back.
+    """Write the rows once, in files of similar size, and read them back in a session of their own.
 
     Training reads its input many times; stored rows spare it the joins behind them.
     """
     labelled.hint("rebalance").write.mode("overwrite").parquet(path)
-    return labelled.sparkSession.read.parquet(path)
+    return labelled.sparkSession.newSession().read.parquet(path)
 
 
 def _shared_stages(one_hot: bool) -> list:
@@ -99,44 +99,22 @@ def _shared_stages(one_hot: bool) -> list:
     return [*stages, impute, assemble, label]
 
 
-def _without_summary(model: LogisticRegressionModel) -> LogisticRegressionModel:
-    """Drop the training summary. It refers to the session, and a session in which an Observation
-    was used cannot be shipped to executors together with the model."""
-    model._java_obj.setSummary(SparkContext._active_spark_context._jvm.scala.Option.empty())
-    return model
-
-
 def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEED) -> PipelineModel:
     """Logistic regression on standardized features; the best of the grid by cross-validation.
 
-    The feature stages are fitted once per fold and shared by all grid entries, and folds run
-    side by side. Folds are cut by a hash of the row, so a retried task sees the same folds.
+    Folds are cut by a hash of the row, so a retried task sees the same folds. Train on a stored table (see
+    ``store_training_table``): its rows are read many times, and a fitted regression keeps a reference to the session
+    of its rows, which must not be one in which counters were observed.
     """
     scale = StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True)
-    features = Pipeline(stages=[*_shared_stages(True), scale])
     regression = LogisticRegression(featuresCol="scaled", maxIter=GLM_ITERATIONS,
                                     elasticNetParam=GLM_ELASTIC_NET)
     grid = ParamGridBuilder().addGrid(regression.regParam, list(GLM_REG_PARAMS)).build()
-    evaluator = BinaryClassificationEvaluator()
-    fold = F.pmod(F.xxhash64(F.lit(seed), *train.columns), F.lit(FOLDS))
-
-    def fold_metrics(number: int) -> list[float]:
-        kept, held_out = train.where(fold != number), train.where(fold == number)
-        prepared = features.fit(kept)
-        fitted = dict(regression.fitMultiple(prepared.transform(kept), grid))
-        validation = prepared.transform(held_out)
-        return [evaluator.evaluate(_without_summary(fitted[i]).transform(validation))
-                for i in range(len(grid))]
-
-    with ThreadPoolExecutor(parallelism) as pool:
-        tasks = [pool.submit(inheritable_thread_target(train.sparkSession)(fold_metrics), n)
-                 for n in range(FOLDS)]
-        metrics = [task.result() for task in tasks]
-    averages = [sum(column) / FOLDS for column in zip(*metrics)]
-    chosen = regression.copy(grid[averages.index(max(averages))])
-    model = Pipeline(stages=[*_shared_stages(True), scale, chosen]).fit(train)
-    _without_summary(model.stages[-1])
-    return model
+    fold = F.pmod(F.xxhash64(F.lit(seed), *train.columns), F.lit(FOLDS)).cast("int")
+    search = CrossValidator(estimator=Pipeline(stages=[*_shared_stages(True), scale, regression]),
+                            estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
+                            numFolds=FOLDS, foldCol="__fold", parallelism=parallelism)
+    return search.fit(train.withColumn("__fold", fold)).bestModel
 
 
 def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
@@ -288,8 +266,7 @@ def _stage(model: PipelineModel, kind):
 def linear_terms(model: PipelineModel) -> dict:
     """A fitted regression as weights: per category level, per numeric column, and an offset.
 
-    Its size is the number of category levels seen in training, which ``maxBins`` of the tree
-    model and the one-hot encoding already bound.
+    Its size is the number of category levels seen in training.
     """
     regression, scaler = _stage(model, LogisticRegressionModel), _stage(model, StandardScalerModel)
     indexer, imputer = _stage(model, StringIndexerModel), _stage(model, ImputerModel)
@@ -337,21 +314,90 @@ def register_risk_function(spark: SparkSession, model: PipelineModel,
               f"RETURN CASE WHEN {margin} > {cut} THEN '1.0' ELSE '0.0' END")
 
 
+def _levels(column: str, values: pd.Series) -> pd.Series:
+    if column == "verification_status":
+        return values.str.replace(VERIFIED_ALIAS, VERIFIED, regex=False).str.strip(" ")
+    return values
+
+
+def tree_terms(spark: SparkSession, model: PipelineModel) -> dict:
+    """Fitted boosted trees as arrays over their nodes, with what turns a loan into the trees' inputs.
+
+    They are read from the model's saved form. Their size is bounded by the number of trees, their depth and ``maxBins``.
+    """
+    indexer, imputer = _stage(model, StringIndexerModel), _stage(model, ImputerModel)
+    path = scratch_dir(spark, "trees")
+    _stage(model, GBTClassificationModel).write().overwrite().save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").orderBy("treeID", "id").collect()
+    weights = {r[0]: r[2] for r in spark.read.parquet(f"{path}/treesMetadata").collect()}
+    place = {(r["treeID"], r["id"]): i for i, r in enumerate(nodes)}
+    categories = max([r["split"]["numCategories"] for r in nodes], default=0)
+    member = np.zeros((len(nodes), max(1, categories)), bool)
+    threshold = np.full(len(nodes), np.nan)
+    children = np.arange(len(nodes)).repeat(2).reshape(-1, 2)  # a leaf leads to itself
+    for i, r in enumerate(nodes):
+        split = r["split"]
+        if r["leftChild"] < 0:
+            continue
+        children[i] = [place[r["treeID"], r["leftChild"]], place[r["treeID"], r["rightChild"]]]
+        if split["numCategories"] < 0:
+            threshold[i] = split["leftCategoriesOrThreshold"][0]
+        else:
+            member[i, [int(c) for c in split["leftCategoriesOrThreshold"]]] = True
+    fill = imputer.surrogateDF.first()
+    trees = sorted(weights)
+    return {"levels": {c: {level: i for i, level in enumerate(labels)}
+                       for c, labels in zip(CATEGORICALS, indexer.labelsArray)},
+            "fill": {n: float(fill[n]) for n in NUMERICS},
+            "feature": np.array([max(0, r["split"]["featureIndex"]) for r in nodes]), "threshold": threshold,
+            "member": member, "children": children, "value": np.array([r["prediction"] for r in nodes]),
+            "roots": np.array([place[t, 0] for t in trees]), "weights": np.array([weights[t] for t in trees])}
+
+
+def _tree_margins(terms: dict, loan: pd.DataFrame) -> np.ndarray:
+    """Weighted sum of the trees' values; all loans go down one level of one tree at a time."""
+    inputs = []
+    for column, levels in terms["levels"].items():
+        # A level that training has not seen, or none, has the number after the last.
+        inputs.append(_levels(column, loan[column]).map(levels).fillna(len(levels)).to_numpy(np.float64))
+    for column, fill in terms["fill"].items():
+        inputs.append(loan[column].astype("float64").fillna(fill).to_numpy())
+    values, rows = np.stack(inputs, axis=1), np.arange(len(loan))
+    total = np.zeros(len(loan))
+    widest = terms["member"].shape[1] - 1
+    for root, weight in zip(terms["roots"], terms["weights"]):
+        at = np.full(len(loan), root)
+        while True:
+            value = values[rows, terms["feature"][at]]
+            cut = terms["threshold"][at]
+            left = np.where(np.isnan(cut), terms["member"][at, np.clip(value, 0, widest).astype(int)], value <= cut)
+            below = terms["children"][at, np.where(left, 0, 1)]
+            if (below == at).all():
+                break
+            at = below
+        total += weight * terms["value"][at]
+    return total
+
+
+def _linear_margins(terms: dict, loan: pd.DataFrame) -> np.ndarray:
+    margin = pd.Series(terms["offset"], index=loan.index, dtype="float64")
+    for column, weights in terms["levels"].items():
+        margin += _levels(column, loan[column]).map(weights).fillna(0.0).astype("float64")
+    for column, (fill, weight) in terms["numbers"].items():
+        margin += loan[column].astype("float64").fillna(fill) * weight
+    return margin.to_numpy()
+
+
 def loan_risk_udf(spark: SparkSession, model: PipelineModel):
-    """The same function as an Arrow pandas UDF, for callers that want a Python function object."""
-    shared = spark.sparkContext.broadcast(linear_terms(model))
+    """A fitted model, regression or trees, as an Arrow pandas UDF of a struct of the ten features."""
+    is_tree = any(isinstance(s, GBTClassificationModel) for s in model.stages)
+    terms = tree_terms(spark, model) if is_tree else linear_terms(model)
+    shared = spark.sparkContext.broadcast(terms)
 
     @F.pandas_udf("string")
     def predict(loan: pd.DataFrame) -> pd.Series:
-        terms = shared.value
-        margin = pd.Series(terms["offset"], index=loan.index, dtype="float64")
-        for column, weights in terms["levels"].items():
-            level = loan[column]
-            if column == "verification_status":
-                level = level.str.replace(VERIFIED_ALIAS, VERIFIED, regex=False).str.strip(" ")
-            margin += level.map(weights).fillna(0.0).astype("float64")
-        for column, (fill, weight) in terms["numbers"].items():
-            margin += loan[column].astype("float64").fillna(fill) * weight
-        return (margin > terms["cut"]).map({True: "1.0", False: "0.0"})
+        margin = _tree_margins(shared.value, loan) if is_tree else _linear_margins(shared.value, loan)
+        cut = 0.0 if is_tree else shared.value["cut"]
+        return pd.Series(np.where(margin > cut, "1.0", "0.0"), index=loan.index)
 
     return predict

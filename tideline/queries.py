@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -616,36 +617,83 @@ def _training_table(spark, folder) -> DataFrame:
                                      scratch_dir(spark, "loanstats_train"))
 
 
+# Where this application has published a model of a folder's loans.
+_PUBLISHED: dict[tuple[str, str, str], str] = {}
+
+
+def _published(spark, folder, kind: str):
+    """The regression (``glm``) or the trees (``gbt``), trained once per application and loaded from where they were published."""
+    key = (spark.sparkContext.applicationId, folder, kind)
+    if key not in _PUBLISHED:
+        loans = _training_table(spark, folder)
+        model = risk.train_glm(loans) if kind == "glm" else risk.train_gbt(loans)
+        if kind == "glm":
+            risk.best_threshold(model, loans)
+        root = scratch_dir(spark, "risk_model")
+        risk.publish_model(model, root, f"loan_{kind}", "production")
+        _PUBLISHED[key] = root
+    return risk.load_model(_PUBLISHED[key], f"loan_{kind}", "production")
+
+
 def glm_scores(spark, folder):
-    loans = _training_table(spark, folder)
-    model = risk.train_glm(loans)
-    risk.best_threshold(model, loans)
-    return risk.score(model, loans)
+    return risk.score(_published(spark, folder, "glm"), risk.label_loans(loan_book(spark, folder)))
 
 
 def gbt_scores(spark, folder):
-    loans = _training_table(spark, folder)
-    return risk.score(risk.train_gbt(loans), loans)
+    return risk.score(_published(spark, folder, "gbt"), risk.label_loans(loan_book(spark, folder)))
+
+
+def _checked_scores(spark, folder, kind: str, threshold: float) -> DataFrame:
+    """Every labelled loan, and whether its scores are as they must be whatever the model has learned."""
+    scored = _published(spark, folder, kind).transform(risk.label_loans(loan_book(spark, folder)))
+    p = vector_to_array("probability")
+    return scored.select("o_orderkey", "bad_loan", (F.abs(p[0] + p[1] - 1) < 1e-9).alias("sums_to_one"),
+                         ((F.col("prediction") == 1) == (p[1] > threshold)).alias("follows_threshold"))
+
+
+def glm_rows(spark, folder):
+    return _checked_scores(spark, folder, "glm", _published(spark, folder, "glm").stages[-1].getThreshold())
+
+
+def gbt_rows(spark, folder):
+    return _checked_scores(spark, folder, "gbt", 0.5)
+
+
+def scored_stream(spark, folder):
+    """Every loan scored by the trees as a stream, and whether the batch says the same."""
+    root, model = scratch_dir(spark, "scored_stream"), _published(spark, folder, "gbt")
+    loans = loan_book(spark, folder)
+    loans.repartition(4).write.parquet(f"{root}/loans")
+    stream = spark.readStream.schema(loans.schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/loans")
+    streamed = _streamed(spark, risk.risk_predictions(model, stream), Dataset("scored"))
+    batch = risk.risk_predictions(model, loans).select("o_orderkey", F.col("pred").alias("by_batch"))
+    return streamed.join(batch, "o_orderkey").select("o_orderkey", (F.col("pred") == F.col("by_batch")).alias("same"))
+
+
+def _features() -> str:
+    return f"struct({', '.join([*risk.CATEGORICALS, *risk.NUMERICS])})"
 
 
 def risk_functions_agree(spark, folder):
     """The published model, the SQL function and the pandas UDF give every loan the same label."""
-    loans, train = loan_book(spark, folder), _training_table(spark, folder)
-    model = risk.train_glm(train)
-    risk.best_threshold(model, train)
-    root = scratch_dir(spark, "risk_model")
-    risk.publish_model(model, root, "loan_risk", "production")
-    model = risk.load_model(root, "loan_risk", "production")
+    loans, model = loan_book(spark, folder), _published(spark, folder, "glm")
     risk.register_risk_function(spark, model, "tideline_loan_risk")
     spark.udf.register("tideline_loan_risk_udf", risk.loan_risk_udf(spark, model))
-    features = f"struct({', '.join([*risk.CATEGORICALS, *risk.NUMERICS])})"
     scored = (risk.risk_predictions(model, loans)
-              .withColumn("by_sql", F.expr(f"tideline_loan_risk({features})"))
-              .withColumn("by_udf", F.expr(f"tideline_loan_risk_udf({features})")))
+              .withColumn("by_sql", F.expr(f"tideline_loan_risk({_features()})"))
+              .withColumn("by_udf", F.expr(f"tideline_loan_risk_udf({_features()})")))
     wrong = (F.col("pred") != F.col("by_sql")) | (F.col("pred") != F.col("by_udf"))
     return scored.agg(F.count(F.lit(1)).alias("loans"), F.count_if(wrong).alias("disagreements"))
 
 
+def tree_function_rows(spark, folder):
+    """Every loan, and whether the trees as a SQL function say what the model says."""
+    loans, model = loan_book(spark, folder), _published(spark, folder, "gbt")
+    spark.udf.register("tideline_loan_trees", risk.loan_risk_udf(spark, model))
+    return risk.risk_predictions(model, loans).select(
+        "o_orderkey", F.expr(f"pred = tideline_loan_trees({_features()})").alias("same"))
+
+
 QUERIES: dict[str, Query] = {f.__name__: f for f in (
     ingest_stream_once, ingest_json_files, ingest_csv_files, csv_mixed_headers, rescue_fields, clean_txs,
     quarantine_txs, expectation_totals, fail_rule_passes, history_view, balance_by_location,
@@ -657,4 +705,4 @@ QUERIES: dict[str, Query] = {f.__name__: f for f in (
     log_of_own_run, log_rows_of_own_run, log_backlog_of_own_run, rescue_csv, rescue_nested, label_rows, sample_split, count_by_state, roc_by_bins, roc_exact,
     roc_null_scores, roc_stacked,
     roc_area, f_measure_by_threshold, confusion_totals, confusion_business_value, glm_scores,
-    gbt_scores, risk_functions_agree)}
+    gbt_scores, glm_rows, gbt_rows, scored_stream, risk_functions_agree, tree_function_rows)}
