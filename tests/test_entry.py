@@ -1,6 +1,7 @@
 """Every registered query against its SQL on the smallest tables."""
 
 import os
+import subprocess
 import sys
 
 import duckdb
@@ -35,6 +36,14 @@ def test_every_query_has_sql_unless_it_trains_a_model():
     assert set(entry.oracle_sql()) <= set(entry.queries())
 
 
+def test_a_missing_library_of_the_training_queries_leaves_the_rest():
+    code = ("import sys; sys.modules['xxhash'] = None; import warnings; warnings.simplefilter('ignore'); "
+            "import __spark_entry__ as entry; print(sorted(entry.queries()), sorted(entry.oracle_sql()))")
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    out = subprocess.run([sys.executable, "-c", code], cwd=root, capture_output=True, text=True, timeout=100)
+    assert out.stdout.strip() == f"{sorted(QUERIES)} {sorted(STATEMENTS)}", out.stderr[-500:]
+
+
 def test_flagship(spark):
     assert entry.entry(spark).count() > 0
 
