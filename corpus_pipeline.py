@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tideline.llm import lines, packing, pii, quality, simhash
+from tideline.llm.common import free
 from tideline.session import scratch_dir
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
@@ -27,7 +28,8 @@ def _counted(docs: DataFrame) -> DataFrame:
 def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality network does not reject; it learns from the labels of the documents given."""
     net = quality.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    return quality.score(docs, net, score_col="__score").where(F.col("__score") >= quality.THRESHOLD).drop("__score")
+    score = free("__score", docs.columns)
+    return quality.score(docs, net, score_col=score).where(F.col(score) >= quality.THRESHOLD).drop(score)
 
 
 def new_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
