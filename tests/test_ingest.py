@@ -103,6 +103,16 @@ def test_nested_rescue(spark, line, rescued):
         assert json.loads(kept[name]) == json.loads(line)[name]
 
 
+def test_nested_fields_are_parsed_once_per_level(spark):
+    def parses(depth):
+        kind = "INT"
+        for _ in range(depth):
+            kind = f"STRUCT<a: {kind}, b: INT>"
+        df = rescue_json(spark.createDataFrame([("{}",)], "line string"), "line", StructType.fromDDL(f"x {kind}"))
+        return df._jdf.queryExecution().optimizedPlan().toString().count("from_json")
+    assert parses(5) - parses(4) == parses(4) - parses(3) <= 2
+
+
 def test_csv_misfits_are_rescued(spark, root):
     put(f"{root}/in/a.csv", "id,name", "1,a", "x7,oops", "3,c,more", "4")
     stream = ingest_files(spark, f"{root}/in", "csv", schema="id INT, name STRING", rescued="_rescued_data")

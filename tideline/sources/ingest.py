@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import json
 import re
+from collections.abc import Callable
 from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
@@ -19,25 +20,32 @@ RESCUED = "_rescued_data"
 CORRUPT = "_corrupt_record"
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often the body names it."""
+    return F.transform(F.array(value), body)[0]
+
+
 def _unfit(raw: Column, typed: Column, kind: DataType) -> Column:
-    """Whether the JSON text ``raw`` holds something that its parsed form ``typed`` lost."""
+    """Whether the JSON text ``raw`` holds something that its parsed form ``typed`` lost; each level is parsed once."""
     if isinstance(kind, StructType):
-        fields = F.from_json(raw, "map<string,string>")
         names = F.array(*[F.lit(f.name) for f in kind.fields])
-        lost = F.exists(F.map_keys(F.map_filter(fields, lambda k, v: v.isNotNull())),
-                        lambda k: ~F.array_contains(names, k))
-        for f in kind.fields:
-            lost = lost | _unfit(F.try_element_at(fields, F.lit(f.name)), typed.getField(f.name), f.dataType)
-        inner = F.when(fields.isNull(), True).otherwise(lost)
+
+        def lost(fields: Column) -> Column:
+            found = F.exists(F.map_keys(F.map_filter(fields, lambda k, v: v.isNotNull())),
+                             lambda k: ~F.array_contains(names, k))
+            for f in kind.fields:
+                found = found | _unfit(F.try_element_at(fields, F.lit(f.name)), typed.getField(f.name), f.dataType)
+            return F.when(fields.isNull(), True).otherwise(found)
+
+        inner = _bound(F.from_json(raw, "map<string,string>"), lost)
     elif isinstance(kind, ArrayType):
-        items = F.from_json(raw, "array<string>")
-        pairs = F.zip_with(items, typed, lambda r, t: _unfit(r, t, kind.elementType))
-        inner = F.when(items.isNull() | typed.isNull() | (F.size(items) != F.size(typed)), True).otherwise(
-            F.exists(pairs, lambda x: x))
+        inner = _bound(F.from_json(raw, "array<string>"), lambda items: F.when(
+            items.isNull() | typed.isNull() | (F.size(items) != F.size(typed)), True).otherwise(
+            F.exists(F.zip_with(items, typed, lambda r, t: _unfit(r, t, kind.elementType)), lambda x: x)))
     elif isinstance(kind, MapType):
-        entries = F.from_json(raw, "map<string,string>")
-        pairs = F.map_zip_with(entries, typed, lambda k, r, t: _unfit(r, t, kind.valueType))
-        inner = F.when(entries.isNull() | typed.isNull(), True).otherwise(F.exists(F.map_values(pairs), lambda x: x))
+        inner = _bound(F.from_json(raw, "map<string,string>"), lambda entries: F.when(
+            entries.isNull() | typed.isNull(), True).otherwise(F.exists(F.map_values(
+                F.map_zip_with(entries, typed, lambda k, r, t: _unfit(r, t, kind.valueType))), lambda x: x)))
     else:
         return raw.isNotNull() & typed.isNull()
     return F.coalesce(F.when(raw.isNull(), False).otherwise(inner), F.lit(False))
