@@ -23,6 +23,7 @@ def test_against_brute_force(spark, monkeypatch, tile, group):
     monkeypatch.setattr(vectors, "TILE_ROWS", tile)
     monkeypatch.setattr(vectors, "QUERY_ROWS", 3)
     monkeypatch.setattr(vectors, "GROUP_ROWS", group)
+    monkeypatch.setattr(vectors, "GROUP_QUERIES", 5)
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=20).round(1)]) for i in range(150)]
     rows += [(200 + i, rows[0][1]) for i in range(10)] + [(5, [0.5] * 20), (0, [1.0] * 20), (0, [1.0] * 20)]
@@ -45,10 +46,27 @@ def test_pruning_keeps_the_best():
     assert len(at) < 0.2 * full.size
 
 
-def test_too_large(spark):
-    df = spark.createDataFrame([(0, [1e14]), (1, [1e14])], "vec_id long, embedding array<double>")
-    with pytest.raises(Exception, match="exceed"):
-        topk.top_k(df, F.col("vec_id") == 0).collect()
+def large_rows(rng):
+    rows = [(i, [float(x) for x in rng.normal(size=6) * 10.0 ** rng.integers(-2, 14)]) for i in range(60)]
+    rows += [(60 + i, [float(x) for x in rng.normal(size=6) * 10.0 ** rng.integers(0, 300)]) for i in range(30)]
+    # Products that differ by less than a double can tell, copies, the ends of a long, and what scaling makes infinite.
+    rows += [(100 + i, [2.0**45 + i, 1.0, 0.0, 0.0, 0.0, 2.0**-8]) for i in range(8)]
+    rows += [(110 + i, rows[70][1]) for i in range(9)]
+    return rows + [(120, [2.0**55, 0.0, 0.0, 0.0, 0.0, 0.0]), (121, [-1.0, 0.0, 0.0, 0.0, 0.0, 0.0]),
+                   (122, [0.0] * 6), (130, [1.7e308] + [0.0] * 5)]
+
+
+@pytest.mark.parametrize("tile, group", [(7, 20), (1000, 1000)])
+def test_products_of_any_size(spark, monkeypatch, tile, group):
+    monkeypatch.setattr(vectors, "TILE_ROWS", tile)
+    monkeypatch.setattr(vectors, "GROUP_ROWS", group)
+    monkeypatch.setattr(vectors, "GROUP_QUERIES", 4)
+    rows = large_rows(np.random.default_rng(6))
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=5).collect()
+    wanted = brute([r for r in rows if r[0] != 130], lambda i: i % 10 == 0, 5)
+    assert sorted((r.query_id, r.rank, r.vec_id, r.score) for r in got) == [
+        (q, rank, i, min(max(score, -2**63), 2**63 - 1)) for q, rank, i, score in wanted]
 
 
 def test_empty(spark):

@@ -2,8 +2,9 @@
 
 Rows are put into tiles inside the tasks that read them: ``ids`` and the components in vertical layout, dimension
 after dimension. Nothing is grouped by key, so no key can make a large tile. Queries are put into smaller blocks
-in the same way. Tiles of one part are dealt into groups of some ``GROUP_ROWS`` rows, and every block of queries
-goes once to each group of the parts it asks for, where it meets the tiles by an equi-join.
+in the same way. Tiles of one part are dealt into groups of some ``GROUP_ROWS`` rows, and its blocks of queries into
+groups of some ``GROUP_QUERIES`` queries. Each group of queries meets each group of rows of its part once, by an equi-join:
+a piece of work whose size depends on neither table.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 
 TILE_ROWS = 8192
 QUERY_ROWS = 512
-GROUP_ROWS = 131_072
+GROUP_ROWS = 32_768
+GROUP_QUERIES = 2048
 _TILE = "part long, tile long, ids array<long>, marks array<long>, data binary"
 
 
@@ -65,17 +67,30 @@ def best(queries: DataFrame, rows: DataFrame, k: int, ascending: bool,
 
     Both sides have part, id, mark and v; a query meets the rows of its parts. ``compare`` gets components
     (dimensions x rows) and ids of a block of queries and of a tile, and the score each query must reach; it
-    returns positions of queries and of rows with their scores, and holds the k best of each query at least.
+    returns positions of queries and of rows with their scores, and holds the k best of each query at least. If it also
+    returns ``beyond``, bytes or None for each, equal scores are ordered by it, None last, and there are no more than k.
     """
     held = tiles(rows, TILE_ROWS)
-    groups = (rows.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / GROUP_ROWS).cast("int").alias("groups")))
-    dealt = (held.join(groups, "part").withColumn("g", F.pmod(F.xxhash64("tile"), F.col("groups")).cast("int"))
-             .select("part", "g", "ids", "data"))
+    def dealt_into(df: DataFrame, size: int, name: str) -> DataFrame:
+        return df.groupBy("part").agg(F.ceil(F.count(F.lit(1)) / size).cast("int").alias(name))
+
+    def place(groups: str) -> Column:
+        return F.pmod(F.xxhash64("tile"), F.col(groups)).cast("int")
+
+    def all_of(groups: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(groups) - 1))
+
+    # One row per part; only parts that are asked for.
+    groups = dealt_into(rows, GROUP_ROWS, "row_groups").join(dealt_into(queries, GROUP_QUERIES, "query_groups"), "part")
+    meeting = ["part", "g", "h"]
+    # A number of partitions of its own: adaptive execution would put pieces of work together by their few bytes.
+    partitions = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = (held.join(groups, "part").select("part", place("row_groups").alias("g"), all_of("query_groups").alias("h"),
+                                              "ids", "data").repartition(partitions, *meeting))
     asked = (tiles(queries, QUERY_ROWS).join(groups, "part")
-             .select("part", F.explode(F.sequence(F.lit(0), F.col("groups") - 1)).alias("g"),
-                     F.col("tile").alias("block"), F.col("ids").alias("q_ids"), "marks",
-                     F.col("data").alias("q_data")))
-    met = asked.join(dealt, ["part", "g"]).select("block", "q_ids", "marks", "q_data", "ids", "data")
+             .select("part", all_of("row_groups").alias("g"), place("query_groups").alias("h"), F.col("tile").alias("block"),
+                     F.col("ids").alias("q_ids"), "marks", F.col("data").alias("q_data")).repartition(partitions, *meeting))
+    met = asked.join(dealt, meeting).select("block", "q_ids", "marks", "q_data", "ids", "data")
     worst = np.inf if ascending else -np.inf
 
     def matched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -88,23 +103,25 @@ def best(queries: DataFrame, rows: DataFrame, k: int, ascending: bool,
                 q_data = np.frombuffer(batch.column(3)[n].as_buffer(), np.float64).reshape(-1, len(q_ids))
                 data = np.frombuffer(batch.column(5)[n].as_buffer(), np.float64).reshape(-1, len(ids))
                 limit = reached.setdefault(block, np.full(len(q_ids), worst))
-                at, to, score = compare(q_data, q_ids, data, ids, limit)
+                at, to, score, *beyond = compare(q_data, q_ids, data, ids, limit)
+                beyond = np.array(beyond[0] if beyond else [None] * len(at), object)
                 order = np.lexsort((ids[to], score if ascending else -score, at))
-                at, to, score = at[order], to[order], score[order]
+                at, to, score, beyond = at[order], to[order], score[order], beyond[order]
                 place = np.arange(len(at)) - np.searchsorted(at, at)
                 last = place == k - 1
                 if last.any():
                     better = np.minimum if ascending else np.maximum
                     limit[at[last]] = better(limit[at[last]], score[last])
                 keep = place < k
-                at, to, score = at[keep], to[keep], score[keep]
+                at, to, score, beyond = at[keep], to[keep], score[keep], beyond[keep]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(q_ids[at]), pa.array(marks[at]), pa.array(ids[to]),
-                     pa.array(score if result == "double" else score.astype(np.int64))],
-                    names=["query_id", "mark", "vec_id", "score"])
+                     pa.array(score if result == "double" else score.astype(np.int64)), pa.array(beyond, pa.binary())],
+                    names=["query_id", "mark", "vec_id", "score", "beyond"])
 
-    found = met.mapInArrow(matched, f"query_id long, mark long, vec_id long, score {result}")
-    order = [F.col("score").asc() if ascending else F.col("score").desc(), F.col("vec_id")]
+    found = met.mapInArrow(matched, f"query_id long, mark long, vec_id long, score {result}, beyond binary")
+    order = [F.col("score").asc() if ascending else F.col("score").desc(), F.col("beyond").desc_nulls_last(),
+             F.col("vec_id")]
     rank = F.row_number().over(Window.partitionBy("query_id", "mark").orderBy(*order))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", "mark", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))
