@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tideline.llm.common import table
+from tideline.llm.common import drawn, table
 from tideline.llm.vectors import best, usable
 
 SAMPLE = 8192
@@ -157,10 +157,11 @@ def fit(x: np.ndarray, parts: int = PARTS, target: float = TARGET, k: int = NEIG
 
 def train(vectors: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", sample: int = SAMPLE,
           parts: int = PARTS, target: float = TARGET) -> Router | None:
-    """Fit to at most ``sample`` rows, in the order of a hash; None for a table without usable vectors."""
-    rows = (vectors.where(usable(id_col, F.col(vector_col)))
-            .select(F.col(vector_col).cast("array<double>").alias("v"), F.xxhash64(id_col, vector_col).alias("h"))
-            .orderBy("h", "v").limit(sample).collect())
+    """Fit to at most ``sample`` rows, drawn by a hash of id and vector; None for a table without usable vectors."""
+    found = (vectors.where(usable(id_col, F.col(vector_col)))
+             .select(F.col(vector_col).cast("array<double>").alias("v"), F.xxhash64(id_col, vector_col).alias("h")))
+    # In one order, whatever the partitions.
+    rows = sorted(drawn(found, sample, "h").collect(), key=lambda r: (r.h, r.v))
     sizes = Counter(len(r.v) for r in rows)
     if not sizes:
         return None
