@@ -23,7 +23,6 @@ def test_against_brute_force(spark, monkeypatch, tile, group):
     monkeypatch.setattr(vectors, "TILE_ROWS", tile)
     monkeypatch.setattr(vectors, "QUERY_ROWS", 3)
     monkeypatch.setattr(vectors, "GROUP_ROWS", group)
-    monkeypatch.setattr(vectors, "GROUP_QUERIES", 5)
     rng = np.random.default_rng(4)
     rows = [(i, [float(x) for x in rng.normal(size=20).round(1)]) for i in range(150)]
     rows += [(200 + i, rows[0][1]) for i in range(10)] + [(5, [0.5] * 20), (0, [1.0] * 20), (0, [1.0] * 20)]
@@ -60,7 +59,6 @@ def large_rows(rng):
 def test_products_of_any_size(spark, monkeypatch, tile, group):
     monkeypatch.setattr(vectors, "TILE_ROWS", tile)
     monkeypatch.setattr(vectors, "GROUP_ROWS", group)
-    monkeypatch.setattr(vectors, "GROUP_QUERIES", 4)
     rows = large_rows(np.random.default_rng(6))
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
     got = topk.top_k(df, F.col("vec_id") % 10 == 0, k=5).collect()
