@@ -1,7 +1,10 @@
 import random
 
 import pytest
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.feature import Imputer, StandardScaler
 from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
@@ -75,6 +78,21 @@ def test_models_beat_chance(spark, loans, glm, gbt):
         assert result.where("abs(p0 + p1 - 1) > 1e-9").count() == 0
 
 
+def test_rows_are_prepared_once_per_training_set(loans, tmp_path, monkeypatch):
+    rows_ = risk.store_training_table(risk.label_loans(loans), str(tmp_path / "rows"))
+    stages = [*risk._shared_stages(True), StandardScaler(inputCol="features", outputCol="scaled", withMean=True, withStd=True),
+              LogisticRegression(featuresCol="scaled", maxIter=risk.GLM_ITERATIONS, elasticNetParam=risk.GLM_ELASTIC_NET)]
+    grid = [{stages[-1].regParam: r} for r in risk.GLM_REG_PARAMS]
+    for i, model in risk._KeptFeatures(stages=stages).fitMultiple(rows_, grid):
+        plain = Pipeline(stages=stages).fit(rows_, grid[i])
+        pairs = zip(*[[r["p1"] for r in risk.score(m, rows_).collect()] for m in (model, plain)])
+        assert max(abs(a - b) for a, b in pairs) < 1e-9
+    fits, fit = [], Imputer._fit
+    monkeypatch.setattr(Imputer, "_fit", lambda self, given: fits.append(self) or fit(self, given))
+    risk.train_glm(rows_)
+    assert len(fits) == risk.FOLDS + 1
+
+
 def test_threshold_reaches_the_model(spark, loans, glm):
     pairs = [(r["p1"], r["label"], r["prediction"]) for r in risk.score(glm, risk.label_loans(loans)).collect()]
     positives = sum(label for _, label, _ in pairs)

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pandas as pd
+from pyspark import StorageLevel
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassificationModel, GBTClassifier, LogisticRegression,
                                        LogisticRegressionModel)
@@ -99,6 +100,39 @@ def _shared_stages(one_hot: bool) -> list:
     return [*stages, impute, assemble, label]
 
 
+class _KeptFeatures(Pipeline):
+    """A pipeline whose learners read prepared rows.
+
+    Preparing costs more than learning, and learners read their rows many times. So the stages before the learners are
+    fitted once per table, whatever the grid, and their features lie on the executors' disks until the learners are
+    done. Models are fitted one after the other: each fit keeps a copy of its rows in blocks.
+    """
+
+    def _learned(self, dataset: DataFrame, grid: Sequence[dict], centred: bool) -> list[PipelineModel]:
+        learners = [s for s in self.getStages() if isinstance(s, (StandardScaler, LogisticRegression, GBTClassifier))]
+        prepared = Pipeline(stages=[s for s in self.getStages() if s not in learners]).fit(dataset)
+        rows = prepared.transform(dataset).select("features", "label").persist(StorageLevel.DISK_ONLY)
+        try:
+            stages, given = list(prepared.stages), rows
+            for scaler in learners[:-1]:
+                stages.append(scaler.fit(rows, None if centred else {scaler.withMean: False}))
+                given = stages[-1].transform(given)
+            return [PipelineModel([*stages, learners[-1].fit(given, params)]) for params in grid]
+        finally:
+            rows.unpersist()
+
+    def _fit(self, dataset: DataFrame) -> PipelineModel:
+        return self._learned(dataset, [{}], centred=True)[0]
+
+    def fitMultiple(self, dataset: DataFrame, paramMaps: Sequence[dict]) -> Iterator[tuple[int, PipelineModel]]:
+        """One model per setting of the last stage, to be compared.
+
+        A regression with an intercept centres its input itself. So these are scaled alone, which keeps their vectors
+        sparse; their probabilities are those of the centred ones.
+        """
+        return iter([*enumerate(self._learned(dataset, paramMaps, centred=False))])
+
+
 def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEED) -> PipelineModel:
     """Logistic regression on standardized features; the best of the grid by cross-validation.
 
@@ -111,7 +145,7 @@ def train_glm(train: DataFrame, parallelism: int = FOLDS, seed: int = SAMPLE_SEE
                                     elasticNetParam=GLM_ELASTIC_NET)
     grid = ParamGridBuilder().addGrid(regression.regParam, list(GLM_REG_PARAMS)).build()
     fold = F.pmod(F.xxhash64(F.lit(seed), *train.columns), F.lit(FOLDS)).cast("int")
-    search = CrossValidator(estimator=Pipeline(stages=[*_shared_stages(True), scale, regression]),
+    search = CrossValidator(estimator=_KeptFeatures(stages=[*_shared_stages(True), scale, regression]),
                             estimatorParamMaps=grid, evaluator=BinaryClassificationEvaluator(),
                             numFolds=FOLDS, foldCol="__fold", parallelism=parallelism)
     return search.fit(train.withColumn("__fold", fold)).bestModel
@@ -121,7 +155,7 @@ def train_gbt(train: DataFrame, seed: int = SAMPLE_SEED) -> PipelineModel:
     """Gradient-boosted trees on indexed categories."""
     trees = GBTClassifier(featuresCol="features", labelCol="label", lossType="logistic",
                           maxBins=GBT_BINS, maxIter=GBT_ITERATIONS, maxDepth=GBT_DEPTH, seed=seed)
-    return Pipeline(stages=[*_shared_stages(False), trees]).fit(train)
+    return _KeptFeatures(stages=[*_shared_stages(False), trees]).fit(train)
 
 
 def score(model: PipelineModel, loans: DataFrame) -> DataFrame:
