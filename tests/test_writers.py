@@ -233,6 +233,28 @@ def test_a_batch_of_sums_touches_its_own_buckets(spark, root):
     assert {r["k"]: r["v"] for r in store.state().collect()} == {**{k: 1 for k in range(60)}, 7: 11}
 
 
+def test_sums_of_a_large_file_are_shared_out(spark, root, monkeypatch):
+    spark.range(40_000).select((F.col("id") % 30_000).alias("k"), F.lit(1).alias("v")).coalesce(1).write.parquet(f"{root}/in")
+    given, totals = [], writers.SumTable._totals
+    monkeypatch.setattr(writers.SumTable, "_totals", lambda self, found: given.append(found) or totals(self, found))
+    sizes = ["spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.minPartitionSize"]
+    for size in sizes:
+        spark.conf.set(size, "16k")
+    try:
+        store = writers.SumTable(spark, f"{root}/t", ["k"], ["v"], compact_every=None)
+        for batch in range(2):
+            store.add(spark.read.parquet(f"{root}/in"), batch)
+        store.compact()
+        place = F.spark_partition_id()
+        assert max(r["count"] for r in given[0].groupBy(place).count().collect()) < 20_000
+        # When batches are folded, all rows of a group are in one task.
+        assert given[2].withColumn("p", place).groupBy("k").agg(F.count_distinct("p").alias("n")).where("n > 1").count() == 0
+    finally:
+        for size in sizes:
+            spark.conf.unset(size)
+    assert rows(store.state().agg(F.count("k"), F.sum("v"), F.max("v"))) == [(30_000, 80_000, 4)]
+
+
 def test_catalog_names_follow_refreshes(spark, root):
     for by in ((), ("p",)):
         dataset, path = Dataset("t", partition_by=by), f"{root}/{len(by)}"

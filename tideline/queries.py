@@ -333,7 +333,10 @@ def sales_by_place(spark, folder):
     """Sums over exploded order lines of every city, from a stream of several micro-batches."""
     dataset = Dataset("sales_by_place")
     root = scratch_dir(spark, dataset.name)
-    _packed_orders(table(spark, folder, "lineitem"), spark, folder).repartition(8).write.parquet(f"{root}/orders")
+    packed = _packed_orders(table(spark, folder, "lineitem"), spark, folder)
+    # Dealt by a hash, which needs no sort; a large file can be read by several tasks.
+    (packed.repartition(8, F.xxhash64(*packed.columns)).write.option("parquet.block.size", 16 << 20)
+     .parquet(f"{root}/orders"))
     schema = spark.read.parquet(f"{root}/orders").schema
     orders = spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/orders")
     for _ in range(2):

@@ -242,12 +242,19 @@ class SumTable(FoldedTable):
 
     def _added(self, state: DataFrame | None, new: DataFrame) -> DataFrame:
         both = new if state is None else state.unionByName(new)
+        # A group has a row per batch at most, so nothing is gained by summing up the rows of a file first.
+        both = both.repartition(*[F.col(f"`{k}`") for k in self.keys])
         # Sums of sums keep the type of the first ones.
         return self._totals(both).select(*self.keys, *[F.col(s).cast(new.schema[s].dataType).alias(s) for s in self.sums])
 
     def add(self, batch: DataFrame, batch_id: int) -> int | None:
-        """Add the rows of one micro-batch; adding the same batch id again changes nothing."""
-        return self.record(batch_id, lambda: self._totals(batch))
+        """Add the rows of one micro-batch; adding the same batch id again changes nothing.
+
+        A task keeps all groups that it meets in memory, and a batch may hold nearly as many groups as rows. So rows
+        meet their groups before they are summed up, in tasks of the advisory partition size: adaptive execution splits
+        what is larger, the rows of one group too, whatever the files the batch was read from.
+        """
+        return self.record(batch_id, lambda: self._totals(batch.hint("rebalance", *self.keys)))
 
 
 def write_stream_sums(df: DataFrame, keys: Sequence[str], sums: Sequence[str], path: str, checkpoint: str,
