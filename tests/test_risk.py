@@ -2,7 +2,7 @@ import random
 
 import pytest
 from pyspark.ml import Pipeline
-from pyspark.ml.classification import LogisticRegression
+from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, StandardScaler
 from pyspark.sql import Observation
@@ -93,6 +93,18 @@ def test_rows_are_prepared_once_per_training_set(loans, tmp_path, monkeypatch):
     assert len(fits) == risk.FOLDS + 1
 
 
+def test_trees_read_prepared_rows(loans, tmp_path, monkeypatch):
+    rows_ = risk.store_training_table(risk.label_loans(loans), str(tmp_path / "rows"))
+    given, fit = [], GBTClassifier._fit
+    monkeypatch.setattr(GBTClassifier, "_fit", lambda self, found: given.append(found.storageLevel.useDisk) or fit(self, found))
+    model = risk.train_gbt(rows_)
+    assert given == [True]
+    plain = Pipeline(stages=[*risk._shared_stages(False), GBTClassifier(
+        featuresCol="features", labelCol="label", lossType="logistic", maxBins=risk.GBT_BINS, maxIter=risk.GBT_ITERATIONS,
+        maxDepth=risk.GBT_DEPTH, seed=risk.SAMPLE_SEED)]).fit(rows_)
+    assert rows(risk.score(model, rows_)) == rows(risk.score(plain, rows_))
+
+
 def test_threshold_reaches_the_model(spark, loans, glm):
     pairs = [(r["p1"], r["label"], r["prediction"]) for r in risk.score(glm, risk.label_loans(loans)).collect()]
     positives = sum(label for _, label, _ in pairs)

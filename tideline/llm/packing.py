@@ -71,10 +71,10 @@ def _byte_letters() -> dict[int, int]:
 class _Plain:
     """Encodes many plain words at once, by the vocabulary's merges alone.
 
-    A pre-token has one last token, which tells where it ends.
+    A pre-token has one last token, which tells where it ends. The merges are those of ``whole``, not a copy of them.
     """
 
-    def __init__(self, raw: bytes):
+    def __init__(self, raw: bytes, whole):
         from tokenizers import Tokenizer, pre_tokenizers
 
         made = json.loads(raw)
@@ -87,8 +87,7 @@ class _Plain:
                          and not cuts[1]["add_prefix_space"])
         self.able &= not any(_PLAIN.fullmatch(t["content"]) for t in made.get("added_tokens", []))
         if self.able:
-            self.tokenizer = Tokenizer.from_buffer(raw)
-            self.tokenizer.normalizer = None
+            self.tokenizer = Tokenizer(whole.model)
             self.tokenizer.pre_tokenizer = pre_tokenizers.CharDelimiterSplit(" ")
             vocabulary = made["model"]["vocab"]
             self.last = np.zeros(max(vocabulary.values()) + 1, bool)
@@ -132,7 +131,8 @@ class _Words:
     def __init__(self, raw: bytes):
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.plain = Tokenizer.from_buffer(raw), _Plain(raw)
+        self.tokenizer = Tokenizer.from_buffer(raw)
+        self.plain = _Plain(raw, self.tokenizer)
         self.codes = Numbers()
         self.starts = self.sizes = self.uses = np.zeros(0, np.int64)
         self.values = np.zeros(0, "<u4")
