@@ -5,10 +5,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import public_tokenizers as P
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from tideline.llm import packing
+from tideline.llm import common, packing, simhash
 from tideline.llm.common import vocabulary
 
 TEXTS = ["", None, "it's We'LL ok", "a\x1cb c\x85d\xa0e", "İstanbul ΣΑΣ é é", "<|endoftext|> x<|startoftext|>",
@@ -98,6 +99,18 @@ def test_query(spark, folder):
     assert check_layout(rows) <= math.ceil(total / 4096) + 1
 
 
+def test_other_operators_free_the_words(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "some words")], "doc_id long, text string")
+    steps = []
+    monkeypatch.setattr(type(docs), "mapInArrow", lambda self, step, schema: steps.append(step) or self)
+    simhash.fingerprints(docs)
+    batch = pa.RecordBatch.from_pydict({"doc_id": [1], "text": ["some words"]})
+    for step in steps:
+        assert len(list(packing._pieces(iter([batch]), vocabulary(packing.VOCABULARY), 4096, 1, False))) == 1
+        assert len(common._kept) == 1
+        assert list(step(iter([]))) == [] and not common._kept
+
+
 def test_plain_words_are_encoded_as_the_tokenizer_does():
     raw = vocabulary(packing.VOCABULARY)
     words = packing._Words(raw)

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from typing import Any
 
 import pyarrow as pa
 import public_tokenizers
@@ -31,6 +32,22 @@ def small_batches(spark: SparkSession, size: int = 8 << 20) -> None:
         spark.conf.set(name, f"{size}b")
 
 
+# What this Python worker remembers from one task to the next.
+_kept: dict[Any, Any] = {}
+
+
+def kept(key: Any, make: Callable[[], Any]) -> Any:
+    """What tasks of one kind share in a Python worker; made by the first of them."""
+    if key not in _kept:
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Free what tasks of another kind have left in this worker; Spark reuses workers, whatever they ran before."""
+    _kept.clear()
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` to the cluster's shared folder and read it back.
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tideline.llm.common import free, stored, table
+from tideline.llm.common import free, release, stored, table
 
 MIN_WORDS = 50
 # A document is known by its id and its text's hash; a place by its line as well.
@@ -273,6 +273,7 @@ def _one_way(spark: SparkSession, array: DataFrame, shared: str, direction: int,
     opened = spark.sparkContext.broadcast(carried)
 
     def runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         now, reach = None, []
         for batch in batches:
             keep, lengths = [], []
@@ -305,6 +306,7 @@ def deduplicate(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     place = docs.columns.index(text_col)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             out = []
             for value, found in zip(batch.column(place), batch.column(batch.num_columns - 1)):

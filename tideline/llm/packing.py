@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from tideline.llm.byte_bpe import Numbers, gather
-from tideline.llm.common import refuse, small_batches, stored, table, texts, vocabulary
+from tideline.llm.common import kept, refuse, small_batches, stored, table, texts, vocabulary
 
 VOCABULARY = "word_bpe_49k.json"
 CAPACITY = 4096
@@ -193,14 +193,9 @@ class _Words:
             yield self.values[gather(self.starts, self.sizes, found)[0]]
 
 
-_workers: dict[int, _Words] = {}
-
-
 def _remembered(name: int, raw: bytes) -> _Words:
     """One per Python worker: words met in one task are known to the next."""
-    if name not in _workers:
-        _workers[name] = _Words(raw)
-    return _workers[name]
+    return kept(("words", name), lambda: _Words(raw))
 
 
 def _together(column: pa.Array) -> Iterator[tuple[int, list[str]]]:

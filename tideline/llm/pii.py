@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, BooleanType, IntegerType, StringType, StructField, StructType
 
-from tideline.llm.common import free, refuse, table
+from tideline.llm.common import free, refuse, release, table
 
 KINDS = ("email", "ip", "card", "phone")
 WINDOW = 512
@@ -423,6 +423,7 @@ def find(docs: DataFrame, tagger: Tagger | None, text_col: str = "text", spans_c
     kind = to_arrow_schema(schema).field(spans_col).type
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             out = []
             for i in range(0, batch.num_rows, 128):
@@ -448,6 +449,7 @@ def redact(docs: DataFrame, tagger: Tagger | None, text_col: str = "text") -> Da
     place = docs.columns.index(text_col)
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             out = []
             for value, marked in zip(batch.column(place), batch.column(batch.num_columns - 1)):

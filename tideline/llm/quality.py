@@ -27,7 +27,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from tideline.llm.common import refuse, table
+from tideline.llm.common import refuse, release, table
 
 CHUNK = 1024
 WIDTH = 8
@@ -222,6 +222,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         F.broadcast(drawn[0].unionByName(drawn[1])), "__id")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             found = [v.as_py() or "" for v in batch.column(0)]
             yield pa.RecordBatch.from_arrays(
@@ -247,6 +248,7 @@ def score(docs: DataFrame, net: Network, text_col: str = "text", score_col: str
     schema = StructType([*docs.schema.fields, StructField(score_col, DoubleType())])
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             out = []
             for i in range(0, batch.num_rows, 256):

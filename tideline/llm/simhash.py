@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from tideline.llm.common import free, stored, table
+from tideline.llm.common import free, release, stored, table
 from tideline.llm.components import components
 
 SEED = 42
@@ -61,6 +61,7 @@ def fingerprint(text: str | None, shingle: int) -> int:
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4) -> DataFrame:
     """One row per document: its id and ``bits``, the fingerprint as a long."""
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        release()
         for batch in batches:
             bits = [fingerprint(value.as_py(), shingle) for value in batch.column(1)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(bits, pa.int64())], names=["id", "bits"])
