@@ -27,7 +27,7 @@ import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
-from itertools import chain, islice
+from itertools import islice
 
 import numpy as np
 import pyarrow as pa
@@ -61,11 +61,14 @@ _PLAIN = re.compile(f"[{_LETTERS}0-9{_SIGNS}]+")
 _PIECES = re.compile(f"[{_LETTERS}]+|[0-9]|[{_SIGNS}]+")
 
 
-def _byte_letters() -> dict[int, int]:
-    """The letter that stands for each byte but the blank: its own where that can be printed, else the next one from 256 on."""
+def _byte_letters() -> np.ndarray:
+    """The letter that stands for each byte: its own where that can be printed, else the next one from 256 on; the blank stays."""
     shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
     hidden = [b for b in range(256) if b not in shown]
-    return {b: 256 + i for i, b in enumerate(hidden) if b != 32}
+    letters = np.arange(256, dtype="<u4")
+    letters[hidden] = 256 + np.arange(len(hidden))
+    letters[32] = 32
+    return letters
 
 
 class _Plain:
@@ -96,29 +99,18 @@ class _Plain:
 
     def encode(self, words: list[str]) -> tuple[np.ndarray, np.ndarray] | None:
         """Sizes and ids of the words; None if that cannot be told."""
-        pieces = list(map(_PIECES.findall, words))
-        flat = list(chain.from_iterable(pieces))
-        # The same piece stands in many words; pieces beyond ASCII have other letters for their bytes.
-        numbers = Numbers()
-        number = np.fromiter(map(numbers.__getitem__, flat), np.int64, len(flat))
-        simple = np.fromiter(map(str.isascii, numbers), bool, len(numbers))
-        parts, place = [], np.empty(len(numbers), np.int64)
-        for some in (True, False):
-            chosen = [p for p, is_simple in zip(numbers, simple) if is_simple == some]
-            joined = " ".join(chosen).lower()
-            if not some:
-                joined = joined.encode().decode("latin-1").translate(self.letters)
-            place[simple == some] = np.arange(len(chosen)) + sum(len(e) for e, _ in parts)
-            ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
-            ends = np.flatnonzero(self.last[ids]) + 1
-            if len(ends) != len(chosen):
-                return None
-            parts.append((np.diff(ends, prepend=0), ids))
-        sizes, ids = (np.concatenate(x) for x in zip(*parts))
-        number = place[number]
-        counts = np.cumsum([0, *map(len, pieces)])
-        lengths = np.add.reduceat(sizes[number], counts[:-1])
-        return lengths, ids[gather(np.cumsum(sizes) - sizes, sizes, number)[0]]
+        spaced = _PIECES.sub(r"\g<0> ", "\n".join(words))
+        signs = np.frombuffer(spaced.encode("utf-32-le"), "<u4")
+        blanks, breaks = np.flatnonzero(signs == 32), np.flatnonzero(signs == 10)
+        joined = spaced.replace("\n", "")[:-1].lower()
+        if not joined.isascii():
+            joined = self.letters[np.frombuffer(joined.encode(), np.uint8)].tobytes().decode("utf-32-le")
+        ids = np.array(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(blanks):
+            return None
+        # A word ends with its last piece.
+        return np.diff(ends[np.searchsorted(blanks, np.append(breaks, len(signs))) - 1], prepend=0), ids
 
 
 class _Words:
