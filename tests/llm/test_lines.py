@@ -72,6 +72,52 @@ def test_long_copies_and_a_hot_line(spark):
     compare(spark, texts, 4, 4)
 
 
+@pytest.mark.parametrize("first", [1, 2, 16])
+def test_many_slices(spark, monkeypatch, first):
+    """Groups of equal suffixes go on across slices."""
+    monkeypatch.setattr(lines, "FIRST", first)
+    rng = random.Random(first)
+    long = [f"line {i % 37}" for i in range(45)]
+    texts = [(i, "\n".join(long[:rng.randrange(20, 45)])) for i in range(6)]
+    texts += [(10 + i, "\n".join(rng.choices(["a", "b", "a b"], k=rng.randrange(1, 9)))) for i in range(30)]
+    texts += [(50 + i, "a\nb\na") for i in range(30)] + [(i, "x\n" + "\n".join(long[9:40])) for i in (None, 3)]
+    name = "spark.sql.adaptive.coalescePartitions.enabled"
+    spark.conf.set(name, "false")
+    try:
+        compare(spark, texts, 2, 3)
+    finally:
+        spark.conf.unset(name)
+
+
+def tables_of(spark, monkeypatch, texts):
+    """Labels of the tables that are stored on the way, with their rows."""
+    found = {}
+
+    def stored(df, label, write=lines.stored):
+        out = write(df, label)
+        found[label] = out.count()
+        return out
+
+    monkeypatch.setattr(lines, "stored", stored)
+    lines.deduplicate(spark.createDataFrame(texts, "doc_id long, text string"))
+    return found
+
+
+def test_short_runs_are_sorted_once(spark, monkeypatch):
+    """Before, runs of 12 lines took four rounds over all places and a look at the ranks of each."""
+    texts = [(i, "\n".join(f"line {j} of words" for j in range(i, i + 12))) for i in range(20)]
+    found = tables_of(spark, monkeypatch, texts)
+    assert found["places"] == found["prefixes"] == 20 * 12 - 2
+    assert not [x for x in found if x.startswith("pairs-")] and "prefixes-1" not in found
+
+
+def test_rounds_keep_long_runs_only(spark, monkeypatch):
+    texts = [(i, "\n".join(["hot"] * 3)) for i in range(200)] + [(300 + i, "\n".join(f"l{j}" for j in range(40))) for i in range(2)]
+    found = tables_of(spark, monkeypatch, texts)
+    assert found["places"] == 680
+    assert {x: n for x, n in found.items() if x.startswith("pairs-")} == {"pairs-16": 50, "pairs-32": 18}
+
+
 def test_clashing_columns(spark):
     text = "\n".join(f"line {i} of words" for i in range(30))
     df = spark.createDataFrame([(1, text, "x", 1, 2), (2, text, "y", 3, 4)],
