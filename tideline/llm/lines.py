@@ -175,8 +175,8 @@ def _listed(row: Row) -> list[int]:
 def repeated_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """Places of all lines that occur more than once, with ``left``, ``at`` and ``key``.
 
-    ``left`` counts the lines from the place to the end of its run of repeated lines, ``at`` those before it. ``key`` has the numbers of the first ``FIRST`` lines from there
-    on, with -1 after the run's end.
+    ``left`` counts the lines from the place to the end of its run of repeated lines, ``at`` those before it. ``key`` has the
+    numbers of the first ``FIRST`` lines from there on, with -1 after the run's end.
     """
     texts = docs.where(F.col(text_col).isNotNull()).select(
         F.col(id_col).alias("doc"), F.xxhash64(text_col).alias("copy"), F.col(text_col).alias("content"))
@@ -217,8 +217,9 @@ def _union(parts: list[DataFrame]) -> DataFrame:
 
 
 def suffix_ranks(lines: DataFrame) -> DataFrame:
-    """Every place with ``left``, ``at``, ``head``, its ``rank`` in the suffix array, and ``ranks``, one for each round in
-    which it had a twin."""
+    """Every place with ``left``, ``at``, ``head``, its ``rank`` in the suffix array, and ``ranks``, one for each round in which
+    it had a twin. ``head`` counts the lines shared with the suffixes before that differ in the first ``FIRST``.
+    """
     columns = [*PLACE, "left", "at", "head", "rank", "ranks"]
     ranked = stored(_ranked(lines.withColumn("rank", F.lit(0).cast("long")), "key", "keys")
                     .withColumn("ranks", F.when(F.col("twin"), F.array("rank")).otherwise(F.array().cast("array<bigint>")))
