@@ -2,6 +2,7 @@ import re
 from collections import Counter, defaultdict
 
 import duckdb
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -81,6 +82,51 @@ def test_blocks_lose_no_words(monkeypatch):
     assert words == [w for w in re.split(rb"[ \t,]+", text.encode().lower()) if w]
 
 
+def test_tokens_are_those_of_the_pattern():
+    for text in ["", " ", ".", "a", " a", "Aa bbb,  c\t.;d\n\ne é\x85f! ", "\x0b\x0c\ra.b"]:
+        raw = text.encode()
+        words = [t for t in phrases._TOKEN.findall(raw) if t[0] not in phrases._ENDS]
+        got = phrases.tokens(raw).to_pylist()
+        assert [t for t in got if t[0] not in phrases._ENDS] == words
+        assert [t for t in got if t[0] in phrases._ENDS] == [bytes([c]) for c in raw if c in phrases._ENDS]
+
+
+def sent(rows, longest, buckets):
+    batch = pa.RecordBatch.from_pydict({"lang": [r[0] for r in rows], "text": [r[1] for r in rows]})
+    found = list(phrases._runs(iter([batch]), longest, buckets))
+    return pa.Table.from_batches(found, schema=phrases._RUNS).sort_by("part")
+
+
+def test_blocks_of_a_run_are_as_many_as_tasks_not_buckets():
+    # Every bucket and language used to have its own, so that their number grew with the square of the texts.
+    rows = [(lang, " ".join(f"{lang}{i}" for i in range(3000))) for lang in ("de", "en", "fr")]
+    for tasks in (1, 4, 40):
+        found = sent(rows, 3, tasks * phrases.TASK_BUCKETS)
+        assert len(found) <= tasks
+        assert sum(b.num_rows for b in phrases._merged(iter(found.to_batches()), 1)) == 3 * (1 + 3000 + 2999 + 2998)
+
+
+@pytest.mark.parametrize("longest", [1, 2, 3, 4])
+@pytest.mark.parametrize("words, bytes_, held", [(10, 1 << 20, 5), (1 << 20, 11, 1 << 20), (1, 1, 40)])
+def test_runs_that_end_inside_texts(monkeypatch, longest, words, bytes_, held):
+    for name, value in (("RUN_WORDS", words), ("RUN_BYTES", bytes_), ("HELD", held), ("BLOCK", 7), ("CUT_BYTES", 5),
+                        ("SENT_BYTES", 50)):
+        monkeypatch.setattr(phrases, name, value)
+    rows = [(lang or "und", text) for lang, text in TEXTS * 2] + [("en", "the cat sat on the mat " * 40)]
+    expected = Counter()
+    for lang, text in rows:
+        for piece in re.split(r"[.,;:!?\n\x0b\x0c\r]", (text or "").translate(LOWER)):
+            found = [w for w in re.split(r"[ \t]+", piece) if w]
+            expected[lang, ""] += len(found)
+            expected.update((lang, " ".join(found[i:i + size])) for size in range(1, longest + 1)
+                            for i in range(len(found) - size + 1))
+    table = sent(rows, longest, 20)
+    merged = pa.Table.from_batches(phrases._merged(iter(table.to_batches(max_chunksize=3)), 2))
+    got = {(r["lang"], r["phrase"]): r["n"] for r in merged.to_pylist()}
+    assert len(got) == len(merged)
+    assert got == {k: n for k, n in expected.items() if n >= 2 or (n and not k[1])}
+
+
 def test_large_counts_are_exact(spark):
     row = spark.createDataFrame([(3_000_000_000_007, 3_000_000_000_011, 3_000_000_000_013)], "w long, x long, y long")
     got = row.select(phrases._score("w", "x", "y")).first()[0]

@@ -1,9 +1,10 @@
 """Phrase collocations from sorted streams of counts.
 
 1. Tasks cut texts into words and count the phrases of up to ``longest`` words of a bounded run of text by sorting word
-   numbers. What a run counted goes to buckets by a hash of the phrase, as sorted and compressed blocks; a bucket's task merges
-   them and keeps phrases with ``least`` occurrences or more. A frequent phrase is one item of a run, however often it
-   occurs, and there is a bucket for every ``BUCKET_CHARS`` characters of text, so no task grows with the data.
+   numbers. What a run counted is sorted into buckets by a hash of the phrase and goes to tasks that own ``TASK_BUCKETS``
+   buckets each, as one compressed block for each run and task. They merge the blocks bucket by bucket and keep phrases with
+   ``least`` occurrences or more. A frequent phrase is one item of a run, however often it occurs, and there is a bucket for
+   every ``BUCKET_CHARS`` characters of text, so no task grows with the data.
    A phrase's parts are at least as frequent as the phrase, so all counts that it needs are kept.
 2. The streams of phrases of every length are merged into one order by words (prefix order) and one by words read
    from the end (suffix order). In prefix order a phrase follows its first words, and its extensions follow
@@ -41,19 +42,26 @@ LEAST = 10
 SHARE = 50
 TOP = 2000
 SCALE = 1_000_000
-# Words of a run, characters of a block of text, characters of text for each bucket, and buckets for each task.
+# Words and bytes of a run, characters of a block of text, bytes that are cut into words at once, characters of text for
+# each bucket, and buckets for each task.
 RUN_WORDS = 1_500_000
+RUN_BYTES = 32 << 20
 BLOCK = 1 << 22
+CUT_BYTES = 1 << 20
 BUCKET_CHARS = 2 << 20
-TASK_BUCKETS = 16
-# Rows of a bucket that are held before they are summed up.
-HELD = 1_000_000
+TASK_BUCKETS = 8
+# Rows that a task holds before they are summed up, and bytes of its blocks that it hands over at once.
+HELD = 6_000_000
+SENT_BYTES = 4 << 20
 
 _TOKEN = re.compile(rb"[^ \t.,;:!?\n-\r]+|[.,;:!?\n-\r][ \t.,;:!?\n-\r]*")
 _BREAK = re.compile(rb"[ \t.,;:!?\n-\r]")
 _ENDS = b".,;:!?\n\x0b\x0c\r"
-_RUNS = pa.schema([("bucket", pa.int32()), ("lang", pa.string()), ("bytes", pa.int64()), ("phrases", pa.binary()),
-                   ("counts", pa.binary())])
+_WORD, _SPACE, _END = range(3)
+_KINDS = np.full(256, _WORD, np.uint8)
+_KINDS[list(b" \t")] = _SPACE
+_KINDS[list(_ENDS)] = _END
+_RUNS = pa.schema([("part", pa.int32()), ("langs", pa.list_(pa.string())), ("size", pa.int64()), ("block", pa.binary())])
 
 
 def blocks(text: str) -> Iterator[bytes]:
@@ -66,115 +74,214 @@ def blocks(text: str) -> Iterator[bytes]:
         at = end
 
 
+def tokens(raw: bytes) -> pa.BinaryArray:
+    """The words of ``_TOKEN``, and each character that ends a phrase as a token of its own."""
+    data = np.frombuffer(raw, np.uint8)
+    kinds = _KINDS[data]
+    word, kept = kinds == _WORD, kinds != _SPACE
+    starts = kept.copy()
+    starts[1:] &= ~(word[1:] & word[:-1])
+    at = np.flatnonzero(starts[kept])
+    offsets = np.append(at, np.count_nonzero(kept)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(at), [None, pa.py_buffer(offsets), pa.py_buffer(data[kept])])
+
+
 class _Run:
-    """Counts of the phrases of some texts; word numbers are those of the run."""
+    """Counts of the phrases of some texts; word numbers are those of a language in the run."""
 
     def __init__(self, longest: int, buckets: int):
-        self.longest, self.buckets, self.size = longest, buckets, 0
-        self.words = Numbers()
-        self.codes: dict[str, list[np.ndarray]] = defaultdict(list)
-        self.fresh: dict[str, list[np.ndarray]] = defaultdict(list)
-
-    def add(self, lang: str, tokens: list[bytes], known: int = 0) -> None:
-        """Append tokens to those of a language; phrases that end in the first ``known`` were counted before."""
-        codes = np.fromiter(map(self.words.__getitem__, tokens), np.int64, len(tokens))
-        self.codes[lang].append(codes)
-        self.fresh[lang].append(np.arange(len(codes)) >= known)
-        self.size += len(codes)
+        self.longest, self.buckets, self.size, self.bytes = longest, buckets, 0, 0
+        self.waiting: dict[str, list[bytes]] = defaultdict(list)
+        self.left = 0
+        self.tokens: dict[str, list[pa.BinaryArray]] = defaultdict(list)
+        self.known: dict[str, int] = {}
+
+    def add(self, lang: str, raw: bytes) -> None:
+        """Append text to that of a language."""
+        self.waiting[lang].append(raw)
+        self.left += len(raw)
+        self.bytes += len(raw)
+        if self.left >= CUT_BYTES:
+            self.cut()
+
+    def cut(self) -> None:
+        for lang, parts in self.waiting.items():
+            found = tokens(b"".join(parts))
+            self.tokens[lang].append(found)
+            self.size += len(found)
+        self.waiting.clear()
+        self.left = 0
+
+    def full(self) -> bool:
+        return self.size >= RUN_WORDS or self.bytes >= RUN_BYTES
+
+    def next(self, lang: str) -> _Run:
+        """A run that goes on with a text of a language; phrases that end in its first tokens were counted here."""
+        self.cut()
+        run, tail, parts = _Run(self.longest, self.buckets), [], self.tokens[lang]
+        while len(tail) < self.longest - 1 and parts:
+            tail = parts[-1][max(0, len(parts[-1]) - self.longest + 1 + len(tail)):].to_pylist() + tail
+            parts = parts[:-1]
+        if tail:
+            run.tokens[lang].append(pa.array(tail, pa.binary()))
+            run.known[lang] = len(tail)
+        return run
 
     def counted(self) -> Iterator[pa.RecordBatch]:
-        words = list(self.words)
-        n = max(1, len(words))
-        ends = np.array([w[0] in _ENDS for w in words], bool)
-        names = pa.array(words, pa.binary())
-        hashes = np.array([zlib.crc32(w) for w in words], np.uint64)
-        for lang, parts in self.codes.items():
-            codes, fresh = np.concatenate(parts), np.concatenate(self.fresh[lang])
-            inside = ~ends[codes]
-            counts = np.bincount(codes[inside & fresh], minlength=n)
-            phrases = [(pa.array([b""], pa.binary()), np.zeros(1, np.uint64), np.array([counts.sum()])),
-                       (names, hashes, counts)]
-            number, valid, texts, mixed = codes, inside, names, hashes
-            for size in range(2, self.longest + 1):
-                valid = valid[:-1] & inside[size - 1:]
-                pairs = number[:-1][valid] * n + codes[size - 1:][valid]
-                found, order = np.unique(pairs, return_inverse=True)
-                counts = np.bincount(order[fresh[size - 1:][valid]], minlength=len(found))
-                first, last = found // n, found % n
-                texts = pc.binary_join_element_wise(texts.take(pa.array(first)), names.take(pa.array(last)), b" ")
-                mixed = (mixed[first] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + hashes[last]
-                phrases.append((texts, mixed, counts))
-                number = np.zeros(len(valid), np.int64)
-                number[valid] = order
-            yield from self._dealt(lang, phrases)
-
-    def _dealt(self, lang: str, phrases: list) -> Iterator[pa.RecordBatch]:
-        met = [np.flatnonzero(counts) for _, _, counts in phrases]
-        texts = pa.chunked_array([t.take(pa.array(m)) for (t, _, _), m in zip(phrases, met)], pa.binary())
-        counts = np.concatenate([c[m] for (_, _, c), m in zip(phrases, met)])
-        mixed = np.concatenate([h[m] for (_, h, _), m in zip(phrases, met)])
+        """The run's phrases in one block for each part of the buckets."""
+        self.cut()
+        langs, texts, mixed, counts = [], [], [], []
+        for lang, parts in self.tokens.items():
+            for found in self._phrases(lang, pa.concat_arrays(parts)):
+                met = np.flatnonzero(found[2])
+                if len(met) < len(found[2]):
+                    found = found[0].take(pa.array(met)), found[1][met], found[2][met]
+                langs.append(lang)
+                texts.append(found[0])
+                mixed.append(found[1])
+                counts.append(found[2])
+        if sum(map(len, texts)):
+            yield from self._dealt(langs, texts, np.concatenate(mixed), np.concatenate(counts))
+
+    def _phrases(self, lang: str, words: pa.BinaryArray) -> Iterator[tuple[pa.BinaryArray, np.ndarray, np.ndarray]]:
+        """Phrases, their hashes and counts: all words as an empty phrase, then the phrases of each length."""
+        coded = words.dictionary_encode()
+        codes, names = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+        n, known = max(1, len(names)), self.known.get(lang, 0)
+        distinct = names.to_pylist()
+        ends = np.array([w[0] in _ENDS for w in distinct], bool)
+        hashes = np.array([zlib.crc32(w) for w in distinct], np.uint64)
+        inside = ~ends[codes]
+        counts = np.bincount(codes[known:][inside[known:]], minlength=len(names))
+        yield pa.array([b""], pa.binary()), np.zeros(1, np.uint64), np.array([counts.sum()])
+        yield names, hashes, counts
+        number, valid, texts, mixed = codes, inside, names, hashes
+        for size in range(2, self.longest + 1):
+            valid = valid[:-1] & inside[size - 1:]
+            pairs = number[:-1][valid] * n + codes[size - 1:][valid]
+            found, order = np.unique(pairs, return_inverse=True)
+            fresh = np.count_nonzero(valid[:max(0, known - size + 1)])
+            counts = np.bincount(order[fresh:], minlength=len(found))
+            first, last = found // n, found % n
+            texts = pc.binary_join_element_wise(texts.take(pa.array(first)), names.take(pa.array(last)), b" ")
+            mixed = (mixed[first] + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15) + hashes[last]
+            yield texts, mixed, counts
+            number = np.zeros(len(valid), np.int64)
+            number[valid] = order
+
+    def _dealt(self, langs: list[str], texts: list[pa.BinaryArray], mixed: np.ndarray, counts: np.ndarray
+               ) -> Iterator[pa.RecordBatch]:
+        numbers = Numbers()
+        lang = np.repeat([numbers[x] for x in langs], [len(t) for t in texts])
         bucket = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) % self.buckets
-        order = np.argsort(bucket, kind="stable")
-        cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-        for start, end in zip(cuts, [*cuts[1:], len(order)]):
-            taken = order[start:end]
-            part = texts.take(pa.array(taken)).combine_chunks()
-            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), part), b"\n")[0].as_py()
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([int(bucket[taken[0]])], pa.int32()), pa.array([lang]), pa.array([len(joined)], pa.int64()),
-                 pa.array([pa.compress(joined, codec="zstd", asbytes=True)], pa.binary()),
-                 pa.array([counts[taken].astype("<i8").tobytes()], pa.binary())], schema=_RUNS)
+        cell = bucket * len(numbers) + lang
+        order = np.argsort(cell.astype(np.uint16) if cell.max() < 1 << 16 else cell, kind="stable")
+        parts = -(-self.buckets // TASK_BUCKETS)
+        cells = np.bincount(cell, minlength=parts * TASK_BUCKETS * len(numbers)).astype("<i4").reshape(parts, -1)
+        phrases = pa.concat_arrays(texts).take(pa.array(order))
+        at = np.frombuffer(phrases.buffers()[1], np.int32, len(phrases) + 1, phrases.offset * 4)
+        chars, sizes, counts = phrases.buffers()[2], np.diff(at).astype("<i4"), counts[order].astype("<i4")
+        ends = np.cumsum(cells.sum(1))
+        rows, sent = [], 0
+        for part in np.flatnonzero(cells.any(1)):
+            a, b = ends[part] - cells[part].sum(), ends[part]
+            raw = b"".join([cells[part], _planes(counts[a:b]), _planes(sizes[a:b]), chars[at[a]:at[b]]])
+            rows.append((part, len(raw), pa.compress(raw, codec="zstd", asbytes=True)))
+            sent += len(rows[-1][-1])
+            if sent >= SENT_BYTES:
+                yield _batch(rows, list(numbers))
+                rows, sent = [], 0
+        if rows:
+            yield _batch(rows, list(numbers))
+
+
+def _planes(values: np.ndarray) -> bytes:
+    """Whole numbers as four byte planes; most high bytes are zero."""
+    return values.view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _from_planes(raw: bytes, count: int, at: int) -> np.ndarray:
+    return np.frombuffer(raw, np.uint8, 4 * count, at).reshape(4, count).T.copy().view("<i4").ravel()
+
+
+def _batch(rows: list[tuple[int, int, bytes]], langs: list[str]) -> pa.RecordBatch:
+    part, size, block = zip(*rows)
+    return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array([langs] * len(rows), pa.list_(pa.string())),
+                                       pa.array(size, pa.int64()), pa.array(block, pa.binary())], schema=_RUNS)
 
 
 def _runs(batches: Iterator[pa.RecordBatch], longest: int, buckets: int) -> Iterator[pa.RecordBatch]:
     run = _Run(longest, buckets)
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-            tail = []
             for block in blocks(text.as_py() or ""):
-                tokens = _TOKEN.findall(block)
-                run.add(lang, tail + tokens, len(tail)) if tail and run.size == 0 else run.add(lang, tokens)
-                tail = (tail + tokens)[-longest + 1:] if longest > 1 else []
-                if run.size >= RUN_WORDS:
+                run.add(lang, block)
+                if run.full():
+                    after = run.next(lang)
                     yield from run.counted()
-                    run = _Run(longest, buckets)
-            if run.size:
-                run.add(lang, [b"\n"])
-    if run.size:
-        yield from run.counted()
+                    run = after
+            run.add(lang, b"\n")
+    yield from run.counted()
+
+
+class _Part:
+    """Sums of the blocks of some buckets."""
+
+    def __init__(self, least: int):
+        self.least, self.names = least, Numbers()
+        self.blocks, self.rows = [], 0
+        self.sums: list[pa.Table | None] = [None] * TASK_BUCKETS
+
+    def add(self, langs: list[str], raw: bytes) -> None:
+        codes = np.array([self.names[x] for x in langs], np.int32)
+        cells = np.frombuffer(raw, "<i4", TASK_BUCKETS * len(langs)).reshape(TASK_BUCKETS, -1)
+        rows, at = int(cells.sum()), cells.nbytes
+        counts, sizes = _from_planes(raw, rows, at), _from_planes(raw, rows, at + 4 * rows)
+        ends = np.append(0, np.cumsum(cells.sum(1)))
+        chars = at + 8 * rows + np.append(0, np.cumsum(sizes, dtype=np.int64))[ends]
+        self.blocks.append((codes, cells, counts, sizes, ends, chars, raw))
+        self.rows += rows
+        if self.rows >= HELD:
+            self.sums = [self.summed(bucket) for bucket in range(TASK_BUCKETS)]
+            self.blocks, self.rows = [], 0
+
+    def summed(self, bucket: int) -> pa.Table | None:
+        """Language number, phrase and count of all that the blocks and the earlier sums have of a bucket."""
+        met = [x for x in self.blocks if x[1][bucket].any()]
+        found = [self.sums[bucket]] if self.sums[bucket] else []
+        if not met:
+            return self.sums[bucket]
+        langs = np.repeat(np.concatenate([codes for codes, *_ in met]), np.concatenate([cells[bucket] for _, cells, *_ in met]))
+        counts, sizes = (np.concatenate([x[i][x[4][bucket]:x[4][bucket + 1]] for x in met]) for i in (2, 3))
+        chars = b"".join([raw[at[bucket]:at[bucket + 1]] for *_, at, raw in met])
+        offsets = np.append(0, np.cumsum(sizes)).astype(np.int32)
+        phrases = pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(chars)])
+        found.append(pa.table({"lang": langs, "phrase": phrases, "n": counts.astype(np.int64)}))
+        return pa.concat_tables(found).group_by(["lang", "phrase"], use_threads=False).aggregate(
+            [("n", "sum")]).rename_columns(["lang", "phrase", "n"])
+
+    def kept(self) -> Iterator[pa.RecordBatch]:
+        names = pa.array(list(self.names), pa.string())
+        for bucket in range(TASK_BUCKETS):
+            found = self.summed(bucket)
+            if found:
+                found = found.filter(pc.or_(pc.greater_equal(found["n"], self.least), pc.equal(found["phrase"], b"")))
+                yield pa.RecordBatch.from_arrays(
+                    [names.take(found["lang"].combine_chunks()), found["phrase"].combine_chunks().cast(pa.string()),
+                     found["n"].combine_chunks()], names=["lang", "phrase", "n"])
 
 
 def _merged(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
-    """Sums of a bucket's blocks, which follow one another; those of ``least`` or more, and the number of words."""
-    now, held, rows = None, [], 0
-
-    def summed() -> pa.Table:
-        return pa.concat_tables(held).group_by("phrase", use_threads=False).aggregate([("n", "sum")]).rename_columns(
-            ["phrase", "n"])
-
-    def kept() -> pa.RecordBatch:
-        found = summed()
-        found = found.filter(pc.or_(pc.greater_equal(found["n"], least), pc.equal(found["phrase"], b"")))
-        return pa.RecordBatch.from_arrays(
-            [pa.array([now[1]] * len(found), pa.string()), found["phrase"].combine_chunks().cast(pa.string()),
-             found["n"].combine_chunks()], names=["lang", "phrase", "n"])
-
+    """Sums of the blocks of each part, which follow one another: those of ``least`` or more, and the number of words."""
+    now, part = None, _Part(least)
     for batch in batches:
-        for bucket, lang, size, phrases, counts in zip(*batch.columns):
-            key = bucket.as_py(), lang.as_py()
-            if key != now:
-                if held:
-                    yield kept()
-                now, held, rows = key, [], 0
-            raw = pa.decompress(phrases.as_py(), size.as_py(), codec="zstd", asbytes=True)
-            texts = pc.split_pattern(pa.array([raw], pa.binary()), b"\n").values
-            held.append(pa.table({"phrase": texts, "n": pa.array(np.frombuffer(counts.as_py(), "<i8"))}))
-            rows += len(texts)
-            if rows >= HELD:
-                held = [summed()]
-                rows = 0
-    if held:
-        yield kept()
+        for number, langs, size, block in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(),
+                                              batch.column(2).to_pylist(), batch.column(3)):
+            if number != now:
+                yield from part.kept()
+                now, part = number, _Part(least)
+            part.add(langs, pa.decompress(block.as_buffer(), size, codec="zstd", asbytes=True))
+    yield from part.kept()
 
 
 def counted(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", longest: int = LONGEST,
@@ -184,9 +291,8 @@ def counted(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", lon
     texts = docs.select(F.coalesce(F.col(lang_col).cast("string"), F.lit("und")).alias("lang"), F.col(text_col).alias("text"))
     chars = texts.agg(F.sum(F.length("text").cast("long"))).first()[0] or 0
     buckets = 1 + chars // BUCKET_CHARS
-    runs = texts.mapInArrow(lambda b: _runs(b, longest, buckets),
-                            "bucket int, lang string, bytes long, phrases binary, counts binary")
-    merged = (runs.repartition(1 + buckets // TASK_BUCKETS, "bucket").sortWithinPartitions("bucket", "lang")
+    runs = texts.mapInArrow(lambda b: _runs(b, longest, buckets), "part int, langs array<string>, size long, block binary")
+    merged = (runs.repartitionById(-(-buckets // TASK_BUCKETS), "part").sortWithinPartitions("part")
               .mapInArrow(lambda b: _merged(b, least), "lang string, phrase string, n long"))
     return stored(merged.select("lang", F.when(F.col("phrase") == "", F.array().cast("array<string>"))
                                 .otherwise(F.split("phrase", " ")).alias("words"), "n"), "phrases")
