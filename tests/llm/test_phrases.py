@@ -127,6 +127,15 @@ def test_runs_that_end_inside_texts(monkeypatch, longest, words, bytes_, held):
     assert got == {k: n for k, n in expected.items() if n >= 2 or (n and not k[1])}
 
 
+def test_last_ranking_gets_the_best_of_groups_only(spark):
+    rows = [("en", ". ".join(f"a{i} b{i}. a{i} b{i}" for i in range(900)))]
+    df = phrases.collocations(spark.createDataFrame(rows, "lang string, text string"), least=2, top=3)
+    assert result(df) == brute(rows, top=3)
+    # The rows of a language went to one task; now they meet in groups first, and three of each go on.
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(phrase" in plan and plan.count("Window [row_number()") == 2
+
+
 def test_large_counts_are_exact(spark):
     row = spark.createDataFrame([(3_000_000_000_007, 3_000_000_000_011, 3_000_000_000_013)], "w long, x long, y long")
     got = row.select(phrases._score("w", "x", "y")).first()[0]

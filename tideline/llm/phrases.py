@@ -14,7 +14,8 @@
    word; a slice gets the last counts before it, and gives back what it holds for the last phrase before it. These
    tables have one row per slice.
 3. The lowest score over all cuts is a phrase's score. A phrase is dropped if an extension by one word is frequent enough;
-   longer phrases need no look, as the extension between has at least their count. A top-k per language follows.
+   longer phrases need no look, as the extension between has at least their count. A top-k per language follows, first
+   in groups of a language's phrases, as many as keep the last step as small as a group.
 
 Null texts count as empty, null languages as ``und``. Rows are counted as often as they occur. Texts without words and empty tables
 add nothing. Other columns are not read. Texts of any length are read in blocks; phrases across blocks count.
@@ -22,6 +23,7 @@ add nothing. Other columns are not read. Texts of any length are read in blocks;
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 from collections import defaultdict
@@ -44,7 +46,7 @@ TOP = 2000
 SCALE = 1_000_000
 # Words and bytes of a run, characters of a block of text, bytes that are cut into words at once, characters of text for
 # each bucket, and buckets for each task.
-RUN_WORDS = 1_500_000
+RUN_WORDS = 1_000_000
 RUN_BYTES = 32 << 20
 BLOCK = 1 << 22
 CUT_BYTES = 1 << 20
@@ -131,8 +133,8 @@ class _Run:
         """The run's phrases in one block for each part of the buckets."""
         self.cut()
         langs, texts, mixed, counts = [], [], [], []
-        for lang, parts in self.tokens.items():
-            for found in self._phrases(lang, pa.concat_arrays(parts)):
+        for lang in list(self.tokens):
+            for found in self._phrases(lang, pa.concat_arrays(self.tokens.pop(lang))):
                 met = np.flatnonzero(found[2])
                 if len(met) < len(found[2]):
                     found = found[0].take(pa.array(met)), found[1][met], found[2][met]
@@ -175,12 +177,16 @@ class _Run:
         lang = np.repeat([numbers[x] for x in langs], [len(t) for t in texts])
         bucket = ((mixed * np.uint64(0xD6E8FEB86659FD93)) >> np.uint64(33)).astype(np.int64) % self.buckets
         cell = bucket * len(numbers) + lang
+        del mixed, bucket, lang
         order = np.argsort(cell.astype(np.uint16) if cell.max() < 1 << 16 else cell, kind="stable")
         parts = -(-self.buckets // TASK_BUCKETS)
         cells = np.bincount(cell, minlength=parts * TASK_BUCKETS * len(numbers)).astype("<i4").reshape(parts, -1)
-        phrases = pa.concat_arrays(texts).take(pa.array(order))
+        phrases = pa.concat_arrays(texts)
+        texts.clear()
+        phrases = phrases.take(pa.array(order))
         at = np.frombuffer(phrases.buffers()[1], np.int32, len(phrases) + 1, phrases.offset * 4)
         chars, sizes, counts = phrases.buffers()[2], np.diff(at).astype("<i4"), counts[order].astype("<i4")
+        del cell, order
         ends = np.cumsum(cells.sum(1))
         rows, sent = [], 0
         for part in np.flatnonzero(cells.any(1)):
@@ -364,8 +370,13 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
               .select("lang", F.array_join("words", " ").alias("phrase"), F.col("n").alias("a"),
                       F.col("first_0").alias("n"), cuts.alias("cut"))
               .select("lang", "phrase", "a", "cut.l", "cut.r", "n", "cut.score"))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    return (scored.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    # The best of a language are among the best of each of its groups; a group and what all groups leave are of one size.
+    groups = 1 + math.isqrt(streams.count() // max(1, top))
+    order = [F.desc("score"), F.desc("a"), F.col("phrase")]
+    near = Window.partitionBy("lang", F.pmod(F.xxhash64("phrase"), F.lit(groups))).orderBy(*order)
+    best = Window.partitionBy("lang").orderBy(*order)
+    return (scored.withColumn("rank", F.row_number().over(near)).where(F.col("rank") <= top)
+            .withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
             .select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score"))
 
 
